@@ -17,6 +17,7 @@ from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import first_name, full_name, last_name
 from fieldweave.operators import validation as V
 from fieldweave.operators.eav import MAX_BROADCAST_ROWS, custom_map
+from fieldweave.session import settle
 
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _KIND_TYPES = {S.NUMBER: T.DoubleType(), S.DATE: T.DateType()}
@@ -312,8 +313,9 @@ def create_contacts(
     batch: str,
     as_of: Column,
 ) -> Written:
-    """Good requests as contacts, values and events; the others with a reason."""
-    judged = judge_new_contacts(requests, fields, contacts, definitions)
+    """Good requests as contacts, values and events; the others with a reason.
+    The judged requests are written once, as four tables are built on them."""
+    judged = settle(judge_new_contacts(requests, fields, contacts, definitions), "create")
     accepted = judged.where("reason is null").withColumn("id", new_id("contact", F.col("request_id")))
     clean = F.trim("name")
     made = accepted.select(
@@ -372,11 +374,12 @@ def update_contacts(
     phone, account and status stay as they are."""
     by_id = fields.withColumnRenamed("record_id", "id")
     bad = judge_fields(by_id, definitions, "id").withColumnRenamed("reason", "_field")
-    judged = (
+    judged = settle(
         judge_updates(updates, contacts)
         .join(bad, "id", "left")
         .withColumn("reason", F.coalesce("reason", "_field"))
-        .drop("_field")
+        .drop("_field"),
+        "update",
     )
     good = judged.where("reason is null").select("id", F.trim("name").alias("_name"), F.lit(True).alias("_touched"))
     row = contacts.join(good, "id", "left")

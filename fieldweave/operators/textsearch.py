@@ -76,9 +76,11 @@ def with_score(
     matching = docs.where(keyword_condition(list(columns.values()), words))
     if only is not None:
         matching = matching.where(only)
+    # A column of its own, so that the subquery is planned once and not per use.
+    matching = matching.withColumn("_stats", stats)
     scores = []
     for n, column in enumerate(columns.values()):
-        field = stats[f"s{n}"]
+        field = F.col(f"_stats.s{n}")
         low = F.lower(column)
         length = X.gram_count(column)
         average = field["length"] / field["docs"]
@@ -88,7 +90,7 @@ def with_score(
         ]
         scores.append(F.coalesce(reduce(lambda a, b: a + b, parts, F.lit(0.0)), F.lit(0.0)))
     best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    return matching.withColumn("score", best)
+    return matching.withColumn("score", best).drop("_stats")
 
 
 def by_relevance() -> list[Column]:

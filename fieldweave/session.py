@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
@@ -55,3 +55,11 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/fieldweave/{name}-{uuid.uuid4().hex}"
+
+
+def settle(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared folder and read back, so that what is built on
+    them more than once does not compute them again and sees the same rows."""
+    path = new_work_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
