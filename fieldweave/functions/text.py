@@ -1,8 +1,9 @@
 """Column functions of the keyword search.
 
 Indexed text is cut at everything but letters and digits into runs, and each
-run into its grams of 2 to 10 characters. A query word is looked up whole, so it
-matches where it has 2 to 10 letters or digits and occurs inside a run.
+run into its grams of 2 to 10 characters, which are then lowercased. A query
+word is looked up whole, so it matches where it has 2 to 10 letters or digits
+and occurs inside a run.
 """
 
 from __future__ import annotations
@@ -30,23 +31,22 @@ def query_terms(query: Column) -> Column:
 
 
 def runs(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(RUN), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
 
 
 def gram_count(text: Column) -> Column:
-    """How many grams the text is indexed under; 0 for missing text."""
-
-    def of_run(run: Column) -> Column:
-        size = F.length(run).cast("long")
-        longest = F.least(size, F.lit(MAX_GRAM).cast("long"))
-        # sum over g = 2..longest of (size - g + 1)
-        return F.when(
-            size >= MIN_GRAM,
-            (longest - 1) * (size + 1) - (longest * (longest + 1)).cast("long") / 2 + 1,
-        ).otherwise(0).cast("long")
-
-    counted = F.aggregate(runs(text), F.lit(0).cast("long"), lambda acc, run: acc + of_run(run))
-    return F.coalesce(counted, F.lit(0).cast("long"))
+    """How many grams the text is indexed under; 0 for missing text. A run of n
+    characters has n (n - 1) / 2 up to the longest gram size, then a fixed
+    number more per character."""
+    sizes = F.transform(runs(text), lambda run: F.length(run).cast("long"))
+    per_char = MAX_GRAM - MIN_GRAM + 1
+    spare = per_char * MAX_GRAM - MAX_GRAM * (MAX_GRAM - 1) // 2
+
+    def add(total: Column, n: Column) -> Column:
+        return total + F.when(n < MAX_GRAM, F.shiftright(n * (n - 1), 1)).otherwise(n * per_char - spare)
+
+    zero = F.lit(0).cast("long")
+    return F.coalesce(F.aggregate(sizes, zero, add), zero)
 
 
 def overlaps_itself(word: str) -> bool:

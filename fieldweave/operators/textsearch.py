@@ -31,26 +31,26 @@ def keyword_condition(columns: Sequence[Column], words: Sequence[str]) -> Column
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def field_statistics(docs: DataFrame, columns: Mapping[str, Column], words: Sequence[str]) -> DataFrame:
-    """One row with one struct: per field the documents that have it, its total
-    length, and the documents that hold each word."""
-    distinct = list(dict.fromkeys(words))
-    lengths = docs.select(
-        *[X.gram_count(c).alias(f"len_{n}") for n, c in enumerate(columns.values())],
+def text_cells(docs: DataFrame, columns: Mapping[str, Column], *keep: Column) -> DataFrame:
+    """One row per document and searched field: position, field, text."""
+    cells = F.array(
         *[
-            F.contains(F.lower(c), F.lit(w)).alias(f"has_{n}_{m}")
-            for n, c in enumerate(columns.values())
-            for m, w in enumerate(distinct)
-        ],
+            F.struct(F.lit(n).alias("position"), F.lit(name).alias("field"), c.cast("string").alias("text"))
+            for n, (name, c) in enumerate(columns.items())
+        ]
+    )
+    return docs.select(*keep, F.inline(cells))
+
+
+def field_statistics(docs: DataFrame, columns: Mapping[str, Column], words: Sequence[str]) -> DataFrame:
+    """Per field the documents that have it, its total length, and how many
+    documents hold each word. Partial aggregates leave one row per field and task."""
+    cells = text_cells(docs, columns).withColumn("length", X.gram_count(F.col("text")))
+    low = F.lower("text")
+    holding = F.array(*[F.count_if(F.contains(low, F.lit(w))) for w in words]).cast("array<bigint>")
+    return cells.groupBy("position", "field").agg(
+        F.count_if(F.col("length") > 0).alias("docs"), F.sum("length").alias("length"), holding.alias("dfs")
     )
-    per_field = []
-    for n in range(len(columns)):
-        length = F.col(f"len_{n}")
-        holding = [F.count_if(F.col(f"has_{n}_{m}")).alias(f"df_{m}") for m in range(len(distinct))]
-        per_field.append(
-            F.struct(F.count_if(length > 0).alias("docs"), F.sum(length).alias("length"), *holding).alias(f"s{n}")
-        )
-    return lengths.agg(F.struct(*per_field).alias("stats"))
 
 
 def bm25(tf: Column, df: Column, docs: Column, length: Column, average: Column) -> Column:
@@ -72,25 +72,35 @@ def with_score(
     are computed for matching rows only.
     """
     counted = Counter(words)
-    stats = field_statistics(docs, columns, list(counted)).scalar()
+    statistics = field_statistics(docs, columns, list(counted))
+    per_field = F.array_sort(F.collect_list(F.struct("position", "docs", "length", "dfs")))
     matching = docs.where(keyword_condition(list(columns.values()), words))
     if only is not None:
         matching = matching.where(only)
-    # A column of its own, so that the subquery is planned once and not per use.
-    matching = matching.withColumn("_stats", stats)
-    scores = []
-    for n, column in enumerate(columns.values()):
-        field = F.col(f"_stats.s{n}")
-        low = F.lower(column)
-        length = X.gram_count(column)
+
+    def measured(text: Column) -> Column:
+        found = [X.occurrences(F.lower(text), w) for w in counted]
+        return F.struct(X.gram_count(text).alias("length"), F.array(*found).alias("tfs"))
+
+    def of_field(cell: Column, field: Column) -> Column:
         average = field["length"] / field["docs"]
         parts = [
-            bm25(X.occurrences(low, w), field[f"df_{m}"], field["docs"], length, average) * F.lit(float(times))
-            for m, (w, times) in enumerate(counted.items())
+            bm25(cell["tfs"][m], field["dfs"][m], field["docs"], cell["length"], average) * F.lit(float(times))
+            for m, times in enumerate(counted.values())
         ]
-        scores.append(F.coalesce(reduce(lambda a, b: a + b, parts, F.lit(0.0)), F.lit(0.0)))
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    return matching.withColumn("score", best).drop("_stats")
+        return F.coalesce(reduce(lambda a, b: a + b, parts), F.lit(0.0))
+
+    # Columns of their own, so that the subquery is planned once, and length and
+    # word counts are computed once per row.
+    texts = F.array(*[c.cast("string") for c in columns.values()])
+    staged = {
+        "_cells": F.transform(texts, measured),
+        "_stats": statistics.agg(per_field.alias("stats")).scalar(),
+    }
+    if not counted:
+        return matching.withColumn("score", F.lit(0.0))
+    scores = F.zip_with("_cells", "_stats", of_field)
+    return matching.withColumns(staged).withColumn("score", F.array_max(scores)).drop(*staged)
 
 
 def by_relevance() -> list[Column]:
@@ -103,10 +113,7 @@ def ngram_index(docs: DataFrame, columns: Mapping[str, Column], key: str = "id")
     Grams of a row are counted where the row is, before the one shuffle by
     (field, gram, id); a gram that very many rows hold stays spread by id.
     """
-    cells = F.array(
-        *[F.struct(F.lit(name).alias("field"), c.cast("string").alias("text")) for name, c in columns.items()]
-    )
-    fields = docs.select(F.col(key).alias("id"), F.inline(cells)).where(F.col("text").isNotNull())
+    fields = text_cells(docs, columns, F.col(key).alias("id")).where(F.col("text").isNotNull())
     run = fields.select(
         "field", "id", X.gram_count(F.col("text")).alias("length"), F.explode(X.runs(F.col("text"))).alias("run")
     ).where(F.length("run") >= S.MIN_GRAM)
@@ -114,7 +121,7 @@ def ngram_index(docs: DataFrame, columns: Mapping[str, Column], key: str = "id")
     longest = F.least(F.lit(S.MAX_GRAM), F.length("run") - F.col("pos") + 1)
     grams = start.withColumn("size", F.explode(F.sequence(F.lit(S.MIN_GRAM), longest)))
     return (
-        grams.select("field", F.substring("run", F.col("pos"), F.col("size")).alias("gram"), "id", "length")
+        grams.select("field", F.lower(F.substring("run", F.col("pos"), F.col("size"))).alias("gram"), "id", "length")
         .groupBy("field", "gram", "id")
         .agg(F.count(F.lit(1)).alias("tf"), F.max("length").alias("length"))
     )
@@ -122,14 +129,7 @@ def ngram_index(docs: DataFrame, columns: Mapping[str, Column], key: str = "id")
 
 def field_lengths(docs: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Per field the documents that have it and its total length."""
-    stats = field_statistics(docs, columns, [])
-    cells = F.array(
-        *[
-            F.struct(F.lit(name).alias("field"), F.col(f"stats.s{n}.docs"), F.col(f"stats.s{n}.length"))
-            for n, name in enumerate(columns)
-        ]
-    )
-    return stats.select(F.inline(cells))
+    return field_statistics(docs, columns, []).select("field", "docs", "length")
 
 
 def write_index(postings: DataFrame, path: str) -> None:

@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldweave.catalog import FieldCatalog, FieldDef
 from fieldweave.functions.values import typed_value
@@ -192,8 +193,15 @@ select c_custkey, 'memo__c', c_name from {customer} where c_acctbal < 0
 """
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table. Its schema is read from the files once, not per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str, *tables: str, **texts: str) -> DataFrame:
