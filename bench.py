@@ -22,7 +22,8 @@ from fieldweave.operators import aggregates as A  # noqa: E402
 from fieldweave.operators import changes as C  # noqa: E402
 from fieldweave.operators.predicates import Filter  # noqa: E402
 from fieldweave.operators.sorting import Sort  # noqa: E402
-from fieldweave.plans.search import search_documents, search_eav  # noqa: E402
+from fieldweave.operators.textsearch import with_lengths  # noqa: E402
+from fieldweave.plans.search import search_columns, search_documents, search_eav  # noqa: E402
 from fieldweave.plans.spec import SearchSpec  # noqa: E402
 from fieldweave.session import build_session  # noqa: E402
 from fieldweave.sources import layout  # noqa: E402
@@ -86,8 +87,11 @@ def main() -> None:
         lambda: layout.write_values(layout.melt(stored, CATALOG), paths["values"])
     )
     values = spark.read.parquet(paths["values"])
+    searched = search_columns(CATALOG)
     seconds["build_and_write_documents"] = timed(
-        lambda: layout.write_documents(layout.build_documents(contacts, values, CATALOG), paths["documents"])
+        lambda: layout.write_documents(
+            with_lengths(layout.build_documents(contacts, values, CATALOG), searched), paths["documents"]
+        )
     )
     documents = spark.read.parquet(paths["documents"])
     log = L.outbox(spark, SF_DIR)
@@ -114,7 +118,10 @@ def main() -> None:
         "doc_filter_sort_total": lambda: answer(search_documents(documents, CATALOG, FILTER_SORT)),
         "doc_group_counts": lambda: A.terms(documents, F.col("custom_fields.tier__c")).collect(),
         "doc_keyword_page": lambda: page(search_documents(documents, CATALOG, KEYWORD)),
-        "apply_changes": lambda: C.apply_changes(documents, changes).documents.write.format("noop").mode("overwrite").save(),
+        "apply_changes": lambda: C.apply_changes(documents, changes, lambda docs: with_lengths(docs, searched))
+        .documents.write.format("noop")
+        .mode("overwrite")
+        .save(),
     }
     for name, run in runs.items():
         run()

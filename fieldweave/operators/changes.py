@@ -6,6 +6,7 @@ executor is lost writes the same ids.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -131,24 +132,29 @@ class Applied:
     rejected: DataFrame
 
 
-def apply_changes(documents: DataFrame, changes: DataFrame) -> Applied:
+def apply_changes(
+    documents: DataFrame, changes: DataFrame, derive: Callable[[DataFrame], DataFrame] | None = None
+) -> Applied:
     """Documents after the changes: created and updated ones replaced whole,
-    deleted ones gone. Deleting what is not there is no error."""
+    deleted ones gone. Deleting what is not there is no error. ``derive`` adds
+    the columns that are stored with documents but computed from them."""
     good, rejected = split_changes(changes)
     last = newest_changes(good)
+    written = _as_document(last.where(F.col("type") != S.DELETED).select("payload.*"), documents)
+    if derive is not None:
+        written = derive(written)
     untouched = documents.join(last.select("id"), "id", "left_anti")
-    written = last.where(F.col("type") != S.DELETED).select("payload.*")
-    return Applied(_aligned(untouched, written), rejected)
+    return Applied(untouched.unionByName(written), rejected)
 
 
-def _aligned(documents: DataFrame, written: DataFrame) -> DataFrame:
-    """Union of documents; custom fields that the payload does not have are null."""
+def _as_document(written: DataFrame, documents: DataFrame) -> DataFrame:
+    """Payloads with the custom fields of the documents, null where they have none."""
     held = set(written.schema["custom_fields"].dataType.fieldNames())
     fields = [
         (F.col(f"custom_fields.{f.name}") if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in documents.schema["custom_fields"].dataType.fields
     ]
-    return documents.unionByName(written.withColumn("custom_fields", F.struct(*fields)).select(documents.columns))
+    return written.withColumn("custom_fields", F.struct(*fields))
 
 
 def _claimed(outbox: DataFrame, eligible: Column, limit: int) -> DataFrame:

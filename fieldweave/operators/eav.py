@@ -8,6 +8,7 @@ join against them is written so that the repeating side is one AQE can split.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ from fieldweave.operators.predicates import Filter, all_of, value_condition
 # A page up to this many rows is sent to every executor; a larger one is joined
 # the way the optimizer picks.
 MAX_BROADCAST_ROWS = 10_000
+# A page up to this many rows is fetched and looked up by a list of its ids.
+MAX_HELD_ROWS = 200
+# List length up to which the Parquet reader tests single values.
+PUSHED_GROUP = 10
 
 
 def of_fields(values: DataFrame, catalog: FieldCatalog, names: Sequence[str]) -> DataFrame:
@@ -80,9 +85,8 @@ def pivot(values: DataFrame, catalog: FieldCatalog, names: Sequence[str] | None
     each field. The columns are known, so no job has to look for them."""
     chosen = catalog.fields if names is None else [catalog.by_name[n] for n in names]
     rows = values if names is None else of_fields(values, catalog, names)
-    return rows.groupBy("record_id").agg(
-        *[F.max(F.when(F.col("field_id") == f.id, F.col("value"))).alias(f.api_name) for f in chosen]
-    )
+    wide = rows.groupBy("record_id").pivot("field_id", [f.id for f in chosen]).agg(F.max("value"))
+    return wide.toDF("record_id", *[f.api_name for f in chosen])
 
 
 def wide_contacts(
@@ -126,12 +130,36 @@ def left_values(contacts: DataFrame, values: DataFrame, definitions: DataFrame)
     return rows.join(names, "field_id", "left")
 
 
-def values_of_page(values: DataFrame, page: DataFrame, page_size: int) -> DataFrame:
-    """The value rows of the records on a page that is sorted and cut already."""
-    ids = page.select(F.col("id").alias("record_id"))
+def held_page(page: DataFrame, page_size: int) -> tuple[DataFrame, list | None]:
+    """(page, its ids). A page of few rows is fetched and becomes a local table,
+    so that its sort runs once however often it is used; a larger page stays a
+    plan without known ids."""
+    if page_size > MAX_HELD_ROWS:
+        return page, None
+    rows = page.toArrow()
+    return page.sparkSession.createDataFrame(rows, page.schema), rows.column("id").to_pylist()
+
+
+def any_of(column: Column, wanted: Sequence) -> Column:
+    """Membership in a short list, in groups small enough for the Parquet reader
+    to skip row groups by each value and not by the range of all of them."""
+    groups = [wanted[n : n + PUSHED_GROUP] for n in range(0, len(wanted), PUSHED_GROUP)]
+    return reduce(lambda a, b: a | b, [column.isin(list(g)) for g in groups], F.lit(False))
+
+
+def values_of_page(values: DataFrame, page: DataFrame, page_size: int, ids: list | None = None) -> DataFrame:
+    """The value rows of the records on a page that is sorted and cut already.
+
+    Known ids become a pushed-down filter: of a table sorted by record within
+    its fields few row groups are read. Else the page is broadcast, or joined as
+    the optimizer picks if it is too long for that.
+    """
+    if ids is not None:
+        return values.where(any_of(F.col("record_id"), ids))
+    found = page.select(F.col("id").alias("record_id"))
     if page_size <= MAX_BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return values.join(ids, "record_id", "left_semi")
+        found = F.broadcast(found)
+    return values.join(found, "record_id", "left_semi")
 
 
 def present_entries(values: DataFrame, catalog: FieldCatalog) -> DataFrame:
@@ -165,17 +193,19 @@ def values_per_contact(contacts: DataFrame, values: DataFrame, catalog: FieldCat
     return joined.withColumn("entries", F.coalesce("entries", empty))
 
 
-def custom_map(values: DataFrame, catalog: FieldCatalog) -> DataFrame:
-    """Per record a map of its present fields."""
-    pairs = F.transform("entries", lambda e: F.struct(e["api_name"], e["value"]))
-    return present_entries(values, catalog).select(
-        "record_id", F.map_from_entries(pairs).alias("custom_fields")
-    )
-
-
 def full_map(catalog: FieldCatalog) -> Column:
     """A map of all fields from pivoted columns, null where absent."""
-    return F.create_map(*[x for f in catalog.fields for x in (F.lit(f.api_name), F.col(f.api_name))])
+    return F.map_from_arrays(F.lit(catalog.names), F.array(*catalog.names))
+
+
+def present_map(catalog: FieldCatalog) -> Column:
+    """A map of the present fields from pivoted columns."""
+    return F.map_filter(full_map(catalog), lambda _, value: value.isNotNull())
+
+
+def custom_map(values: DataFrame, catalog: FieldCatalog) -> DataFrame:
+    """Per record a map of its present fields."""
+    return pivot(values, catalog).select("record_id", present_map(catalog).alias("custom_fields"))
 
 
 def pack_values(values: DataFrame, catalog: FieldCatalog) -> DataFrame:

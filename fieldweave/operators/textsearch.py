@@ -31,21 +31,42 @@ def keyword_condition(columns: Sequence[Column], words: Sequence[str]) -> Column
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
+# Column of a document table that holds the gram counts of its searched fields,
+# in their order. Where it is there, no request has to cut texts into runs.
+LENGTHS = "search_lengths"
+
+
+def with_lengths(docs: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Documents with the lengths of their searched fields, to be stored with them."""
+    return docs.withColumn(LENGTHS, F.transform(_texts(columns), X.gram_count))
+
+
+def _texts(columns: Mapping[str, Column]) -> Column:
+    return F.array(*[c.cast("string") for c in columns.values()])
+
+
 def text_cells(docs: DataFrame, columns: Mapping[str, Column], *keep: Column) -> DataFrame:
-    """One row per document and searched field: position, field, text."""
+    """One row per document and searched field: position, field, text, length."""
+    known = LENGTHS in docs.columns
     cells = F.array(
         *[
-            F.struct(F.lit(n).alias("position"), F.lit(name).alias("field"), c.cast("string").alias("text"))
+            F.struct(
+                F.lit(n).alias("position"),
+                F.lit(name).alias("field"),
+                c.cast("string").alias("text"),
+                (F.col(LENGTHS)[n] if known else F.lit(None).cast("long")).alias("length"),
+            )
             for n, (name, c) in enumerate(columns.items())
         ]
     )
-    return docs.select(*keep, F.inline(cells))
+    rows = docs.select(*keep, F.inline(cells))
+    return rows if known else rows.withColumn("length", X.gram_count(F.col("text")))
 
 
 def field_statistics(docs: DataFrame, columns: Mapping[str, Column], words: Sequence[str]) -> DataFrame:
     """Per field the documents that have it, its total length, and how many
     documents hold each word. Partial aggregates leave one row per field and task."""
-    cells = text_cells(docs, columns).withColumn("length", X.gram_count(F.col("text")))
+    cells = text_cells(docs, columns)
     low = F.lower("text")
     holding = F.array(*[F.count_if(F.contains(low, F.lit(w))) for w in words]).cast("array<bigint>")
     return cells.groupBy("position", "field").agg(
@@ -78,9 +99,10 @@ def with_score(
     if only is not None:
         matching = matching.where(only)
 
-    def measured(text: Column) -> Column:
+    def measured(text: Column, known: Column) -> Column:
         found = [X.occurrences(F.lower(text), w) for w in counted]
-        return F.struct(X.gram_count(text).alias("length"), F.array(*found).alias("tfs"))
+        length = known if LENGTHS in docs.columns else X.gram_count(text)
+        return F.struct(length.alias("length"), F.array(*found).alias("tfs"))
 
     def of_field(cell: Column, field: Column) -> Column:
         average = field["length"] / field["docs"]
@@ -92,9 +114,10 @@ def with_score(
 
     # Columns of their own, so that the subquery is planned once, and length and
     # word counts are computed once per row.
-    texts = F.array(*[c.cast("string") for c in columns.values()])
+    texts = _texts(columns)
+    known = F.col(LENGTHS) if LENGTHS in docs.columns else texts
     staged = {
-        "_cells": F.transform(texts, measured),
+        "_cells": F.zip_with(texts, known, measured),
         "_stats": statistics.agg(per_field.alias("stats")).scalar(),
     }
     if not counted:
@@ -114,9 +137,9 @@ def ngram_index(docs: DataFrame, columns: Mapping[str, Column], key: str = "id")
     (field, gram, id); a gram that very many rows hold stays spread by id.
     """
     fields = text_cells(docs, columns, F.col(key).alias("id")).where(F.col("text").isNotNull())
-    run = fields.select(
-        "field", "id", X.gram_count(F.col("text")).alias("length"), F.explode(X.runs(F.col("text"))).alias("run")
-    ).where(F.length("run") >= S.MIN_GRAM)
+    run = fields.select("field", "id", "length", F.explode(X.runs(F.col("text"))).alias("run")).where(
+        F.length("run") >= S.MIN_GRAM
+    )
     start = run.withColumn("pos", F.explode(F.sequence(F.lit(1), F.length("run") - (S.MIN_GRAM - 1))))
     longest = F.least(F.lit(S.MAX_GRAM), F.length("run") - F.col("pos") + 1)
     grams = start.withColumn("size", F.explode(F.sequence(F.lit(S.MIN_GRAM), longest)))

@@ -19,6 +19,9 @@ from fieldweave.operators.sorting import last_direction_wins, missing_last, orde
 from fieldweave.plans.spec import SearchSpec
 
 
+PAGE_COLUMNS = ("id", "email", "first_name", "last_name", "created_at", "updated_at")
+
+
 @dataclass(frozen=True)
 class SearchResult:
     """``page`` is the sorted page, ``matched`` all matching rows before it."""
@@ -60,9 +63,8 @@ def search_documents(
     else:
         matched = docs.where(keep)
     if spec.search and not spec.sort:
-        page = page_of(
-            X.with_score(docs, columns, words, keep), X.by_relevance(), spec.page, spec.page_size
-        )
+        scored = X.with_score(docs, columns, words, keep)
+        page = page_of(scored, X.by_relevance(), spec.page, spec.page_size)
     else:
         order = order_of(
             last_direction_wins(spec.sort), lambda n: P.document_column(n, catalog), missing_last
@@ -83,6 +85,7 @@ def search_eav(
     anything is pivoted; the page is cut on ids and sort values, and only its
     records' values are read and pivoted into ``custom_fields``. That map has
     the present fields, or all of them for a request that needs pivoted columns.
+    The page is cut when this is called; total and groups are lazy.
     """
     base = contacts.where(P.contact_condition(spec.base_filters))
     if spec.search:
@@ -107,30 +110,22 @@ def search_eav(
         ordered = matched.join(E.matches(values, catalog, [], sort_fields), "id", "left")
 
     sorts = [s for s in spec.sort if not is_custom(s.field) or s.field in sort_fields]
-    order = order_of(sorts, lambda n: F.col(n) if is_custom(n) else P.contact_column(n))
-    keys = ordered.select("*", *[_sort_key(s.field) for s in last_direction_wins(sorts)])
-    page = page_of(keys, order, spec.page, spec.page_size)
-
-    theirs = E.values_of_page(values, page, spec.page_size)
-    if spec.needs_pivot:
-        wide = E.pivot(theirs, catalog)
-        fields = wide.select("record_id", E.full_map(catalog).alias("custom_fields"))
-        absent = F.create_map(*[x for n in catalog.names for x in (F.lit(n), F.lit(None).cast("string"))])
-    else:
-        fields = E.custom_map(theirs, catalog)
-        absent = F.create_map().cast("map<string,string>")
-    again = order_of(sorts, lambda n: F.col(f"_key_{n}"))
+    order = order_of(sorts, lambda n: F.col(f"_key_{n}"))
+    keys = ordered.select(*PAGE_COLUMNS, *[_sort_key(s.field) for s in last_direction_wins(sorts)])
+    cut = page_of(keys, order, spec.page, spec.page_size)
+    page, ids = E.held_page(cut, spec.page_size)
+
+    wide = E.pivot(E.values_of_page(values, page, spec.page_size, ids), catalog)
+    fields = E.full_map(catalog) if spec.needs_pivot else E.present_map(catalog)
     rows = (
-        page.withColumnRenamed("id", "record_id")
-        .join(fields, "record_id", "left")
-        .withColumnRenamed("record_id", "id")
-        .orderBy(*again)
+        page.join(wide.withColumnRenamed("record_id", "id"), "id", "left")
+        .orderBy(*order)
         .limit(spec.page_size)
         .select(
             "id",
             F.coalesce("email", F.lit("")).alias("email"),
             full_name(F.col("first_name"), F.col("last_name")).alias("name"),
-            F.coalesce("custom_fields", absent).alias("custom_fields"),
+            fields.alias("custom_fields"),
             "created_at",
             "updated_at",
         )

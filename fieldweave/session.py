@@ -26,6 +26,7 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     if master:
         builder = builder.master(master)
