@@ -94,8 +94,7 @@ def main() -> None:
         )
     )
     documents = spark.read.parquet(paths["documents"])
-    log = L.outbox(spark, SF_DIR)
-    changes = C.to_change(log, C.document_type(L.PAYLOAD_CATALOG, log.schema["aggregate_id"].dataType))
+    changes = C.to_change(L.outbox(spark, SF_DIR))
 
     def page(result) -> None:
         result.page.collect()

@@ -23,6 +23,7 @@ from fieldweave.session import settle
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _KIND_TYPES = {S.NUMBER: T.DoubleType(), S.DATE: T.DateType()}
 
+DOCUMENT_COLUMNS = ("id", "email", "name", "custom_fields", "created_at", "updated_at")
 VERSION = ("event_time", "event_id")
 
 
@@ -81,21 +82,22 @@ def emit(changes: DataFrame, batch: str, as_of: Column) -> DataFrame:
     )
 
 
-def to_change(outbox: DataFrame, document: T.StructType | None = None) -> DataFrame:
-    """Log rows as changes; a delete has no payload. With a document type the
-    payload is parsed."""
-    payload = F.when(F.col("event_type") != S.DELETED, F.col("payload"))
-    if document is not None:
-        payload = F.from_json(payload, document, {"timestampNTZFormat": JSON_TIME})
+def to_change(outbox: DataFrame) -> DataFrame:
+    """Log rows as changes; a delete has no payload."""
     return outbox.select(
         F.col("event_type").alias("type"),
         F.col("aggregate_id").alias("contact_id"),
-        payload.alias("payload"),
+        F.when(F.col("event_type") != S.DELETED, F.col("payload")).alias("payload"),
         F.col("created_at").alias("event_time"),
         F.col("id").alias("event_id"),
     )
 
 
+def read_payload(changes: DataFrame, document: T.StructType) -> DataFrame:
+    """Changes with their payload text as a document of the given type."""
+    return changes.withColumn("payload", F.from_json("payload", document, {"timestampNTZFormat": JSON_TIME}))
+
+
 def dedupe_events(changes: DataFrame) -> DataFrame:
     """An event delivered more than once counts once."""
     return changes.dropDuplicates(["event_id"])
@@ -120,9 +122,9 @@ def newest_changes(changes: DataFrame) -> DataFrame:
     very many changes is reduced where its changes are read."""
     state = F.struct("type", "payload", "event_time", "event_id")
     return (
-        changes.groupBy(F.col("contact_id").alias("id"))
+        changes.groupBy("contact_id")
         .agg(F.max_by(state, F.struct(*VERSION)).alias("last"))
-        .select("id", "last.*")
+        .select("last.type", "contact_id", "last.payload", "last.event_time", "last.event_id")
     )
 
 
@@ -136,27 +138,22 @@ def apply_changes(
     documents: DataFrame, changes: DataFrame, derive: Callable[[DataFrame], DataFrame] | None = None
 ) -> Applied:
     """Documents after the changes: created and updated ones replaced whole,
-    deleted ones gone. Deleting what is not there is no error. ``derive`` adds
-    the columns that are stored with documents but computed from them."""
+    deleted ones gone. Deleting what is not there is no error.
+
+    Only the last change of a contact has its payload read, as the log's JSON is
+    checked when it is written. ``derive`` adds the columns that are stored with
+    documents but computed from them.
+    """
     good, rejected = split_changes(changes)
     last = newest_changes(good)
-    written = _as_document(last.where(F.col("type") != S.DELETED).select("payload.*"), documents)
+    document = T.StructType([documents.schema[c] for c in DOCUMENT_COLUMNS])
+    written = read_payload(last.where(F.col("type") != S.DELETED), document).select("payload.*")
     if derive is not None:
         written = derive(written)
-    untouched = documents.join(last.select("id"), "id", "left_anti")
+    untouched = documents.join(last.select(F.col("contact_id").alias("id")), "id", "left_anti")
     return Applied(untouched.unionByName(written), rejected)
 
 
-def _as_document(written: DataFrame, documents: DataFrame) -> DataFrame:
-    """Payloads with the custom fields of the documents, null where they have none."""
-    held = set(written.schema["custom_fields"].dataType.fieldNames())
-    fields = [
-        (F.col(f"custom_fields.{f.name}") if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in documents.schema["custom_fields"].dataType.fields
-    ]
-    return written.withColumn("custom_fields", F.struct(*fields))
-
-
 def _claimed(outbox: DataFrame, eligible: Column, limit: int) -> DataFrame:
     return outbox.where(eligible).orderBy("created_at", "id").limit(limit)
 

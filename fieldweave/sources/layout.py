@@ -10,9 +10,6 @@ from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import typed_value
 from fieldweave.operators.eav import pivot
 
-DOCUMENT_COLUMNS = ("id", "email", "name", "custom_fields", "created_at", "updated_at")
-
-
 def read_contacts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.CONTACTS).parquet(path)
 

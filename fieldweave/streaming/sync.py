@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldweave import schema as S
-from fieldweave.operators.changes import newest_changes, split_changes, to_change
+from fieldweave.operators.changes import newest_changes, read_payload, split_changes, to_change
 
 
 def stream_sync(
@@ -29,8 +29,9 @@ def stream_sync(
     """Start the sync. Without an interval it takes what is there and ends."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good, rejected = split_changes(to_change(batch, document))
-        newest_changes(good).write.mode("overwrite").parquet(f"{target}/changes/batch_id={batch_id}")
+        good, rejected = split_changes(to_change(batch))
+        last = read_payload(newest_changes(good), document)
+        last.write.mode("overwrite").parquet(f"{target}/changes/batch_id={batch_id}")
         rejected.write.mode("overwrite").parquet(f"{target}/rejected/batch_id={batch_id}")
 
     writer = outbox.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -43,24 +44,23 @@ def written_changes(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target}/changes")
 
 
-def current_state(changes: DataFrame) -> DataFrame:
+def current_state(spark: SparkSession, target: str) -> DataFrame:
     """The newest change per contact over all batches, deletes included."""
-    return newest_changes(changes.withColumnRenamed("id", "contact_id"))
+    return newest_changes(written_changes(spark, target))
 
 
 def synced_documents(spark: SparkSession, target: str, base: DataFrame | None = None) -> DataFrame:
     """The document table as of the last finished batch, over an optional base
     table that no change has touched yet."""
-    state = current_state(written_changes(spark, target))
+    state = current_state(spark, target)
     live = state.where(F.col("type") != S.DELETED).select("payload.*")
     if base is None:
         return live
-    return base.join(state.select("id"), "id", "left_anti").unionByName(live, allowMissingColumns=True)
+    touched = state.select(F.col("contact_id").alias("id"))
+    return base.join(touched, "id", "left_anti").unionByName(live, allowMissingColumns=True)
 
 
 def compact(spark: SparkSession, target: str, into: str) -> None:
     """Write one change per contact of all batches as the first batch of a new
     target; batches that come later win over it by their version."""
-    current_state(written_changes(spark, target)).write.mode("errorifexists").parquet(
-        f"{into}/changes/batch_id=-1"
-    )
+    current_state(spark, target).write.mode("errorifexists").parquet(f"{into}/changes/batch_id=-1")

@@ -25,10 +25,6 @@ def event_sql(batch: str, kind: str) -> str:
     return f"md5(concat_ws('|', '{batch}', {kind}, cast(id as varchar)))"
 
 
-def changes_of(log: DataFrame) -> DataFrame:
-    return C.to_change(log, C.document_type(L.PAYLOAD_CATALOG, log.schema["aggregate_id"].dataType))
-
-
 @query(
     "append_outbox",
     f"""with c as (select id, case when status = 'inactive' then 'CONTACT_DELETED' else 'CONTACT_CREATED' end as event_type from contacts)
@@ -235,7 +231,7 @@ def shown(docs: DataFrame) -> DataFrame:
       where event_type <> 'CONTACT_DELETED' and payload_value is null""",
 )
 def apply_changes(spark: SparkSession, d: str) -> DataFrame:
-    applied = C.apply_changes(L.documents(spark, d), changes_of(L.outbox(spark, d)))
+    applied = C.apply_changes(L.documents(spark, d), C.to_change(L.outbox(spark, d)))
     rejected = applied.rejected.select(
         F.col("event_id").alias("id"), F.col("type").alias("email"), F.col("event_time").alias("updated_at"), F.lit("rejected").alias("part")
     )

@@ -266,7 +266,8 @@ def route_fields(spark: SparkSession, d: str) -> DataFrame:
 )
 def event_to_change(spark: SparkSession, d: str) -> DataFrame:
     log = L.outbox(spark, d)
-    changes = C.to_change(log, C.document_type(L.PAYLOAD_CATALOG, log.schema["aggregate_id"].dataType))
+    document = C.document_type(L.PAYLOAD_CATALOG, log.schema["aggregate_id"].dataType)
+    changes = C.read_payload(C.to_change(log), document)
     return changes.select(
         "event_id",
         "type",
