@@ -291,16 +291,11 @@ def judge_new_contacts(
 def judge_fields(fields: DataFrame, definitions: DataFrame, key: str) -> DataFrame:
     """(key, reason): the first reason by field name that a key's field values
     are refused for. A null value removes a field and is never invalid."""
-    known = V.known_active_fields(fields, definitions).withColumnRenamed("reason", "_known")
-    rules = definitions.select("api_name", "data_type", "options")
-    value = F.col("value")
-    broken = F.when(
-        value.isNotNull(), V.value_reason(value, F.col("data_type"), F.col("options"), F.lit(False))
-    )
-    reason = F.coalesce(F.col("_known"), broken)
+    rules = definitions.select("api_name", "is_active", "data_type", "options")
+    broken = V.value_reason(F.col("value"), F.col("data_type"), F.col("options"), F.lit(False))
     return (
-        known.join(rules, "api_name", "left")
-        .withColumn("reason", reason)
+        fields.join(rules, "api_name", "left")
+        .withColumn("reason", F.coalesce(V.field_reason(F.col("is_active")), broken))
         .where("reason is not null")
         .groupBy(key)
         .agg(F.min_by("reason", F.struct("api_name", "reason")).alias("reason"))

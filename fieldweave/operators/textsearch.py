@@ -20,7 +20,7 @@ from fieldweave.functions import text as X
 
 def words_of(spark: SparkSession, query: str) -> list[str]:
     """Usable words of a request's keyword text."""
-    return spark.range(1).select(X.query_terms(F.lit(query)).alias("words")).first()["words"]
+    return spark.sql("select 1").select(X.query_terms(F.lit(query)).alias("words")).first()["words"]
 
 
 def keyword_condition(columns: Sequence[Column], words: Sequence[str]) -> Column:
@@ -31,6 +31,8 @@ def keyword_condition(columns: Sequence[Column], words: Sequence[str]) -> Column
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
+# Up to this many words the statistics of a stored index are broadcast.
+MAX_BROADCAST_WORDS = 1_000
 # Column of a document table that holds the gram counts of its searched fields,
 # in their order. Where it is there, no request has to cut texts into runs.
 LENGTHS = "search_lengths"
@@ -172,11 +174,13 @@ def score_from_index(postings: DataFrame, lengths: DataFrame, words: Sequence[st
     counted = Counter(words)
     found = postings.where(F.col("gram").isin(list(counted)))
     weights = F.create_map(*[F.lit(x) for w, n in counted.items() for x in (w, float(n))])
-    holding = found.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("df"))
     totals = lengths.select("field", "docs", F.col("length").alias("total_length"))
+    # One row per field and word, however many postings there are.
+    holding = found.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("df")).join(totals, "field")
+    if len(counted) <= MAX_BROADCAST_WORDS:
+        holding = F.broadcast(holding)
     parts = (
         found.join(holding, ["field", "gram"])
-        .join(totals, "field")
         .withColumn(
             "part",
             bm25(F.col("tf"), F.col("df"), F.col("docs"), F.col("length"), F.col("total_length") / F.col("docs"))

@@ -165,10 +165,15 @@ def new_only(batch: DataFrame, existing: DataFrame, key: str, order: str) -> Dat
     return batch.join(marks, key, "left").withColumn("reason", reason).drop("_first", "_known")
 
 
+def field_reason(is_active: Column) -> Column:
+    """Why a field takes no values, by its flag after a left join; null if it does."""
+    return F.when(is_active.isNull(), "unknown_field").when(~is_active, "inactive_field")
+
+
 def known_active_fields(changes: DataFrame, definitions: DataFrame) -> DataFrame:
     """Changes with a ``reason`` where the named field is unknown or switched off."""
     fields = definitions.select("api_name", "is_active")
-    reason = F.when(F.col("is_active").isNull(), "unknown_field").when(~F.col("is_active"), "inactive_field")
+    reason = field_reason(F.col("is_active"))
     return changes.join(fields, "api_name", "left").withColumn("reason", reason).drop("is_active")
 
 

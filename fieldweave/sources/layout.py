@@ -85,11 +85,11 @@ def build_documents(contacts: DataFrame, values: DataFrame, catalog: FieldCatalo
 def write_values(values: DataFrame, path: str) -> None:
     """EAV rows in one folder per field, so that a field filter reads its files only.
 
-    The range split on (field, record) lets a frequent field spread over many
-    files and keeps the rows of a file sorted by record.
+    The range split lets a frequent field spread over many files and keeps the
+    rows of a file sorted by record.
     """
     (
-        values.repartitionByRange("field_id", "record_id")
+        values.repartitionByRange("field_id", "record_id", "id")
         .sortWithinPartitions("field_id", "record_id")
         .write.mode("overwrite")
         .partitionBy("field_id")

@@ -9,6 +9,7 @@ from fieldweave.operators import eav as E
 from fieldweave.operators import predicates as P
 from fieldweave.operators import textsearch as X
 from fieldweave.operators import validation as Q
+from fieldweave.operators.lookups import by_column, by_ids, contact_by_id
 from fieldweave.operators.predicates import Filter
 from fieldweave.operators.sorting import order_of, page_of
 from fieldweave.plans.search import search_columns
@@ -168,8 +169,8 @@ def base_eq(spark: SparkSession, d: str) -> DataFrame:
     """select c.id, c.email, e.api_name, e.value from contacts c left join eav e on e.record_id = c.id where c.id = 42""",
 )
 def by_id(spark: SparkSession, d: str) -> DataFrame:
-    contact = L.contacts(spark, d).where(P.contact_condition([Filter("id", "eq", 42)])).select("id", "email")
-    rows = E.left_values(contact, L.values(spark, d).where("record_id = 42"), CATALOG.to_dataframe(spark))
+    contacts = L.contacts(spark, d).select("id", "email")
+    rows = contact_by_id(contacts, L.values(spark, d), CATALOG.to_dataframe(spark), 42)
     return rows.select("id", "email", "api_name", "value")
 
 
@@ -184,7 +185,7 @@ def by_email(spark: SparkSession, d: str) -> DataFrame:
         "customer.000000636@nation-5.example.com",
         "customer.000000232@nation-0.example.com",
     ]
-    found = [rows.where(P.contact_condition([Filter("email", "eq", a)])) for a in addresses]
+    found = [by_column(rows, "email", a) for a in addresses]
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
@@ -194,9 +195,7 @@ def by_email(spark: SparkSession, d: str) -> DataFrame:
 )
 def def_by_api_name(spark: SparkSession, d: str) -> DataFrame:
     fields = L.tenant_fields(spark, d).select("id", "label", "api_name", "data_type")
-    return fields.where(F.col("api_name") == "hot_rod_brand16__c").unionByName(
-        fields.where(F.col("api_name") == "red_ring_brand9__c")
-    )
+    return fields.where(F.col("api_name").isin("hot_rod_brand16__c", "red_ring_brand9__c"))
 
 
 @query(
@@ -206,7 +205,7 @@ def def_by_api_name(spark: SparkSession, d: str) -> DataFrame:
 )
 def by_id_list(spark: SparkSession, d: str) -> DataFrame:
     buyers = L.table(spark, d, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("id"))
-    return L.contacts(spark, d).select(CONTACT).join(buyers.distinct(), "id", "left_semi")
+    return by_ids(L.contacts(spark, d).select(CONTACT), buyers)
 
 
 @query(
