@@ -301,15 +301,9 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outbox_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change log as a file stream over the event table's directory."""
+    """The change log as a file stream over the event table, one file or a folder."""
     schema = table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events*.parquet")
-        .option("recursiveFileLookup", "true")
-        .parquet(sf_dir)
-    )
-    return outbox_of_events(events)
+    return outbox_of_events(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
 
 
 def tenant_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
