@@ -18,6 +18,7 @@ from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import first_name, full_name, last_name
 from fieldweave.operators import validation as V
 from fieldweave.operators.eav import MAX_BROADCAST_ROWS, custom_map
+from fieldweave.operators.keys import listed
 from fieldweave.session import settle
 
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -225,7 +226,7 @@ def reindex_some(
     """(update events for the listed contacts, listed ids no contact has)."""
     wanted = ids.select("id").distinct()
     chosen = contacts.join(wanted, "id", "left_semi")
-    theirs = values.join(wanted.withColumnRenamed("id", "record_id"), "record_id", "left_semi")
+    theirs = values.join(listed(ids, "id", "record_id"), "record_id", "left_semi")
     return (
         reindex(chosen, theirs, catalog, batch, as_of),
         wanted.join(contacts.select("id"), "id", "left_anti"),
@@ -251,8 +252,7 @@ def merge_fields(values: DataFrame, patches: DataFrame) -> DataFrame:
 
 def replace_values(values: DataFrame, fresh: DataFrame, touched: DataFrame) -> DataFrame:
     """Values with all rows of the touched contacts exchanged for fresh ones."""
-    ids = touched.select(F.col("id").alias("record_id")).distinct()
-    return values.join(ids, "record_id", "left_anti").select(fresh.columns).unionByName(fresh)
+    return values.join(listed(touched, "id", "record_id"), "record_id", "left_anti").select(fresh.columns).unionByName(fresh)
 
 
 @dataclass(frozen=True)
@@ -416,7 +416,7 @@ def delete_contacts(
     wanted = ids.select("id").distinct()
     found = wanted.join(contacts.select("id"), "id", "left_semi")
     left = contacts.join(wanted, "id", "left_anti")
-    kept = values.join(wanted.withColumnRenamed("id", "record_id"), "record_id", "left_anti")
+    kept = values.join(listed(ids, "id", "record_id"), "record_id", "left_anti")
     events = found.withColumn("event_type", F.lit(S.DELETED)).withColumn("payload", F.lit(None).cast("string"))
     missing = wanted.join(contacts.select("id"), "id", "left_anti").withColumn("reason", F.lit("unknown_contact"))
     return Written(left, kept, emit(events, batch, as_of), missing)

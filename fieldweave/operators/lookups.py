@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldweave.operators.eav import any_of, left_values
+from fieldweave.operators.keys import listed
 from fieldweave.operators.predicates import literal
 
 # A list up to this length becomes a filter; a longer one is joined.
@@ -34,4 +35,4 @@ def by_ids(rows: DataFrame, ids: Sequence | DataFrame, key: str = "id") -> DataF
             return rows.where(any_of(F.col(key), ids))
         kind = rows.schema[key].dataType
         ids = rows.sparkSession.createDataFrame([(i,) for i in ids], f"id {kind.simpleString()}")
-    return rows.join(ids.select(F.col("id").alias(key)).distinct(), key, "left_semi")
+    return rows.join(listed(ids, "id", key), key, "left_semi")

@@ -11,6 +11,7 @@ from fieldweave import schema as S
 from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import is_custom_name, kind_of_data_type, to_day, to_number
 from fieldweave.operators.eav import with_definitions
+from fieldweave.operators.keys import listed, spread
 
 
 def _judged(rows: DataFrame, reason: Column) -> DataFrame:
@@ -85,7 +86,7 @@ def definition_use(definitions: DataFrame, values: DataFrame) -> DataFrame:
 
 def null_out_parent(contacts: DataFrame, removed: DataFrame) -> DataFrame:
     """Contacts of removed accounts stay without an account."""
-    gone = removed.select(F.col("id").alias("account_id")).distinct().withColumn("_gone", F.lit(True))
+    gone = listed(removed, "id", "account_id").withColumn("_gone", F.lit(True))
     kept = F.when(F.col("_gone").isNull(), F.col("account_id"))
     return contacts.join(gone, "account_id", "left").withColumn("account_id", kept).drop("_gone")
 
@@ -160,7 +161,7 @@ def new_only(batch: DataFrame, existing: DataFrame, key: str, order: str) -> Dat
     a key repeated very often is reduced before the shuffle."""
     first = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("_first"))
     known = existing.select(key).distinct().withColumn("_known", F.lit(True))
-    marks = first.join(known, key, "left")
+    marks = spread(first.join(known, key, "left"))
     reason = F.when(F.col("_known"), f"known_{key}").when(F.col("_first") < F.col(order), f"repeated_{key}")
     return batch.join(marks, key, "left").withColumn("reason", reason).drop("_first", "_known")
 

@@ -20,6 +20,18 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# DuckDB types of the Spark types that results have.
+TWIN_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(value):
     if isinstance(value, decimal.Decimal):
         return float(value)
@@ -40,9 +52,13 @@ def differences(frame, con, sql: str) -> tuple[int, str]:
     names = frame.columns
     cursor = con.execute(sql)
     twin_names = [c[0] for c in cursor.description]
+    twin_types = {c[0]: str(c[1]) for c in cursor.description}
     twin = cursor.fetchall()
     if sorted(names) != sorted(twin_names):
         return len(rows), f"columns {sorted(names)} / {sorted(twin_names)}"
+    for name, kind in frame.dtypes:
+        if TWIN_TYPES.get(kind) != twin_types[name]:
+            return len(rows), f"type of {name}: {kind} / {twin_types[name]}"
     ours = bag(rows, [names.index(n) for n in sorted(names)])
     theirs = bag(twin, [twin_names.index(n) for n in sorted(names)])
     if ours == theirs:

@@ -12,6 +12,7 @@ from fieldweave.operators import changes as C
 from fieldweave.operators import eav as E
 from fieldweave.operators import predicates as P
 from fieldweave.operators import validation as Q
+from fieldweave.operators.lookups import by_ids
 from fieldweave.operators.predicates import Filter
 from fieldweave.plans.search import search_documents, search_eav
 from fieldweave.plans.spec import SearchSpec
@@ -103,6 +104,59 @@ def test_hot_email_in_a_batch(spark):
     assert {r["reason"]: r["count"] for r in judged.collect()} == {None: 1, "repeated_email": HOT - 1}
 
 
+@pytest.fixture
+def small_partitions(spark):
+    """AQE thresholds scaled down to the size of the fixtures."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def joins_with_hot_side(spark, contacts, values):
+    definitions = CATALOG.to_dataframe(spark)
+    ids = values.select(F.col("record_id").alias("id")).where("id < 50")
+    fields = values.select(F.when(F.col("field_id") == "f07", "score__c").otherwise("tier__c").alias("api_name"), "value")
+    emails = values.select(F.format_string("r%08d", F.monotonically_increasing_id()).alias("request_id"), F.col("record_id").cast("string").alias("email"))
+    owned = values.select("id", F.col("record_id").alias("account_id"))
+    return {
+        "left_values": E.left_values(contacts, values, definitions),
+        "with_definitions": E.with_definitions(values, definitions),
+        "by_ids": by_ids(values, ids, "record_id"),
+        "replace_values": C.replace_values(values, values.limit(0).select("record_id", "field_id", "value"), ids),
+        "delete_contacts": C.delete_contacts(ids, contacts, values, "b", F.lit("2024-01-01").cast("timestamp_ntz")).values,
+        "new_only": Q.new_only(emails, contacts.select("email"), "email", "request_id"),
+        "known_active_fields": Q.known_active_fields(fields, definitions),
+        "null_out_parent": Q.null_out_parent(owned, ids),
+        "orphan_values": Q.orphan_values(values, contacts, definitions),
+    }
+
+
+def test_joins_split_a_hot_key(spark, hot, small_partitions, tmp_path):
+    contacts, values = hot
+    values.write.parquet(str(tmp_path / "values"))
+    contacts.write.parquet(str(tmp_path / "contacts"))
+    contacts = spark.read.parquet(str(tmp_path / "contacts"))
+    values = spark.read.parquet(str(tmp_path / "values"))
+    unsplit = []
+    for name, frame in joins_with_hot_side(spark, contacts, values).items():
+        frame.collect()
+        if "skew=true" not in plan_of(frame):
+            unsplit.append(name)
+    assert unsplit == []
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_plans(spark, name):
     plan = plan_of(entry.queries()[name](spark, DATA))
