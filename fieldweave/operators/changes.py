@@ -189,8 +189,10 @@ def stale_claims(outbox: DataFrame, before: Column) -> DataFrame:
 
 def finish_events(outbox: DataFrame, results: DataFrame, as_of: Column) -> DataFrame:
     """The log after results (id, status, error): done events get their time,
-    failed ones one more try and the message, others the status alone."""
-    outcome = results.select("id", F.col("status").alias("_status"), F.col("error").alias("_error"))
+    failed ones one more try and the message, others the status alone. Should an
+    event have several results, one of them holds, a failure before a success."""
+    last = results.groupBy("id").agg(F.max(F.struct("status", "error")).alias("_last"))
+    outcome = last.select("id", F.col("_last.status").alias("_status"), F.col("_last.error").alias("_error"))
     row = outbox.join(outcome, "id", "left")
     done, failed = F.col("_status") == S.DONE, F.col("_status") == S.FAILED
     return row.withColumns(
@@ -351,7 +353,11 @@ def new_id(what: str, name: Column) -> Column:
 
 def judge_updates(updates: DataFrame, contacts: DataFrame) -> DataFrame:
     """Update requests (id, name) with the ``reason`` to refuse them: no such
-    contact, or a name given that is blank. A null name leaves the name."""
+    contact, or a name given that is blank. A null name leaves the name. Of
+    several requests for one contact that with the greatest ``seq`` holds, or
+    the greatest name without such a column."""
+    newest = F.max_by("name", "seq") if "seq" in updates.columns else F.max("name")
+    updates = updates.groupBy("id").agg(newest.alias("name"))
     known = contacts.select("id", F.lit(True).alias("_known"))
     reason = F.when(F.col("_known").isNull(), "unknown_contact").when(F.trim("name") == "", "blank_name")
     return updates.join(known, "id", "left").withColumn("reason", reason).drop("_known")

@@ -34,7 +34,7 @@ def keyword_condition(columns: Sequence[Column], words: Sequence[str]) -> Column
 # Up to this many words the statistics of a stored index are broadcast.
 MAX_BROADCAST_WORDS = 1_000
 # Column of a document table that holds the gram counts of its searched fields,
-# in their order. Where it is there, no request has to cut texts into runs.
+# in their order. With it no request has to cut texts into runs.
 LENGTHS = "search_lengths"
 
 
@@ -47,28 +47,33 @@ def _texts(columns: Mapping[str, Column]) -> Column:
     return F.array(*[c.cast("string") for c in columns.values()])
 
 
-def text_cells(docs: DataFrame, columns: Mapping[str, Column], *keep: Column) -> DataFrame:
-    """One row per document and searched field: position, field, text, length."""
-    known = LENGTHS in docs.columns
+def text_cells(
+    docs: DataFrame, columns: Mapping[str, Column], *keep: Column, lengths: str | None = None
+) -> DataFrame:
+    """One row per document and searched field: position, field, text, length.
+    A stored length is used where there is one."""
     cells = F.array(
         *[
             F.struct(
                 F.lit(n).alias("position"),
                 F.lit(name).alias("field"),
                 c.cast("string").alias("text"),
-                (F.col(LENGTHS)[n] if known else F.lit(None).cast("long")).alias("length"),
+                (F.get(lengths, F.lit(n)) if lengths else F.lit(None).cast("long")).alias("known"),
             )
             for n, (name, c) in enumerate(columns.items())
         ]
     )
     rows = docs.select(*keep, F.inline(cells))
-    return rows if known else rows.withColumn("length", X.gram_count(F.col("text")))
+    length = F.coalesce("known", X.gram_count(F.col("text")))
+    return rows.withColumn("length", length).drop("known")
 
 
-def field_statistics(docs: DataFrame, columns: Mapping[str, Column], words: Sequence[str]) -> DataFrame:
+def field_statistics(
+    docs: DataFrame, columns: Mapping[str, Column], words: Sequence[str], lengths: str | None = None
+) -> DataFrame:
     """Per field the documents that have it, its total length, and how many
     documents hold each word. Partial aggregates leave one row per field and task."""
-    cells = text_cells(docs, columns)
+    cells = text_cells(docs, columns, lengths=lengths)
     low = F.lower("text")
     holding = F.array(*[F.count_if(F.contains(low, F.lit(w))) for w in words]).cast("array<bigint>")
     return cells.groupBy("position", "field").agg(
@@ -87,15 +92,17 @@ def with_score(
     columns: Mapping[str, Column],
     words: Sequence[str],
     only: Column | None = None,
+    lengths: str | None = None,
 ) -> DataFrame:
     """Rows that match the words, and meet ``only``, with their ``score``.
+    ``lengths`` names the stored lengths of just these columns, if there are any.
 
     The statistics are a scalar subquery over all of ``docs``: one row, computed
     in a first pass with partial aggregates. Length and word counts of a field
     are computed for matching rows only.
     """
     counted = Counter(words)
-    statistics = field_statistics(docs, columns, list(counted))
+    statistics = field_statistics(docs, columns, list(counted), lengths)
     per_field = F.array_sort(F.collect_list(F.struct("position", "docs", "length", "dfs")))
     matching = docs.where(keyword_condition(list(columns.values()), words))
     if only is not None:
@@ -103,7 +110,7 @@ def with_score(
 
     def measured(text: Column, known: Column) -> Column:
         found = [X.occurrences(F.lower(text), w) for w in counted]
-        length = known if LENGTHS in docs.columns else X.gram_count(text)
+        length = F.coalesce(known, X.gram_count(text))
         return F.struct(length.alias("length"), F.array(*found).alias("tfs"))
 
     def of_field(cell: Column, field: Column) -> Column:
@@ -117,7 +124,7 @@ def with_score(
     # Columns of their own, so that the subquery is planned once, and length and
     # word counts are computed once per row.
     texts = _texts(columns)
-    known = F.col(LENGTHS) if LENGTHS in docs.columns else texts
+    known = F.col(lengths) if lengths else F.array().cast("array<bigint>")
     staged = {
         "_cells": F.zip_with(texts, known, measured),
         "_stats": statistics.agg(per_field.alias("stats")).scalar(),

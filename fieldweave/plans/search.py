@@ -55,6 +55,7 @@ def search_documents(
     """A request on the document layout. Rows are scored only if the score
     decides the order; groups count the whole table, as the request's filters
     do not apply to them."""
+    lengths = X.LENGTHS if columns is None and X.LENGTHS in docs.columns else None
     columns = search_columns(catalog) if columns is None else columns
     keep = P.document_condition(spec.filters, catalog)
     words = X.words_of(docs.sparkSession, spec.search) if spec.search else []
@@ -63,7 +64,7 @@ def search_documents(
     else:
         matched = docs.where(keep)
     if spec.search and not spec.sort:
-        scored = X.with_score(docs, columns, words, keep)
+        scored = X.with_score(docs, columns, words, keep, lengths)
         page = page_of(scored, X.by_relevance(), spec.page, spec.page_size)
     else:
         order = order_of(

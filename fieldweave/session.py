@@ -41,10 +41,10 @@ def shared_dir(spark: SparkSession) -> str:
     Taken from ``spark.checkpoint.dir``. A temporary folder stands in for it
     only in local mode, where driver and executors share one disk.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     app = context.applicationId

@@ -30,6 +30,10 @@ def read_outbox(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.OUTBOX).parquet(path)
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def stream_outbox(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(S.OUTBOX)
     if files_per_batch:
@@ -112,6 +116,12 @@ def write_documents(documents: DataFrame, path: str) -> None:
     documents.write.mode("overwrite").parquet(path)
 
 
+def append_batch(rows: DataFrame, path: str, batch: str) -> None:
+    """Rows of a batch added to a table, in a folder of the batch's own: writing
+    the batch again replaces its rows and no others."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
 def upsert(target: DataFrame, changes: DataFrame, key: str, version: list[str]) -> DataFrame:
     """Target rows with changed rows put in by key; of several changes to one
     key the one with the greatest version holds.

@@ -10,6 +10,8 @@ event from reviving it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,15 +51,23 @@ def current_state(spark: SparkSession, target: str) -> DataFrame:
     return newest_changes(written_changes(spark, target))
 
 
-def synced_documents(spark: SparkSession, target: str, base: DataFrame | None = None) -> DataFrame:
+def synced_documents(
+    spark: SparkSession,
+    target: str,
+    base: DataFrame | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The document table as of the last finished batch, over an optional base
-    table that no change has touched yet."""
+    table that no change has touched yet. ``derive`` adds the columns that are
+    stored with documents but computed from them."""
     state = current_state(spark, target)
     live = state.where(F.col("type") != S.DELETED).select("payload.*")
+    if derive is not None:
+        live = derive(live)
     if base is None:
         return live
     touched = state.select(F.col("contact_id").alias("id"))
-    return base.join(touched, "id", "left_anti").unionByName(live, allowMissingColumns=True)
+    return base.join(touched, "id", "left_anti").unionByName(live)
 
 
 def compact(spark: SparkSession, target: str, into: str) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fieldweave import schema as S
 from fieldweave.operators import changes as C
 from fieldweave.sources import lens as L
+from fieldweave.sources.layout import append_batch
 from fieldweave.streaming.sync import compact, stream_sync, synced_documents
 
 CATALOG = L.CONTACT_CATALOG
@@ -84,7 +85,7 @@ def test_claims_and_results(log):
     assert [r["id"] for r in C.claim_retryable(table, 3).collect()] == ["e020", "e021", "e022"]
     assert C.claim_retryable(table).count() == 5
     results = claimed.sparkSession.createDataFrame(
-        [("e005", "DONE", None), ("e006", "FAILED", "boom"), ("e007", "PENDING", None)],
+        [("e005", "DONE", None), ("e006", "FAILED", "boom"), ("e006", "DONE", None), ("e007", "PENDING", None)],
         "id string, status string, error string",
     )
     after = {r["id"]: r for r in C.finish_events(claimed, results, F.lit(at(500))).collect()}
@@ -185,7 +186,9 @@ def test_create(spark, contacts):
 
 
 def test_update_changes_only_what_is_named(spark, contacts, stored_values):
-    updates = spark.createDataFrame([("1", " Kim New Name "), ("2", " "), ("9", "X")], "id string, name string")
+    updates = spark.createDataFrame(
+        [("1", " Kim New Name ", 2), ("1", "Zoe", 1), ("2", " ", 1), ("9", "X", 1)], "id string, name string, seq int"
+    )
     fields = spark.createDataFrame(
         [("1", "tier__c", None), ("1", "score__c", "7"), ("2", "tier__c", "GOLD")],
         "record_id string, api_name string, value string",
@@ -265,3 +268,12 @@ def test_stream_goes_on_from_its_checkpoint(spark, log, documents, tmp_path):
     compact(spark, target, compacted)
     assert names(synced_documents(spark, compacted, documents)) == {"1": "N1", "3": "N4"}
     assert spark.read.parquet(f"{compacted}/changes").where("type = 'CONTACT_DELETED'").count() == 2
+
+
+def test_a_batch_written_again_replaces_itself(spark, contacts, tmp_path):
+    path = str(tmp_path / "contacts")
+    append_batch(contacts, path, "a")
+    append_batch(contacts, path, "b")
+    append_batch(contacts.where("id = '1'"), path, "b")
+    rows = spark.read.parquet(path).groupBy("batch").count()
+    assert {r["batch"]: r["count"] for r in rows.collect()} == {"a": 2, "b": 1}

@@ -217,5 +217,9 @@ def test_a_missing_shared_folder_is_an_error_on_a_cluster():
         class sparkContext:
             master = "spark://host:7077"
 
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
     with pytest.raises(RuntimeError):
         shared_dir(Session())
