@@ -57,6 +57,8 @@ def occurrences(text: Column, word: str) -> Column:
     """How often a word of letters and digits occurs in lowercased text, overlaps
     counted; such an occurrence always lies inside one run."""
     if overlaps_itself(word):
-        return F.regexp_count(text, F.lit(f"(?={re.escape(word)})")).cast("long")
-    shorter = F.length(F.replace(text, F.lit(word), F.lit("")))
-    return ((F.length(text) - shorter) / len(word)).cast("long")
+        count = F.regexp_count(text, F.lit(f"(?={re.escape(word)})")).cast("long")
+    else:
+        shorter = F.length(F.replace(text, F.lit(word), F.lit("")))
+        count = ((F.length(text) - shorter) / len(word)).cast("long")
+    return F.when(F.contains(text, F.lit(word)), count).otherwise(F.lit(0).cast("long"))

@@ -108,10 +108,8 @@ def with_score(
     if only is not None:
         matching = matching.where(only)
 
-    def measured(text: Column, known: Column) -> Column:
-        found = [X.occurrences(F.lower(text), w) for w in counted]
-        length = F.coalesce(known, X.gram_count(text))
-        return F.struct(length.alias("length"), F.array(*found).alias("tfs"))
+    def measured(low: Column, length: Column) -> Column:
+        return F.struct(length.alias("length"), F.array(*[X.occurrences(low, w) for w in counted]).alias("tfs"))
 
     def of_field(cell: Column, field: Column) -> Column:
         average = field["length"] / field["docs"]
@@ -124,9 +122,12 @@ def with_score(
     # Columns of their own, so that the subquery is planned once, and length and
     # word counts are computed once per row.
     texts = _texts(columns)
-    known = F.col(lengths) if lengths else F.array().cast("array<bigint>")
+    if lengths:
+        sizes = F.zip_with(texts, lengths, lambda text, known: F.coalesce(known, X.gram_count(text)))
+    else:
+        sizes = F.transform(texts, X.gram_count)
     staged = {
-        "_cells": F.zip_with(texts, known, measured),
+        "_cells": F.zip_with(F.transform(texts, F.lower), sizes, measured),
         "_stats": statistics.agg(per_field.alias("stats")).scalar(),
     }
     if not counted:
