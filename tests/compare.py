@@ -16,7 +16,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con.execute("set timezone = 'UTC'")
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.basename(path).removesuffix(".parquet")
-        con.execute(f"create view {name} as select * from read_parquet('{path}')")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"create view {name} as select * from read_parquet('{files}')")
     return con
 
 
