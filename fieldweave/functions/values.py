@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fieldweave import schema as S
-from fieldweave.catalog import FieldCatalog
 
 # Finite decimal text; keeps forms such as '1d' or 'NaN', which a cast accepts, out.
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -103,9 +102,3 @@ def typed_columns(value: Column, kind: Column, lenient: bool = False) -> dict[st
 
 def is_custom_name(name: Column) -> Column:
     return F.endswith(name, F.lit(S.CUSTOM_SUFFIX))
-
-
-def api_name_of(field_id: Column, catalog: FieldCatalog) -> Column:
-    """The API name of a field id, null for ids outside the catalog."""
-    pairs = [F.lit(x) for f in catalog.fields for x in (f.id, f.api_name)]
-    return F.try_element_at(F.create_map(*pairs), field_id)

@@ -4,38 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldweave import schema as S
 from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import typed_value
 from fieldweave.operators.eav import pivot
 
-def read_contacts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.CONTACTS).parquet(path)
-
-
-def read_definitions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.DEFINITIONS).parquet(path)
-
-
-def read_values(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.VALUES).parquet(path)
-
-
-def read_accounts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.ACCOUNTS).parquet(path)
-
-
-def read_outbox(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.OUTBOX).parquet(path)
-
-
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table. The schemas of ``fieldweave.schema`` have text keys; leave
+    the schema out for tables with other key types."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
-def stream_outbox(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(S.OUTBOX)
+def stream_outbox(
+    spark: SparkSession, path: str, schema: T.StructType = S.OUTBOX, files_per_batch: int | None = None
+) -> DataFrame:
+    """The change log as a stream over its files."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)

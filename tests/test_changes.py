@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fieldweave import schema as S
 from fieldweave.operators import changes as C
 from fieldweave.sources import lens as L
-from fieldweave.sources.layout import append_batch
+from fieldweave.sources.layout import append_batch, read_table, stream_outbox
 from fieldweave.streaming.sync import compact, stream_sync, synced_documents
 
 CATALOG = L.CONTACT_CATALOG
@@ -225,7 +225,7 @@ def test_event_ids_do_not_change_when_a_task_runs_again(spark, contacts, stored_
 
 
 def run_stream(spark, source, target, checkpoint, files=1):
-    stream = spark.readStream.schema(S.OUTBOX).option("maxFilesPerTrigger", files).parquet(source)
+    stream = stream_outbox(spark, source, files_per_batch=files)
     stream_sync(stream, C.document_type(CATALOG), target, checkpoint).awaitTermination()
 
 
@@ -275,5 +275,6 @@ def test_a_batch_written_again_replaces_itself(spark, contacts, tmp_path):
     append_batch(contacts, path, "a")
     append_batch(contacts, path, "b")
     append_batch(contacts.where("id = '1'"), path, "b")
-    rows = spark.read.parquet(path).groupBy("batch").count()
+    assert read_table(spark, path, S.CONTACTS).schema.fieldNames() == [*S.CONTACTS.fieldNames(), "batch"]
+    rows = read_table(spark, path).groupBy("batch").count()
     assert {r["batch"]: r["count"] for r in rows.collect()} == {"a": 2, "b": 1}
