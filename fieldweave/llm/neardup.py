@@ -21,9 +21,13 @@ from fieldweave.session import settle
 class Settings:
     shingle_words: int = 5
     similarity: float = 0.8
-    #: Pairs of the least similarity share no band with a chance of (1 - 0.8 ** 4) ** 24, about 3 in a million.
-    bands: int = 24
-    band_values: int = 4
+    #: Pairs of the least similarity share no band with a chance of (1 - 0.8 ** 7) ** 48, about 1 in 80,000; pairs of
+    #: similarity 0.3 share one with a chance of 1 in 100.
+    bands: int = 48
+    band_values: int = 7
+    #: Leaders of a bucket in the first rounds, and documents of a block in the last.
+    leaders: tuple[int, ...] = (1, 4)
+    block_rows: int = 256
 
     @property
     def values(self) -> int:
@@ -195,6 +199,55 @@ def _verify(settings: Settings):
     return run
 
 
+def _root(parents: list[int], i: int) -> int:
+    while parents[i] != i:
+        parents[i] = i = parents[parents[i]]
+    return i
+
+
+def _block_links(settings: Settings):
+    """Links between the two blocks of a group's pair of blocks, or within one: as many as connect what is linked."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        texts, nodes = rows["text"].cast(pa.binary()).to_pylist(), rows["node"].to_pylist()
+        block, low = rows["block"].to_numpy(), int(rows["low"][0].as_py())
+        owner, shingles, weights, _ = weighted_shingles(texts, settings.shingle_words)
+        part = weights / np.bincount(owner, weights, len(texts))[owner]
+        names, at = np.unique(shingles, return_inverse=True)
+        bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+        found, parents = [], list(range(len(texts)))
+        share = np.zeros(len(names))
+        alone = bool((block == low).all())
+        for i in np.flatnonzero(block == low):
+            own = slice(bounds[i], bounds[i + 1])
+            share[at[own]] = part[own]
+            # Two texts can't be more similar than their distributions overlap.
+            overlap = np.bincount(owner, np.minimum(share[at], part), len(texts))
+            share[at[own]] = 0
+            for j in np.flatnonzero(overlap >= settings.similarity - 1e-9):
+                if (j > i if alone else block[j] != low) and (a := _root(parents, i)) != (b := _root(parents, int(j))):
+                    other = slice(bounds[j], bounds[j + 1])
+                    if similarity((shingles[own], weights[own]), (shingles[other], weights[other])) >= settings.similarity - 1e-12:
+                        found.append((nodes[i], nodes[j]))
+                        parents[a] = b
+        return pa.table([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def _compared_in_blocks(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links between all nodes that share a bucket, directly or through others: such a group is dealt into blocks, and
+    each pair of blocks is compared in a task of its own, which gives links only."""
+    first = members.groupBy("band").agg(F.min("node").alias("first"))
+    nodes = components(members.join(first, "band").select(F.col("first").alias("a"), F.col("node").alias("b")))
+    sizes = nodes.groupBy("component").agg(F.ceil(F.count("*") / settings.block_rows).cast("int").alias("blocks"))
+    rows = nodes.join(settle(sizes, "near-groups"), "component")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int"))
+    rows = rows.join(texts, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "text")
+    return settle(rows.groupBy("component", "low", "high").applyInArrow(_block_links(settings), "a binary, b binary"), "near-block-links")
+
+
 def _keyed(docs: DataFrame, k1: str, k2: str) -> DataFrame:
     """A row's key: rows with the same key have the same id and text."""
     text = text_or_empty("text")
@@ -204,10 +257,11 @@ def _keyed(docs: DataFrame, k1: str, k2: str) -> DataFrame:
 def similar_links(rows: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """(a, b): links between different word sequences that are similar enough, so many that the classes are whole.
 
-    rows: k1, k2, node, bands. texts: k1, k2, text. A bucket is the nodes that share a band. In each round its leaders,
-    one at first and twice as many each time, are compared with all its other nodes that are not in their class yet,
-    and are then done. A bucket is done when all that is left of it is in one class. So any two nodes of a bucket are
-    compared, or known to be in one class, and a bucket of n nodes of one class costs n comparisons.
+    rows: k1, k2, node, bands. texts: k1, k2, text. A bucket is the nodes that share a band. In each of a few rounds
+    its leaders are compared with all its other nodes that are not in their class yet, and are then done; a bucket is
+    done when all that is left of it is in one class. So a bucket of n nodes of one class costs n comparisons. What is
+    left of the others is compared in blocks, all with all. So any two nodes of a bucket are compared, or known to be
+    in one class.
     """
     first = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("k1", "k2", "bands")).alias("first"))
     nodes = settle(first.select("node", "first.*"), "near-nodes")
@@ -221,9 +275,9 @@ def similar_links(rows: DataFrame, texts: DataFrame, settings: Settings) -> Data
     alone = texts.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     if not alone.isEmpty():
         texts = settle(texts.dropDuplicates(["node"]), "near-texts")
-    links = tested = labels = None
-    leaders_wanted = 1
-    while not members.isEmpty():
+    links = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    tested = labels = None
+    for leaders_wanted in settings.leaders:
         slot = F.pmod(F.xxhash64(F.lit(leaders_wanted), F.col("node")), F.lit(leaders_wanted))
         leaders = settle(members.groupBy("band", slot.alias("slot")).agg(F.min("node").alias("leader")).select("band", "leader"), "near-leaders")
         pairs = members.join(leaders, "band").where("node <> leader")
@@ -233,20 +287,19 @@ def similar_links(rows: DataFrame, texts: DataFrame, settings: Settings) -> Data
         pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "near-pairs")
-        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
+        tested = settle(pairs, "near-pairs")
+        both = tested.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
         both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-        judged = settle(both.select("a", "b", "a_text", "b_text").mapInArrow(_verify(settings), "a binary, b binary, similar boolean"), "near-judged")
-        new = judged.where("similar").select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        judged = both.select("a", "b", "a_text", "b_text").mapInArrow(_verify(settings), "a binary, b binary, similar boolean")
+        links = links.unionByName(settle(judged.where("similar").select("a", "b"), "near-links"))
         labels = components(links)
         members = members.drop("component").join(leaders.withColumnRenamed("leader", "node"), ["band", "node"], "left_anti")
         members = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         spread = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         members = settle(members.join(spread.where("low <> high").select("band"), "band", "left_semi"), "near-members")
-        leaders_wanted *= 2
-    return links if links is not None else nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        if members.isEmpty():
+            return links
+    return links.unionByName(_compared_in_blocks(members.select("band", "node"), texts, settings))
 
 
 def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
