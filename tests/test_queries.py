@@ -6,7 +6,9 @@ from compare import connect, differences
 import __spark_entry__ as entry
 from conftest import DATA
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from fieldweave.workload import all_queries, all_sql  # isort: skip
+
+QUERIES, ORACLES = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
