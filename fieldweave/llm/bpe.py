@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 
 def byte_characters() -> list[str]:
@@ -144,7 +143,7 @@ class Encoder:
     """Encodes texts. No word reaches over white space, so texts are cut there, and pieces met before are looked up, in
     a store that begins anew beyond ``max_pieces``."""
 
-    def __init__(self, vocabulary: Vocabulary, max_pieces: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, max_pieces: int = 250_000):
         self.vocabulary, self.max_pieces = vocabulary, max_pieces
         self.pattern = regex.compile(vocabulary.split)
         self.special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.specials)) + ")")
@@ -189,58 +188,65 @@ class Encoder:
         return out, before[np.concatenate([[0], np.cumsum([len(p) for p in per_text])])]
 
 
-#: Texts that are encoded or decoded at once: so many characters or ids at most, one text at least.
-CHUNK = 2_000_000
+#: Texts that are encoded or decoded at once: so many bytes or ids at most, one text at least.
+CHUNK = 1_000_000
 
 
-def _chunks(texts: list) -> Iterator[list]:
-    held, size = [], 0
-    for text in texts:
-        if held and size + len(text) > CHUNK:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield held
+def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Starts and lengths of slices of about CHUNK each."""
+    after = np.concatenate([[0], np.cumsum(sizes)])
+    at = 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(after, after[at] + CHUNK, side="right")) - 1)
+        yield at, end - at
+        at = end
+
+
+def _added(frame: DataFrame, name: str, kind: T.DataType) -> tuple[DataFrame, T.StructType]:
+    frame = frame.drop(name)
+    return frame, T.StructType([*frame.schema, T.StructField(name, kind)])
 
 
 class Tokenizer:
-    """Columns of ids from columns of text and back. Null and empty texts have no ids; no or null ids give an empty
-    text. Texts of any length are encoded whole. Special tokens that stand in a text are encoded as such."""
+    """Adds columns of ids to texts and of texts to ids, in place of columns of that name.
+
+    Null and empty texts have no ids; no or null ids give an empty text. Texts of any length are encoded whole. Special
+    tokens that stand in a text are encoded as such. All rows and other columns stay as they are.
+    """
 
     def __init__(self, path: str):
         #: Goes to the workers with the functions; it does not grow with the data.
         self.vocabulary = Vocabulary.load(path)
 
-    def encode(self, text: Column) -> Column:
+    def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
         vocabulary = self.vocabulary
+        docs, schema = _added(docs, ids, T.ArrayType(T.IntegerType()))
 
-        @F.pandas_udf("array<int>")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder = Encoder(vocabulary)
             for batch in batches:
-                out: list[np.ndarray] = []
-                for texts in _chunks(batch.tolist()):
-                    ids, bounds = encoder.encode(texts)
-                    out += [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pd.Series(out, dtype=object)
+                texts = pc.fill_null(batch[text], "")
+                for at, n in _slices(pc.binary_length(texts).to_numpy()):
+                    flat, bounds = encoder.encode(texts.slice(at, n).to_pylist())
+                    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*batch.slice(at, n).columns, lists], schema.names)
 
-        return encode(F.coalesce(text, F.lit("")))
+        return docs.mapInArrow(run, schema)
 
-    def decode(self, ids: Column) -> Column:
+    def decode(self, rows: DataFrame, ids: str = "ids", text: str = "decoded") -> DataFrame:
         """The tokens joined by one space, as a tokenizer without a decoder gives them."""
         vocabulary = self.vocabulary
+        rows, schema = _added(rows, text, T.StringType())
 
-        @F.pandas_udf("string")
-        def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = pa.array(vocabulary.tokens, pa.string())
             for batch in batches:
-                out: list[str] = []
-                for rows in _chunks([np.asarray(r, np.int32) for r in batch]):
-                    bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-                    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), tokens.take(pa.array(np.concatenate(rows))))
-                    out += pc.binary_join(lists, " ").to_pylist()
-                yield pd.Series(out, dtype=object)
-
-        return decode(F.coalesce(ids, F.array().cast("array<int>")))
+                for at, n in _slices(pc.fill_null(pc.list_value_length(batch[ids]), 0).to_numpy()):
+                    part = batch.slice(at, n)
+                    own = part[ids]
+                    lengths = pc.fill_null(pc.list_value_length(own), 0).to_numpy()
+                    bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+                    joined = pc.binary_join(pa.ListArray.from_arrays(bounds, tokens.take(own.flatten())), " ")
+                    yield pa.RecordBatch.from_arrays([*part.columns, joined], schema.names)
+
+        return rows.mapInArrow(run, schema)

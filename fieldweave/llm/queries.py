@@ -23,7 +23,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
     tokenizer = bpe.Tokenizer(path)
-    rows = docs.select("doc_id", tokenizer.encode(F.col("text")).alias("ids")).withColumn("decoded", tokenizer.decode(F.col("ids")))
+    rows = tokenizer.decode(tokenizer.encode(docs.select("doc_id", "text")).select("doc_id", "ids"))
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
