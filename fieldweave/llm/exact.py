@@ -50,7 +50,8 @@ def name_texts(rows: DataFrame, key: list[str], text: str, settings: Settings =
     cut = cut.withColumn("h1", sign("block")).withColumn("h2", sign(F.lit("block"), F.col("block")))
     signs = settle(cut.select(*key, "at", "h1", "h2"), "exact-signs")
     repeated = settle(signs.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "exact-repeated")
-    contents = cut.select("h1", "h2", "block").join(repeated, ["h1", "h2"], "left_semi").distinct()
+    # The same plan at any size: the blocks are shuffled once, also where the signs could be broadcast.
+    contents = cut.select("h1", "h2", "block").join(repeated.hint("merge"), ["h1", "h2"], "left_semi").distinct()
     order = Window.partitionBy("h1", "h2").orderBy("block")
     contents = contents.withColumn("variant", F.row_number().over(order) - 1)
     others = settle(contents.where("variant > 0"), "exact-variants")
