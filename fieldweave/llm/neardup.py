@@ -26,7 +26,7 @@ class Settings:
     bands: int = 48
     band_values: int = 7
     #: Leaders of a bucket in the first rounds, and documents of a block in the last.
-    leaders: tuple[int, ...] = (1, 4)
+    leaders: tuple[int, ...] = (1, 2)
     block_rows: int = 256
 
     @property
@@ -267,7 +267,7 @@ def similar_links(rows: DataFrame, texts: DataFrame, settings: Settings) -> Data
     nodes = settle(first.select("node", "first.*"), "near-nodes")
     every = nodes.select("node", F.explode("bands").alias("band"))
     shared = every.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members = settle(every.join(shared, "band"), "near-members")
+    members = settle(every.join(shared, "band").withColumn("component", F.col("node")), "near-members")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2")
     # Of rows alike one is enough; they differ in nothing.
     texts = texts.join(wanted, ["k1", "k2"]).select("node", "text")
@@ -276,14 +276,13 @@ def similar_links(rows: DataFrame, texts: DataFrame, settings: Settings) -> Data
     if not alone.isEmpty():
         texts = settle(texts.dropDuplicates(["node"]), "near-texts")
     links = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    tested = labels = None
+    tested = None
     for leaders_wanted in settings.leaders:
         slot = F.pmod(F.xxhash64(F.lit(leaders_wanted), F.col("node")), F.lit(leaders_wanted))
-        leaders = settle(members.groupBy("band", slot.alias("slot")).agg(F.min("node").alias("leader")).select("band", "leader"), "near-leaders")
-        pairs = members.join(leaders, "band").where("node <> leader")
-        if labels is not None:
-            own = labels.withColumnRenamed("node", "leader").withColumnRenamed("component", "leader_component")
-            pairs = pairs.join(own, "leader", "left").where("coalesce(leader_component, leader) <> component")
+        first = F.min(F.struct("node", "component")).alias("first")
+        leaders = members.groupBy("band", slot.alias("slot")).agg(first).select("band", F.col("first.node").alias("leader"), F.col("first.component").alias("known"))
+        leaders = settle(leaders, "near-leaders")
+        pairs = members.join(leaders, "band").where("node <> leader and component <> known")
         pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -293,7 +292,7 @@ def similar_links(rows: DataFrame, texts: DataFrame, settings: Settings) -> Data
         judged = both.select("a", "b", "a_text", "b_text").mapInArrow(_verify(settings), "a binary, b binary, similar boolean")
         links = links.unionByName(settle(judged.where("similar").select("a", "b"), "near-links"))
         labels = components(links)
-        members = members.drop("component").join(leaders.withColumnRenamed("leader", "node"), ["band", "node"], "left_anti")
+        members = members.drop("component").join(leaders.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti")
         members = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         spread = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         members = settle(members.join(spread.where("low <> high").select("band"), "band", "left_semi"), "near-members")
