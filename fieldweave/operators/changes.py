@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 from fieldweave import schema as S
 from fieldweave.catalog import FieldCatalog
-from fieldweave.functions.values import first_name, full_name, last_name
+from fieldweave.functions.values import first_name, full_name, last_name, typed_value
 from fieldweave.operators import validation as V
-from fieldweave.operators.eav import MAX_BROADCAST_ROWS, custom_map
+from fieldweave.operators.eav import pivot
 from fieldweave.operators.keys import listed
 from fieldweave.session import settle
 
@@ -26,6 +26,7 @@ _KIND_TYPES = {S.NUMBER: T.DoubleType(), S.DATE: T.DateType()}
 
 DOCUMENT_COLUMNS = ("id", "email", "name", "custom_fields", "created_at", "updated_at")
 VERSION = ("event_time", "event_id")
+_CORRUPT = "_corrupt"
 
 
 def payload_json(**parts: Column) -> Column:
@@ -51,18 +52,21 @@ def document_type(catalog: FieldCatalog, key_type: T.DataType | None = None) ->
 
 
 def contact_payload(contacts: DataFrame, values: DataFrame, catalog: FieldCatalog) -> DataFrame:
-    """(id, payload): the full contact as event payload, present fields only."""
-    fields = custom_map(values, catalog).withColumnRenamed("record_id", "id")
-    empty = F.create_map().cast("map<string,string>")
+    """(id, payload): the full contact as event payload, present fields only, numbers
+    and dates typed as in the documents. A value that breaks its type is left out, as
+    it is null in a built document; ``validate_values`` reports it."""
+    wide = pivot(values, catalog).withColumnRenamed("record_id", "_record")
+    fields = [typed_value(F.col(f.api_name), f.kind).alias(f.api_name) for f in catalog.fields]
+    custom = F.struct(*fields) if fields else F.create_map().cast("map<string,string>")
     payload = payload_json(
         id=F.col("id"),
         email=F.coalesce("email", F.lit("")),
         name=full_name(F.col("first_name"), F.col("last_name")),
-        custom_fields=F.coalesce("custom_fields", empty),
+        custom_fields=custom,
         created_at=F.col("created_at"),
         updated_at=F.col("updated_at"),
     )
-    return contacts.join(fields, "id", "left").select("id", payload.alias("payload"))
+    return contacts.join(wide, F.col("id") == F.col("_record"), "left").select("id", payload.alias("payload"))
 
 
 def emit(changes: DataFrame, batch: str, as_of: Column) -> DataFrame:
@@ -104,17 +108,34 @@ def dedupe_events(changes: DataFrame) -> DataFrame:
     return changes.dropDuplicates(["event_id"])
 
 
-def change_reason(type_: Column, payload: Column) -> Column:
-    """Why a change cannot be applied, null if it can."""
-    return F.when(~type_.isin(S.CREATED, S.UPDATED, S.DELETED), "unknown_type").when(
-        (type_ != S.DELETED) & payload.isNull(), "payload_missing"
+def change_reason(type_: Column, contact_id: Column, text: Column, parsed: Column) -> Column:
+    """Why a change cannot be applied, null if it can. The parsed payload has what
+    could not be read, JSON or a typed field, in ``_corrupt``."""
+    same = parsed["id"].cast("string").eqNullSafe(contact_id.cast("string"))
+    broken = (
+        F.when(text.isNull(), "payload_missing")
+        .when(parsed.isNull() | parsed[_CORRUPT].isNotNull(), "payload_unreadable")
+        .when(~same, "payload_of_another")
+    )
+    return (
+        F.when(~F.coalesce(type_.isin(S.CREATED, S.UPDATED, S.DELETED), F.lit(False)), "unknown_type")
+        .when(contact_id.isNull(), "contact_missing")
+        .when(type_ != S.DELETED, broken)
     )
 
 
-def split_changes(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(changes to apply, changes to set aside with their reason)."""
-    judged = changes.withColumn("reason", change_reason(F.col("type"), F.col("payload")))
-    return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
+def split_changes(changes: DataFrame, document: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(changes to apply, with their payload as a document; changes to set aside as
+    they came, with their reason). Payloads are read before any change is dropped
+    for a newer one, so a broken change never hides a good one."""
+    shape = T.StructType([*document.fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json("payload", shape, {"timestampNTZFormat": JSON_TIME, "columnNameOfCorruptRecord": _CORRUPT})
+    judged = changes.withColumn("_parsed", parsed)
+    reason = change_reason(F.col("type"), F.col("contact_id"), F.col("payload"), F.col("_parsed"))
+    judged = judged.withColumn("reason", reason)
+    read = F.when(F.col("type") != S.DELETED, F.struct(*[F.col("_parsed")[f.name].alias(f.name) for f in document.fields]))
+    good = judged.where("reason is null").withColumn("payload", read).drop("_parsed", "reason")
+    return good, judged.where("reason is not null").drop("_parsed")
 
 
 def newest_changes(changes: DataFrame) -> DataFrame:
@@ -141,14 +162,14 @@ def apply_changes(
     """Documents after the changes: created and updated ones replaced whole,
     deleted ones gone. Deleting what is not there is no error.
 
-    Only the last change of a contact has its payload read, as the log's JSON is
-    checked when it is written. ``derive`` adds the columns that are stored with
-    documents but computed from them.
+    Every payload is read and checked first; of the good changes of a contact the
+    last holds. ``derive`` adds the columns that are stored with documents but
+    computed from them.
     """
-    good, rejected = split_changes(changes)
-    last = newest_changes(good)
     document = T.StructType([documents.schema[c] for c in DOCUMENT_COLUMNS])
-    written = read_payload(last.where(F.col("type") != S.DELETED), document).select("payload.*")
+    good, rejected = split_changes(changes, document)
+    last = newest_changes(good)
+    written = last.where(F.col("type") != S.DELETED).select("payload.*")
     if derive is not None:
         written = derive(written)
     untouched = documents.join(last.select(F.col("contact_id").alias("id")), "id", "left_anti")
@@ -167,8 +188,6 @@ def oldest_waiting(outbox: DataFrame, limit: int = S.CLAIM_BATCH) -> DataFrame:
 def claim_pending(outbox: DataFrame, limit: int = S.CLAIM_BATCH) -> DataFrame:
     """The log with its oldest waiting events marked as being processed."""
     marks = oldest_waiting(outbox, limit).select("id", F.lit(True).alias("_claimed"))
-    if limit <= MAX_BROADCAST_ROWS:
-        marks = F.broadcast(marks)
     status = F.when(F.col("_claimed"), S.PROCESSING).otherwise(F.col("status"))
     return outbox.join(marks, "id", "left").withColumn("status", status).select(outbox.columns)
 

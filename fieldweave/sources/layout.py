@@ -58,11 +58,14 @@ def melt(wide: DataFrame, catalog: FieldCatalog, keep_missing: bool = False) ->
     )
 
 
-def build_documents(contacts: DataFrame, values: DataFrame, catalog: FieldCatalog) -> DataFrame:
+def build_documents(
+    contacts: DataFrame, values: DataFrame, catalog: FieldCatalog, lenient: bool = False
+) -> DataFrame:
     """The document table from the EAV tables: every contact once, its present
-    values typed, empty text dropped."""
+    values typed, empty text dropped. Numbers are read as strictly as the EAV
+    filters read them; ``lenient`` reads a numeric prefix."""
     wide = pivot(values.where(F.col("value") != ""), catalog)
-    fields = [typed_value(F.col(f.api_name), f.kind, lenient=True).alias(f.api_name) for f in catalog.fields]
+    fields = [typed_value(F.col(f.api_name), f.kind, lenient).alias(f.api_name) for f in catalog.fields]
     return contacts.join(wide, contacts["id"] == wide["record_id"], "left").select(
         "id",
         "email",

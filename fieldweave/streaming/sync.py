@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldweave import schema as S
-from fieldweave.operators.changes import newest_changes, read_payload, split_changes, to_change
+from fieldweave.operators.changes import newest_changes, split_changes, to_change
 
 
 def stream_sync(
@@ -31,9 +31,8 @@ def stream_sync(
     """Start the sync. Without an interval it takes what is there and ends."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good, rejected = split_changes(to_change(batch))
-        last = read_payload(newest_changes(good), document)
-        last.write.mode("overwrite").parquet(f"{target}/changes/batch_id={batch_id}")
+        good, rejected = split_changes(to_change(batch), document)
+        newest_changes(good).write.mode("overwrite").parquet(f"{target}/changes/batch_id={batch_id}")
         rejected.write.mode("overwrite").parquet(f"{target}/rejected/batch_id={batch_id}")
 
     writer = outbox.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -72,5 +71,8 @@ def synced_documents(
 
 def compact(spark: SparkSession, target: str, into: str) -> None:
     """Write one change per contact of all batches as the first batch of a new
-    target; batches that come later win over it by their version."""
+    target; batches that come later win over it by their version. What was set
+    aside goes along."""
     current_state(spark, target).write.mode("errorifexists").parquet(f"{into}/changes/batch_id=-1")
+    rejected = spark.read.parquet(f"{target}/rejected").drop("batch_id")
+    rejected.write.mode("errorifexists").parquet(f"{into}/rejected/batch_id=-1")

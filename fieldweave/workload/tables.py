@@ -287,10 +287,13 @@ def event_to_change(spark: SparkSession, d: str) -> DataFrame:
 )
 def contact_payload(spark: SparkSession, d: str) -> DataFrame:
     payloads = C.contact_payload(L.contacts(spark, d), L.values(spark, d), CATALOG)
-    document = "id bigint, email string, name string, custom_fields map<string,string>, created_at timestamp_ntz"
+    document = C.document_type(CATALOG, payloads.schema["id"].dataType)
     parsed = payloads.select(F.from_json("payload", document, {"timestampNTZFormat": C.JSON_TIME}).alias("p")).select("p.*")
-    entries = F.array_sort(F.map_entries("custom_fields"))
-    text = F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    entries = [
+        F.concat(F.lit(f"{f.api_name}="), V.value_to_text(F.col("custom_fields")[f.api_name], f.kind))
+        for f in sorted(CATALOG.fields, key=lambda f: f.api_name)
+    ]
+    text = F.concat_ws(";", *entries)
     return parsed.select("id", "email", "name", "created_at", text.alias("fields"))
 
 

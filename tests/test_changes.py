@@ -204,7 +204,7 @@ def test_update_changes_only_what_is_named(spark, contacts, stored_values):
     assert after["2"]["updated_at"] == at(0)
     assert [tuple(r) for r in done.values.collect()] == [("1", "f07", "7")]
     (changed,) = done.events.collect()
-    assert json.loads(changed["payload"])["custom_fields"] == {"score__c": "7"}
+    assert json.loads(changed["payload"])["custom_fields"] == {"score__c": 7.0}
 
 
 def test_delete_cascades(spark, contacts, stored_values):
@@ -278,3 +278,33 @@ def test_a_batch_written_again_replaces_itself(spark, contacts, tmp_path):
     assert read_table(spark, path, S.CONTACTS).schema.fieldNames() == [*S.CONTACTS.fieldNames(), "batch"]
     rows = read_table(spark, path).groupBy("batch").count()
     assert {r["batch"]: r["count"] for r in rows.collect()} == {"a": 2, "b": 1}
+
+
+def test_broken_payloads_are_set_aside_and_hide_nothing(documents, log):
+    def broken(n, contact, text, kind="CONTACT_UPDATED"):
+        return (f"e{n:03}", "Contact", contact, kind, text, "PENDING", 0, None, at(n), None)
+
+    changes = C.to_change(
+        log(
+            event(1, 1, "UPDATED", 1, 5.0),
+            broken(2, "1", '{"id":"1","name":'),
+            broken(3, "1", "{}"),
+            broken(4, "1", '{"id":"2","name":"X"}'),
+            broken(5, "1", '{"id":"1","name":"X","custom_fields":{"score__c":"46"}}'),
+            broken(6, "1", '{"id":"1","name":"X"}'),
+            broken(7, "1", '{"id":"1","name":"X"}'),
+        )
+    )
+    changes = changes.withColumn("contact_id", F.when(F.col("event_id") != "e006", F.col("contact_id")))
+    changes = changes.withColumn("type", F.when(F.col("event_id") != "e007", F.col("type")))
+    applied = C.apply_changes(documents, changes)
+    rows = {r["id"]: (r["name"], r["custom_fields"] and r["custom_fields"]["score__c"]) for r in applied.documents.collect()}
+    assert rows == {"1": ("N1", 5.0), "2": ("B", None)}
+    assert {r["event_id"]: r["reason"] for r in applied.rejected.collect()} == {
+        "e002": "payload_unreadable",
+        "e003": "payload_of_another",
+        "e004": "payload_of_another",
+        "e005": "payload_unreadable",
+        "e006": "contact_missing",
+        "e007": "unknown_type",
+    }
