@@ -17,11 +17,6 @@ from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import typed_value
 from fieldweave.operators.predicates import Filter, all_of, value_condition
 
-# A page up to this many rows is sent to every executor; a larger one is joined
-# the way the optimizer picks.
-MAX_BROADCAST_ROWS = 10_000
-# A page up to this many rows is fetched and looked up by a list of its ids.
-MAX_HELD_ROWS = 200
 # List length up to which the Parquet reader tests single values.
 PUSHED_GROUP = 10
 
@@ -130,16 +125,6 @@ def left_values(contacts: DataFrame, values: DataFrame, definitions: DataFrame)
     return rows.join(names, "field_id", "left")
 
 
-def held_page(page: DataFrame, page_size: int) -> tuple[DataFrame, list | None]:
-    """(page, its ids). A page of few rows is fetched and becomes a local table,
-    so that its sort runs once however often it is used; a larger page stays a
-    plan without known ids."""
-    if page_size > MAX_HELD_ROWS:
-        return page, None
-    rows = page.toArrow()
-    return page.sparkSession.createDataFrame(rows, page.schema), rows.column("id").to_pylist()
-
-
 def any_of(column: Column, wanted: Sequence) -> Column:
     """Membership in a short list, in groups small enough for the Parquet reader
     to skip row groups by each value and not by the range of all of them."""
@@ -147,19 +132,10 @@ def any_of(column: Column, wanted: Sequence) -> Column:
     return reduce(lambda a, b: a | b, [column.isin(list(g)) for g in groups], F.lit(False))
 
 
-def values_of_page(values: DataFrame, page: DataFrame, page_size: int, ids: list | None = None) -> DataFrame:
-    """The value rows of the records on a page that is sorted and cut already.
-
-    Known ids become a pushed-down filter: of a table sorted by record within
-    its fields few row groups are read. Else the page is broadcast, or joined as
-    the optimizer picks if it is too long for that.
-    """
-    if ids is not None:
-        return values.where(any_of(F.col("record_id"), ids))
-    found = page.select(F.col("id").alias("record_id"))
-    if page_size <= MAX_BROADCAST_ROWS:
-        found = F.broadcast(found)
-    return values.join(found, "record_id", "left_semi")
+def values_of_page(values: DataFrame, page: DataFrame) -> DataFrame:
+    """The value rows of the records on a page that is sorted and cut already, one
+    plan for any length of page: the optimizer broadcasts it by its size or not."""
+    return values.join(page.select(F.col("id").alias("record_id")), "record_id", "left_semi")
 
 
 def present_entries(values: DataFrame, catalog: FieldCatalog) -> DataFrame:

@@ -12,13 +12,10 @@ from fieldweave.operators.eav import any_of, left_values
 from fieldweave.operators.keys import listed
 from fieldweave.operators.predicates import literal
 
-# A list up to this length becomes a filter; a longer one is joined.
-MAX_LISTED_IDS = 1_000
-
 
 def by_column(rows: DataFrame, column: str, value: Any) -> DataFrame:
-    """The one row whose column has a value; none if there is none."""
-    return rows.where(F.col(column) == literal(value, "ID")).limit(1)
+    """All rows whose column has a value; none if there is none."""
+    return rows.where(F.col(column) == literal(value, "ID"))
 
 
 def contact_by_id(contacts: DataFrame, values: DataFrame, definitions: DataFrame, contact_id: Any) -> DataFrame:
@@ -29,10 +26,8 @@ def contact_by_id(contacts: DataFrame, values: DataFrame, definitions: DataFrame
 
 
 def by_ids(rows: DataFrame, ids: Sequence | DataFrame, key: str = "id") -> DataFrame:
-    """Rows whose key is listed, in a Python list or in a table with an ``id``."""
+    """Rows whose key is listed: a Python list becomes a pushed-down filter, a table
+    with an ``id`` is joined."""
     if not isinstance(ids, DataFrame):
-        if len(ids) <= MAX_LISTED_IDS:
-            return rows.where(any_of(F.col(key), ids))
-        kind = rows.schema[key].dataType
-        ids = rows.sparkSession.createDataFrame([(i,) for i in ids], f"id {kind.simpleString()}")
+        return rows.where(any_of(F.col(key), ids))
     return rows.join(listed(ids, "id", key), key, "left_semi")

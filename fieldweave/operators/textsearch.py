@@ -31,8 +31,6 @@ def keyword_condition(columns: Sequence[Column], words: Sequence[str]) -> Column
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-# Up to this many words the statistics of a stored index are broadcast.
-MAX_BROADCAST_WORDS = 1_000
 # Column of a document table that holds the gram counts of its searched fields,
 # in their order. With it no request has to cut texts into runs.
 LENGTHS = "search_lengths"
@@ -185,8 +183,6 @@ def score_from_index(postings: DataFrame, lengths: DataFrame, words: Sequence[st
     totals = lengths.select("field", "docs", F.col("length").alias("total_length"))
     # One row per field and word, however many postings there are.
     holding = found.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("df")).join(totals, "field")
-    if len(counted) <= MAX_BROADCAST_WORDS:
-        holding = F.broadcast(holding)
     parts = (
         found.join(holding, ["field", "gram"])
         .withColumn(

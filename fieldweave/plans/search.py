@@ -86,7 +86,7 @@ def search_eav(
     anything is pivoted; the page is cut on ids and sort values, and only its
     records' values are read and pivoted into ``custom_fields``. That map has
     the present fields, or all of them for a request that needs pivoted columns.
-    The page is cut when this is called; total and groups are lazy.
+    All is lazy: no job runs when this is called.
     """
     base = contacts.where(P.contact_condition(spec.base_filters))
     if spec.search:
@@ -113,10 +113,9 @@ def search_eav(
     sorts = [s for s in spec.sort if not is_custom(s.field) or s.field in sort_fields]
     order = order_of(sorts, lambda n: F.col(f"_key_{n}"))
     keys = ordered.select(*PAGE_COLUMNS, *[_sort_key(s.field) for s in last_direction_wins(sorts)])
-    cut = page_of(keys, order, spec.page, spec.page_size)
-    page, ids = E.held_page(cut, spec.page_size)
+    page = page_of(keys, order, spec.page, spec.page_size)
 
-    wide = E.pivot(E.values_of_page(values, page, spec.page_size, ids), catalog)
+    wide = E.pivot(E.values_of_page(values, page), catalog)
     fields = E.full_map(catalog) if spec.needs_pivot else E.present_map(catalog)
     rows = (
         page.join(wide.withColumnRenamed("record_id", "id"), "id", "left")

@@ -249,7 +249,7 @@ def inner_value_def(spark: SparkSession, d: str) -> DataFrame:
 )
 def page_then_fetch(spark: SparkSession, d: str) -> DataFrame:
     page = page_of(L.contacts(spark, d).select("id", "created_at"), order_of([], F.col), 2, 20)
-    rows = E.values_of_page(L.values(spark, d), page, 20)
+    rows = E.values_of_page(L.values(spark, d), page)
     return E.with_definitions(rows, CATALOG.to_dataframe(spark)).select("record_id", "api_name", "value")
 
 

@@ -96,11 +96,11 @@ def test_pages_agree_in_order(tables, sort):
         assert doc == eav and len(doc) == len(set(doc))
 
 
-def test_large_page_without_held_rows(tables):
+def test_pages_of_any_length_agree(tables):
     contacts, values, _ = tables
     small = SearchSpec(sort=(Sort("score__c"),), page_size=150)
-    large = SearchSpec(sort=(Sort("score__c"),), page_size=E.MAX_HELD_ROWS + 1)
-    huge = SearchSpec(sort=(Sort("score__c"),), page_size=E.MAX_BROADCAST_ROWS + 1)
+    large = SearchSpec(sort=(Sort("score__c"),), page_size=201)
+    huge = SearchSpec(sort=(Sort("score__c"),), page_size=20_000)
     answers = [
         [(r["id"], r["custom_fields"]) for r in search_eav(contacts, values, CATALOG, s).page.collect()][:150]
         for s in (small, large, huge)

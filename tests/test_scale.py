@@ -188,20 +188,23 @@ def test_pages_are_top_k(spark, data_dir):
     assert re.search(r"TakeOrderedAndProject\(limit=60, offset=40", plan)
 
 
-def test_page_values_are_looked_up_by_id(spark, data_dir, tmp_path):
-    layout.write_values(L.values(spark, data_dir), str(tmp_path / "values"))
-    values = spark.read.parquet(str(tmp_path / "values"))
-    result = search_eav(L.contacts(spark, data_dir), values, CATALOG, SearchSpec(page_size=12))
-    assert plan_of(result.page).count("In(record_id") == 2
+def test_building_a_request_runs_no_job(spark, data_dir):
+    contacts, values = L.contacts(spark, data_dir), L.values(spark, data_dir)
+    spark.sparkContext.setJobGroup("building", "")
+    result = search_eav(contacts, values, CATALOG, SearchSpec(page_size=12))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
     assert result.page.count() == 12
 
 
-def test_unlisted_page_is_broadcast_only_below_its_bound(hot):
-    contacts, values = hot
-    page = contacts.orderBy("id").limit(20)
-    small = plan_of(E.values_of_page(values, page, 20))
-    assert "BroadcastHashJoin" in small
-    assert E.values_of_page(values, page, 20).count() == E.values_of_page(values, page, 10**9).count()
+def test_pages_of_any_length_have_one_plan(spark, data_dir):
+    contacts, values = L.contacts(spark, data_dir), L.values(spark, data_dir)
+
+    def shape(size):
+        plan = plan_of(search_eav(contacts, values, CATALOG, SearchSpec(page_size=size)).page)
+        return re.findall(r"\w*(?:Join|Aggregate|Scan|TakeOrderedAndProject)\b", plan)
+
+    assert "BroadcastNestedLoopJoin" not in shape(20_000)
+    assert shape(20) == shape(200) == shape(201) == shape(20_000)
 
 
 def test_a_missing_shared_folder_is_an_error_on_a_cluster():
