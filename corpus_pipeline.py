@@ -11,17 +11,24 @@ from fieldweave.llm.queries import SCHEDULES, WEIGHTS, token_digests, vocabulary
 from fieldweave.session import settle
 
 
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """The documents in one column ``row``, beside the columns that an operator reads, so that other columns of the
+    documents may have any names."""
+    return docs.select(F.struct(*docs.columns).alias("row"), *names)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, lexicon)
-    return scored.where("predicted = 0").select(*docs.columns)
+    scored = toxicity.score(packed(docs, "text"), lexicon)
+    return scored.where("predicted = 0").select("row.*")
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = lines.drop_shared_lines(docs).withColumn("text", F.col("kept_text"))
+    kept = lines.drop_shared_lines(packed(docs, "doc_id", "text"))
+    row = F.col("row").withField("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        row = row.withField("n_chars", F.length("kept_text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(row.alias("row")).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -207,3 +207,15 @@ def test_pipeline_keeps_the_columns(spark, odd):
     for name, stage in corpus_pipeline.STAGES[1:-1]:
         assert stage(spark, odd, DATA).columns == odd.columns
     assert corpus_pipeline.run(spark, DATA).count() > 0 and docs.count() > 0
+
+
+def test_stages_take_documents_with_columns_of_any_names(spark, data_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    odd = docs.selectExpr("*", *[f"'{n}' as {n}" for n in ("score", "features", "predicted", "kept_text", "n_lines", "k1", "alike", "spots", "position")])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, odd, data_dir)
+        assert rows.columns == odd.columns
+        first = rows.first()
+        assert (first["score"], first["features"], first["n_lines"], first["k1"], first["spots"]) == ("score", "features", "n_lines", "k1", "spots")
