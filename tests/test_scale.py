@@ -157,7 +157,11 @@ def test_joins_split_a_hot_key(spark, hot, small_partitions, tmp_path):
     assert unsplit == []
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# Plans of the library's own queries, and of native operators on training text; others there may use Python.
+PLANNED = [n for n in sorted(entry.queries()) if n in entry.all_queries() or n.startswith(("op5_", "op10_"))]
+
+
+@pytest.mark.parametrize("name", PLANNED)
 def test_plans(spark, name):
     plan = plan_of(entry.queries()[name](spark, DATA))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow"):
