@@ -18,7 +18,7 @@ from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import first_name, full_name, last_name, typed_value
 from fieldweave.operators import validation as V
 from fieldweave.operators.eav import pivot
-from fieldweave.operators.keys import listed
+from fieldweave.operators.keys import listed, spread
 from fieldweave.session import settle
 
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -208,9 +208,10 @@ def stale_claims(outbox: DataFrame, before: Column) -> DataFrame:
 
 def finish_events(outbox: DataFrame, results: DataFrame, as_of: Column) -> DataFrame:
     """The log after results (id, status, error): done events get their time,
-    failed ones one more try and the message, others the status alone. Should an
-    event have several results, one of them holds, a failure before a success."""
-    last = results.groupBy("id").agg(F.max(F.struct("status", "error")).alias("_last"))
+    failed ones one more try and the message, others the status alone. Of several
+    results of one event a failure holds before a success, and both before others."""
+    rank = F.when(F.col("status") == S.FAILED, 2).when(F.col("status") == S.DONE, 1).otherwise(0)
+    last = results.groupBy("id").agg(F.max(F.struct(rank.alias("rank"), "status", "error")).alias("_last"))
     outcome = last.select("id", F.col("_last.status").alias("_status"), F.col("_last.error").alias("_error"))
     row = outbox.join(outcome, "id", "left")
     done, failed = F.col("_status") == S.DONE, F.col("_status") == S.FAILED
@@ -254,21 +255,32 @@ def reindex_some(
     )
 
 
-def merge_fields(values: DataFrame, patches: DataFrame) -> DataFrame:
-    """(record_id, field_id, value) after patches of the same shape: a patch
-    value replaces, a null removes, what is not named stays. Of several patches
-    to one field the greatest (seq, value) holds if there is a ``seq`` column."""
+def last_values(patches: DataFrame, *keys: str) -> DataFrame:
+    """(keys, value): the one value per field that holds, that with the greatest
+    (seq, value), or the greatest value without a ``seq`` column."""
     order = F.struct("seq", "value") if "seq" in patches.columns else F.struct("value")
-    patch = patches.groupBy("record_id", "field_id").agg(
-        F.max_by(F.struct("value"), order)["value"].alias("_value"), F.lit(True).alias("_patched")
-    )
-    return (
-        values.select("record_id", "field_id", "value")
-        .join(patch, ["record_id", "field_id"], "full")
-        .withColumn("value", F.when(F.col("_patched"), F.col("_value")).otherwise(F.col("value")))
-        .where(F.col("value").isNotNull())
-        .drop("_value", "_patched")
-    )
+    return patches.groupBy(*keys).agg(F.max_by(F.struct("value"), order)["value"].alias("value"))
+
+
+def merge_fields(values: DataFrame, patches: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Value rows after patches (record_id, field_id, value): a patch value
+    replaces, a null removes, what is not named stays, of several patches to one
+    field one holds (``last_values``). The columns are those of the values: a
+    replaced row keeps its id and creation time, a new one gets both. The value
+    rows are only ever the large side of a join that can be broadcast or split."""
+    keys = ["record_id", "field_id"]
+    patch = last_values(patches, *keys)
+    marks = patch.select(*keys, F.col("value").alias("_value"), F.lit(True).alias("_patched"))
+    now = F.lit(None).cast("timestamp_ntz") if as_of is None else as_of
+    changed = {"value": F.when(F.col("_patched"), F.col("_value")).otherwise(F.col("value"))}
+    if "updated_at" in values.columns:
+        changed["updated_at"] = F.when(F.col("_patched"), now).otherwise(F.col("updated_at"))
+    stored = values.join(marks, keys, "left").withColumns(changed).where("value is not null").select(values.columns)
+    found = spread(values.join(patch, keys, "left_semi").select(keys))
+    given = {"id": value_id(), "created_at": now, "updated_at": now}
+    fresh = patch.where("value is not null").join(found, keys, "left_anti")
+    fresh = fresh.withColumns({c: given[c].cast(values.schema[c].dataType) for c in given if c in values.columns})
+    return stored.unionByName(fresh, allowMissingColumns=True)
 
 
 def replace_values(values: DataFrame, fresh: DataFrame, touched: DataFrame) -> DataFrame:
@@ -290,21 +302,21 @@ def judge_new_contacts(
     requests: DataFrame, fields: DataFrame, contacts: DataFrame, definitions: DataFrame
 ) -> DataFrame:
     """Create requests (request_id, email, name) with the ``reason`` to refuse
-    them, null if none. Checked in this order: address and name, address taken,
-    unknown or inactive field, value that breaks its definition."""
+    them, null if none. Checked in this order: address and name, unknown or
+    inactive field, value that breaks its definition, address taken by a contact
+    or by an earlier request that is good otherwise."""
     formal = V.validate_contacts(requests, F.col("name")).drop("is_valid").withColumnRenamed("reason", "_formal")
-    wanted = formal.withColumn("_key", F.when(F.col("_formal").isNull(), F.col("email")))
+    bad_fields = judge_fields(fields, definitions, "request_id").withColumnRenamed("reason", "_field")
+    checked = formal.join(bad_fields, "request_id", "left").withColumn("_fault", F.coalesce("_formal", "_field"))
     taken = V.new_only(
-        wanted.select("request_id", F.col("_key").alias("email")).where("email is not null"),
+        checked.where("_fault is null and email is not null").select("request_id", "email"),
         contacts.select("email"),
         "email",
         "request_id",
     ).select("request_id", F.col("reason").alias("_taken"))
-    bad_fields = judge_fields(fields, definitions, "request_id").withColumnRenamed("reason", "_field")
     return (
-        formal.join(taken, "request_id", "left")
-        .join(bad_fields, "request_id", "left")
-        .withColumn("reason", F.coalesce("_formal", "_taken", "_field"))
+        checked.join(taken, "request_id", "left")
+        .withColumn("reason", F.coalesce("_fault", "_taken"))
         .select(*requests.columns, "reason")
     )
 
@@ -333,9 +345,11 @@ def create_contacts(
     as_of: Column,
 ) -> Written:
     """Good requests as contacts, values and events; the others with a reason.
-    The judged requests are written once, as four tables are built on them."""
+    Request ids need to be distinct within a batch only. Of several values for
+    one field of a request one is stored (``last_values``). The judged requests
+    are written once, as four tables are built on them."""
     judged = settle(judge_new_contacts(requests, fields, contacts, definitions), "create")
-    accepted = judged.where("reason is null").withColumn("id", new_id("contact", F.col("request_id")))
+    accepted = judged.where("reason is null").withColumn("id", contact_id(batch, F.col("request_id")))
     clean = F.trim("name")
     made = accepted.select(
         "id",
@@ -350,11 +364,12 @@ def create_contacts(
     )
     ids = definitions.select("api_name", F.col("id").alias("field_id"))
     rows = (
-        fields.where("value is not null")
+        last_values(fields, "request_id", "api_name")
+        .where("value is not null")
         .join(accepted.select("request_id", F.col("id").alias("record_id")), "request_id")
         .join(ids, "api_name")
         .select(
-            new_id("value", F.concat_ws("|", "record_id", "field_id")).alias("id"),
+            value_id().alias("id"),
             "record_id",
             "field_id",
             "value",
@@ -370,6 +385,14 @@ def new_id(what: str, name: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(what), name.cast("string")))
 
 
+def contact_id(batch: str, request_id: Column) -> Column:
+    return new_id("contact", F.concat_ws("|", F.lit(batch), request_id.cast("string")))
+
+
+def value_id() -> Column:
+    return new_id("value", F.concat_ws("|", F.col("record_id").cast("string"), "field_id"))
+
+
 def judge_updates(updates: DataFrame, contacts: DataFrame) -> DataFrame:
     """Update requests (id, name) with the ``reason`` to refuse them: no such
     contact, or a name given that is blank. A null name leaves the name. Of
@@ -392,9 +415,12 @@ def update_contacts(
     batch: str,
     as_of: Column,
 ) -> Written:
-    """Contacts and values after updates (id, name) with their field patches
-    (record_id, api_name, value). A refused update changes nothing. Address,
-    phone, account and status stay as they are."""
+    """Contacts and values after updates (id, name) and field patches
+    (record_id, api_name, value). Patches alone are an update that leaves the
+    name. A refused update changes nothing. Address, phone, account and status
+    stay as they are."""
+    patched = fields.select(F.col("record_id").alias("id")).distinct()
+    updates = updates.unionByName(patched, allowMissingColumns=True)
     by_id = fields.withColumnRenamed("record_id", "id")
     bad = judge_fields(by_id, definitions, "id").withColumnRenamed("reason", "_field")
     judged = settle(
@@ -424,9 +450,10 @@ def update_contacts(
     patch = (
         by_id.join(touched, "id", "left_semi")
         .join(names, "api_name")
-        .select(F.col("id").alias("record_id"), "field_id", "value")
+        .withColumnRenamed("id", "record_id")
+        .drop("api_name")
     )
-    merged = merge_fields(values, patch)
+    merged = merge_fields(values, patch, as_of)
     changed = after.join(touched, "id", "left_semi")
     theirs = merged.join(touched.withColumnRenamed("id", "record_id"), "record_id", "left_semi")
     payload = contact_payload(changed, theirs, catalog).withColumn("event_type", F.lit(S.UPDATED))

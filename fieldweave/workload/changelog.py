@@ -54,17 +54,17 @@ FIELD_SQL = """select n.request_id, n.api_name, case when d.api_name is null the
 @query(
     "apply_create",
     f"""with f as ({TAKEN_SQL}),
-    g as (select *, case when formal is null then email end as key from f),
-    t as (select *, case when formal is null and email in (select email from contacts where email is not null) then 'known_email'
-      when formal is null and request_id > min(request_id) over (partition by key) then 'repeated_email' end as taken from g),
     b as (select request_id, arg_min(reason, api_name) as bad from ({FIELD_SQL}) where reason is not null group by 1),
-    n as (select request_id, count(value) as n from new_vals group by 1)
-    select t.request_id, coalesce(t.formal, t.taken, b.bad) as reason,
-      case when coalesce(t.formal, t.taken, b.bad) is null then md5(concat('contact:', t.request_id)) end as id,
-      case when coalesce(t.formal, t.taken, b.bad) is null then split_part(trim(t.name), ' ', 1) end as first_name,
-      case when coalesce(t.formal, t.taken, b.bad) is null then coalesce(n.n, 0) end as n_values,
-      case when coalesce(t.formal, t.taken, b.bad) is null then 'CONTACT_CREATED' end as event_type
-    from t left join b on b.request_id = t.request_id left join n on n.request_id = t.request_id""",
+    g as (select f.*, coalesce(f.formal, b.bad) as fault from f left join b on b.request_id = f.request_id),
+    t as (select *, coalesce(fault, case when email in (select email from contacts where email is not null) then 'known_email'
+      when request_id > min(case when fault is null then request_id end) over (partition by email) then 'repeated_email' end) as reason from g),
+    n as (select request_id, count(distinct api_name) as n from new_vals where value is not null group by 1)
+    select t.request_id, t.reason,
+      case when t.reason is null then md5(concat('contact:b1|', t.request_id)) end as id,
+      case when t.reason is null then split_part(trim(t.name), ' ', 1) end as first_name,
+      case when t.reason is null then coalesce(n.n, 0) end as n_values,
+      case when t.reason is null then 'CONTACT_CREATED' end as event_type
+    from t left join n on n.request_id = t.request_id""",
 )
 def apply_create(spark: SparkSession, d: str) -> DataFrame:
     made = C.create_contacts(
@@ -76,7 +76,7 @@ def apply_create(spark: SparkSession, d: str) -> DataFrame:
         "b1",
         as_of(),
     )
-    requests = L.new_contacts(spark, d).select("request_id", C.new_id("contact", F.col("request_id")).alias("id"))
+    requests = L.new_contacts(spark, d).select("request_id", C.contact_id("b1", F.col("request_id")).alias("id"))
     counts = made.values.groupBy(F.col("record_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
     accepted = (
         made.contacts.select("id", "first_name")
@@ -101,7 +101,8 @@ PATCH_REASON_SQL = """select p.record_id, arg_min(case when d.api_name is null t
       where d.api_name is null or (p.value is not null and d.data_type = 'select' and not list_contains(d.options, p.value))
       group by 1"""
 UPDATE_SQL = f"""judged as (select u.id, u.name, coalesce(case when c.id is null then 'unknown_contact' when trim(u.name) = '' then 'blank_name' end, b.bad) as reason
-      from upd u left join contacts c on c.id = u.id left join ({PATCH_REASON_SQL}) b on b.record_id = u.id)"""
+      from (select id, max(name) as name from (select id, name from upd union all select record_id, null from patches) group by id) u
+      left join contacts c on c.id = u.id left join ({PATCH_REASON_SQL}) b on b.record_id = u.id)"""
 
 
 def updated(spark: SparkSession, d: str) -> C.Written:
@@ -139,7 +140,10 @@ def apply_update(spark: SparkSession, d: str) -> DataFrame:
     "apply_update_values",
     f"""with {UPDATE_SQL}, p as (select p.record_id, d.id as field_id, p.value from patches p join defs d on d.api_name = p.api_name
       where p.record_id in (select id from judged where reason is null))
-    select coalesce(v.record_id, p.record_id) as record_id, coalesce(v.field_id, p.field_id) as field_id,
+    select coalesce(v.id, md5(concat('value:', p.record_id, '|', p.field_id))) as id,
+      coalesce(v.record_id, p.record_id) as record_id, coalesce(v.field_id, p.field_id) as field_id,
+      case when v.id is null then timestamp '{AS_OF}' else v.created_at end as created_at,
+      case when p.record_id is not null then timestamp '{AS_OF}' else v.updated_at end as updated_at,
       case when p.record_id is not null then p.value else v.value end as value
     from vals v full join p on p.record_id = v.record_id and p.field_id = v.field_id
     where case when p.record_id is not null then p.value else v.value end is not null""",
@@ -159,7 +163,7 @@ def apply_update_values(spark: SparkSession, d: str) -> DataFrame:
 def merge_custom_fields(spark: SparkSession, d: str) -> DataFrame:
     ids = CATALOG.to_dataframe(spark).select("api_name", F.col("id").alias("field_id"))
     patches = L.patches(spark, d).join(ids, "api_name").select("record_id", "field_id", "value")
-    return C.merge_fields(L.values(spark, d), patches)
+    return C.merge_fields(L.values(spark, d).select("record_id", "field_id", "value"), patches)
 
 
 @query(

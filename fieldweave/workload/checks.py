@@ -111,12 +111,11 @@ def orphan_values(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "restricted_definitions",
     """select t.id, t.api_name, count(v.id) as n_values, count(v.id) = 0 as deletable
-    from tenant_defs t left join (select * from tenant_vals where value is not null and value > '45') v on v.field_id = t.id
+    from tenant_defs t left join tenant_vals v on v.field_id = t.id
     group by t.id, t.api_name""",
 )
 def restricted_definitions(spark: SparkSession, d: str) -> DataFrame:
-    late = L.tenant_values(spark, d).where("value is not null and value > '45'")
-    return Q.definition_use(L.tenant_fields(spark, d), late)
+    return Q.definition_use(L.tenant_fields(spark, d), L.tenant_values(spark, d))
 
 
 @query(

@@ -222,12 +222,11 @@ def semi_exists(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "left_eav",
     """select c.id, c.email, d.api_name, v.value from contacts c
-    left join (select * from vals where field_id in ('f08', 'f10')) v on v.record_id = c.id
+    left join vals v on v.record_id = c.id
     left join defs d on d.id = v.field_id""",
 )
 def left_eav(spark: SparkSession, d: str) -> DataFrame:
-    values = L.values(spark, d, ["notes__c", "tier__c"])
-    rows = E.left_values(L.contacts(spark, d).select("id", "email"), values, CATALOG.to_dataframe(spark))
+    rows = E.left_values(L.contacts(spark, d).select("id", "email"), L.values(spark, d), CATALOG.to_dataframe(spark))
     return rows.select("id", "email", "api_name", "value")
 
 
@@ -257,13 +256,13 @@ def page_then_fetch(spark: SparkSession, d: str) -> DataFrame:
     "group_rows_by_id",
     """select c.id, count(e.api_name) as n_fields,
     coalesce(string_agg(e.api_name || '=' || e.value, ';' order by e.api_name), '') as fields
-    from contacts c left join (select * from eav where api_name in ('notes__c', 'tier__c')) e on e.record_id = c.id
+    from contacts c left join eav e on e.record_id = c.id
     group by c.id""",
 )
 def group_rows_by_id(spark: SparkSession, d: str) -> DataFrame:
-    names = ["notes__c", "tier__c"]
-    rows = E.values_per_contact(L.contacts(spark, d).select("id"), L.values(spark, d, names), CATALOG.subset(names))
-    text = F.transform("entries", lambda e: F.concat_ws("=", e["api_name"], e["value"]))
+    rows = E.values_per_contact(L.contacts(spark, d).select("id"), L.values(spark, d), CATALOG)
+    entries = F.array_sort(F.transform("entries", lambda e: F.struct(e["api_name"], e["value"])))
+    text = F.transform(entries, lambda e: F.concat_ws("=", e["api_name"], e["value"]))
     return rows.select("id", F.size("entries").cast("long").alias("n_fields"), F.array_join(text, ";").alias("fields"))
 
 

@@ -80,14 +80,14 @@ def ngram_lengths(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "query_terms",
-    rf"""with j as (select conv_id, turn, lower(text) as t from conversations where role = 'user'),
+    rf"""with j as (select conv_id, turn, lower(text) as t from conversations),
     k as (select conv_id, turn, regexp_replace(regexp_replace(t, '(\p{{L}})[.:''’·](\p{{L}})', '\1_\2', 'g'), '(\p{{L}})[.:''’·](\p{{L}})', '\1_\2', 'g') as t from j),
     l as (select conv_id, turn, regexp_replace(regexp_replace(t, '(\p{{Nd}})[.,;''’](\p{{Nd}})', '\1_\2', 'g'), '(\p{{Nd}})[.,;''’](\p{{Nd}})', '\1_\2', 'g') as t from k)
     select conv_id, turn, array_to_string(list_filter(regexp_extract_all(t, '[\p{{L}}\p{{Nd}}\p{{M}}_]+'),
       lambda w: regexp_full_match(w, '[\p{{L}}\p{{Nd}}]{{2,10}}')), ' ') as words from l""",
 )
 def query_terms(spark: SparkSession, d: str) -> DataFrame:
-    turns = L.table(spark, d, "conversations").where("role = 'user'")
+    turns = L.table(spark, d, "conversations")
     return turns.select("conv_id", "turn", F.array_join(terms_of(F.col("text")), " ").alias("words"))
 
 

@@ -119,6 +119,23 @@ def test_patches_replace_remove_and_keep(spark):
     assert sorted(map(tuple, after.collect())) == [(1, "f1", "new"), (2, "f1", "c"), (3, "f1", "z")]
 
 
+def test_a_merge_has_no_full_join_and_gives_new_rows_ids_and_times(spark, stored_values):
+    patches = spark.createDataFrame(
+        [("1", "f07", "6"), ("2", "f07", "9")], "record_id string, field_id string, value string"
+    )
+    after = C.merge_fields(stored_values, patches, F.lit(at(3)).cast("timestamp_ntz"))
+    plan = after._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan
+    rows = {(r["record_id"], r["field_id"]): r for r in after.collect()}
+    shown = {k: (r["value"], r["created_at"], r["updated_at"]) for k, r in rows.items()}
+    assert shown == {
+        ("1", "f10"): ("GOLD", at(0), at(0)),
+        ("1", "f07"): ("6", at(0), at(3)),
+        ("2", "f07"): ("9", at(3), at(3)),
+    }
+    assert rows["1", "f07"]["id"] == "v2" and rows["2", "f07"]["id"] not in (None, "v1", "v2")
+
+
 CONTACT_TYPE = (
     "id string, first_name string, last_name string, email string, phone string, account_id string, "
     "status string, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -185,6 +202,55 @@ def test_create(spark, contacts):
     assert payload["name"] == "Park Ji Sung" and payload["custom_fields"] == {"tier__c": "GOLD"}
 
 
+def test_only_good_requests_hold_an_address(spark, contacts):
+    requests = spark.createDataFrame(
+        [("r1", "a@x.org", "One"), ("r2", "a@x.org", "Two"), ("r3", "a@x.org", "Three")],
+        "request_id string, email string, name string",
+    )
+    fields = spark.createDataFrame(
+        [("r1", "memo__c", "x"), ("r2", "tier__c", "SILVER"), ("r2", "tier__c", "GOLD"), ("r2", "tier__c", None)],
+        "request_id string, api_name string, value string",
+    )
+
+    def made(batch):
+        definitions, now = CATALOG.to_dataframe(spark), F.lit(at(7)).cast("timestamp_ntz")
+        return C.create_contacts(requests, fields, contacts, definitions, CATALOG, batch, now)
+
+    first, second = made("b1"), made("b2")
+    assert {r["request_id"]: r["reason"] for r in first.rejected.collect()} == {"r1": "unknown_field", "r3": "repeated_email"}
+    assert [(r["field_id"], r["value"]) for r in first.values.collect()] == [("f10", "SILVER")]
+    (one,), (other,) = first.contacts.collect(), second.contacts.collect()
+    assert one["id"] != other["id"]
+
+
+def test_patches_alone_are_an_update_or_refused(spark, contacts, stored_values):
+    updates = spark.createDataFrame([], "id string, name string, seq int")
+    fields = spark.createDataFrame(
+        [("2", "tier__c", "GOLD"), ("9", "tier__c", "GOLD"), ("1", "tier__c", "TIN")],
+        "record_id string, api_name string, value string",
+    )
+    done = C.update_contacts(
+        updates, fields, contacts, stored_values, CATALOG, CATALOG.to_dataframe(spark), "b", F.lit(at(9)).cast("timestamp_ntz")
+    )
+    assert {r["id"]: r["reason"] for r in done.rejected.collect()} == {"1": "not_in_options", "9": "unknown_contact"}
+    values = {(r["record_id"], r["field_id"], r["value"]) for r in done.values.collect()}
+    assert values == {("1", "f10", "GOLD"), ("1", "f07", "5"), ("2", "f10", "GOLD")}
+    after = {r["id"]: (r["first_name"], r["updated_at"]) for r in done.contacts.collect()}
+    assert after == {"1": ("Kim", at(0)), "2": ("Lee", at(9))}
+    assert [r["aggregate_id"] for r in done.events.collect()] == ["2"]
+
+
+def test_a_failure_holds_before_other_results(spark, log):
+    table = log(event(1, 1, "UPDATED", 1, status="PROCESSING"), event(2, 1, "UPDATED", 1, status="PROCESSING"))
+    results = spark.createDataFrame(
+        [("e001", "PENDING", None), ("e001", "FAILED", "x"), ("e002", "PENDING", None), ("e002", "DONE", None)],
+        "id string, status string, error string",
+    )
+    done = C.finish_events(table, results, F.lit(at(9)).cast("timestamp_ntz"))
+    rows = {r["id"]: (r["status"], r["retry_count"], r["error_message"]) for r in done.collect()}
+    assert rows == {"e001": ("FAILED", 1, "x"), "e002": ("DONE", 0, None)}
+
+
 def test_update_changes_only_what_is_named(spark, contacts, stored_values):
     updates = spark.createDataFrame(
         [("1", " Kim New Name ", 2), ("1", "Zoe", 1), ("2", " ", 1), ("9", "X", 1)], "id string, name string, seq int"
@@ -202,7 +268,7 @@ def test_update_changes_only_what_is_named(spark, contacts, stored_values):
     assert (first["first_name"], first["last_name"], first["updated_at"]) == ("Kim", "New Name", at(9))
     assert (first["phone"], first["account_id"], first["status"]) == ("555", "acc", "inactive")
     assert after["2"]["updated_at"] == at(0)
-    assert [tuple(r) for r in done.values.collect()] == [("1", "f07", "7")]
+    assert [tuple(r) for r in done.values.collect()] == [("v2", "1", "f07", "7", at(0), at(9))]
     (changed,) = done.events.collect()
     assert json.loads(changed["payload"])["custom_fields"] == {"score__c": 7.0}
 
