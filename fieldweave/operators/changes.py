@@ -185,25 +185,49 @@ def oldest_waiting(outbox: DataFrame, limit: int = S.CLAIM_BATCH) -> DataFrame:
     return _claimed(outbox, F.col("status") == S.PENDING, limit)
 
 
-def claim_pending(outbox: DataFrame, limit: int = S.CLAIM_BATCH) -> DataFrame:
-    """The log with its oldest waiting events marked as being processed."""
-    marks = oldest_waiting(outbox, limit).select("id", F.lit(True).alias("_claimed"))
-    status = F.when(F.col("_claimed"), S.PROCESSING).otherwise(F.col("status"))
-    return outbox.join(marks, "id", "left").withColumn("status", status).select(outbox.columns)
+def _with_claim_time(outbox: DataFrame) -> DataFrame:
+    if "claimed_at" in outbox.columns:
+        return outbox
+    return outbox.withColumn("claimed_at", F.lit(None).cast("timestamp_ntz"))
+
+
+def _marked(outbox: DataFrame, taken: DataFrame, as_of: Column) -> DataFrame:
+    """The log with the taken events in processing. ``claimed_at`` has the time of
+    the last claim; a log without that column gets it."""
+    log, claimed = _with_claim_time(outbox), F.col("_claimed")
+    marks = taken.select("id", F.lit(True).alias("_claimed"))
+    changed = {
+        "status": F.when(claimed, S.PROCESSING).otherwise(F.col("status")),
+        "claimed_at": F.when(claimed, as_of).otherwise(F.col("claimed_at")),
+    }
+    return log.join(marks, "id", "left").withColumns(changed).select(log.columns)
+
+
+def claim_pending(outbox: DataFrame, as_of: Column, limit: int = S.CLAIM_BATCH) -> DataFrame:
+    """The log with its oldest waiting events claimed."""
+    return _marked(outbox, oldest_waiting(outbox, limit), as_of)
 
 
 def retryable(max_retries: int = S.MAX_RETRIES) -> Column:
     return (F.col("status") == S.FAILED) & (F.col("retry_count") < max_retries)
 
 
-def claim_retryable(outbox: DataFrame, limit: int = S.RETRY_BATCH) -> DataFrame:
-    """The oldest failed events that have tries left."""
+def oldest_retryable(outbox: DataFrame, limit: int = S.RETRY_BATCH) -> DataFrame:
+    """The oldest failed events that have tries left, as many as one claim takes."""
     return _claimed(outbox, retryable(), limit)
 
 
+def claim_retryable(outbox: DataFrame, as_of: Column, limit: int = S.RETRY_BATCH) -> DataFrame:
+    """The log with its oldest failed events that have tries left claimed again."""
+    return _marked(outbox, oldest_retryable(outbox, limit), as_of)
+
+
 def stale_claims(outbox: DataFrame, before: Column) -> DataFrame:
-    """Events left in processing since before a moment; they may be claimed again."""
-    return outbox.where((F.col("status") == S.PROCESSING) & (F.col("created_at") < before))
+    """Events in processing that were claimed before a moment; they may be claimed
+    again. Without a claim time the creation time counts."""
+    since = F.coalesce("claimed_at", "created_at")
+    stale = _with_claim_time(outbox).where((F.col("status") == S.PROCESSING) & (since < before))
+    return stale.select(outbox.columns)
 
 
 def finish_events(outbox: DataFrame, results: DataFrame, as_of: Column) -> DataFrame:

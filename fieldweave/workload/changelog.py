@@ -259,31 +259,35 @@ def stream(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "claim_pending",
-    """with c as (select id from outbox where status = 'PENDING' order by created_at, id limit 100)
+    f"""with c as (select id from outbox where status = 'PENDING' order by created_at, id limit 100)
     select id, aggregate_id, event_type, case when id in (select id from c) then 'PROCESSING' else status end as status,
-    retry_count, created_at from outbox""",
+    retry_count, created_at, case when id in (select id from c) then timestamp '{AS_OF}' end as claimed_at from outbox""",
 )
 def claim_pending(spark: SparkSession, d: str) -> DataFrame:
-    log = C.claim_pending(L.outbox(spark, d))
-    return log.select("id", "aggregate_id", "event_type", "status", "retry_count", "created_at")
+    log = C.claim_pending(L.outbox(spark, d), as_of())
+    return log.select("id", "aggregate_id", "event_type", "status", "retry_count", "created_at", "claimed_at")
 
 
 @query(
     "claim_retryable",
-    """select id, aggregate_id, event_type, retry_count, created_at from outbox
-    where status = 'FAILED' and retry_count < 5 order by created_at, id limit 50""",
+    f"""with c as (select id from outbox where status = 'FAILED' and retry_count < 5 order by created_at, id limit 50)
+    select id, aggregate_id, event_type, case when id in (select id from c) then 'PROCESSING' else status end as status,
+    retry_count, created_at, case when id in (select id from c) then timestamp '{AS_OF}' end as claimed_at from outbox""",
 )
 def claim_retryable(spark: SparkSession, d: str) -> DataFrame:
-    rows = C.claim_retryable(L.outbox(spark, d))
-    return rows.select("id", "aggregate_id", "event_type", "retry_count", "created_at")
+    log = C.claim_retryable(L.outbox(spark, d), as_of())
+    return log.select("id", "aggregate_id", "event_type", "status", "retry_count", "created_at", "claimed_at")
 
 
 @query(
     "stale_claims",
-    f"select id, created_at from outbox where status = 'PROCESSING' and created_at < timestamp '{CUTOFF}'",
+    f"""select id, created_at, cast(null as timestamp) as claimed_at from outbox
+    where status = 'PROCESSING' and created_at < timestamp '{CUTOFF}'""",
 )
 def stale_claims(spark: SparkSession, d: str) -> DataFrame:
-    return C.stale_claims(L.outbox(spark, d), as_of(CUTOFF)).select("id", "created_at")
+    """Of a log after a claim: what was claimed just now is not stale, however old it is."""
+    log = C.claim_pending(L.outbox(spark, d), as_of())
+    return C.stale_claims(log, as_of(CUTOFF)).select("id", "created_at", "claimed_at")
 
 
 @query(

@@ -79,11 +79,14 @@ def test_claims_and_results(log):
     rows = [event(n, n, "UPDATED", 100 - n) for n in range(1, 8)]
     rows += [event(20 + n, n, "UPDATED", n, status="FAILED", retries=n) for n in range(8)]
     table = log(*rows)
-    claimed = C.claim_pending(table, 3)
-    assert claimed.columns == table.columns and claimed.count() == table.count()
+    claimed = C.claim_pending(table, F.lit(at(90)).cast("timestamp_ntz"), 3)
+    assert claimed.columns == [*table.columns, "claimed_at"] and claimed.count() == table.count()
     assert {r["id"] for r in claimed.where("status = 'PROCESSING'").collect()} == {"e005", "e006", "e007"}
-    assert [r["id"] for r in C.claim_retryable(table, 3).collect()] == ["e020", "e021", "e022"]
-    assert C.claim_retryable(table).count() == 5
+    assert [r["id"] for r in C.oldest_retryable(table, 3).collect()] == ["e020", "e021", "e022"]
+    assert C.oldest_retryable(table).count() == 5
+    again = C.claim_retryable(claimed, F.lit(at(99)).cast("timestamp_ntz"), 3)
+    times = {r["id"]: r["claimed_at"] for r in again.where("status = 'PROCESSING'").collect()}
+    assert times == {i: at(99) for i in ("e020", "e021", "e022")} | {i: at(90) for i in ("e005", "e006", "e007")}
     results = claimed.sparkSession.createDataFrame(
         [("e005", "DONE", None), ("e006", "FAILED", "boom"), ("e006", "DONE", None), ("e007", "PENDING", None)],
         "id string, status string, error string",
@@ -92,7 +95,10 @@ def test_claims_and_results(log):
     assert (after["e005"]["status"], after["e005"]["processed_at"]) == ("DONE", at(500))
     assert (after["e006"]["status"], after["e006"]["retry_count"], after["e006"]["error_message"]) == ("FAILED", 1, "boom")
     assert (after["e007"]["status"], after["e007"]["processed_at"]) == ("PENDING", None)
-    assert C.stale_claims(claimed, F.lit(at(95))).count() == 2
+    assert C.stale_claims(again, F.lit(at(90))).count() == 0
+    assert {r["id"] for r in C.stale_claims(again, F.lit(at(95))).collect()} == {"e005", "e006", "e007"}
+    unknown = claimed.drop("claimed_at")
+    assert C.stale_claims(unknown, F.lit(at(95))).count() == 2
 
 
 def test_purge_keeps_recent_and_unfinished(log):
