@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from fieldweave.catalog import FieldCatalog, FieldDef
 from fieldweave.functions.values import typed_value
+from fieldweave.sources.layout import melt
 
 _EPOCH = dt.datetime(2020, 1, 1)
 
@@ -221,17 +222,8 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def melt_fields(wide: DataFrame, catalog: FieldCatalog, fields: list[str] | None = None) -> DataFrame:
-    """The EAV rows of a wide table. Only the asked fields are expanded, as a
-    reader of a table partitioned by field would do."""
-    from fieldweave.sources.layout import melt
-
-    chosen = catalog if fields is None else catalog.subset(fields)
-    return melt(wide, chosen)
-
-
-def values(spark: SparkSession, sf_dir: str, fields: list[str] | None = None) -> DataFrame:
-    return melt_fields(profile(spark, sf_dir), CONTACT_CATALOG, fields)
+def values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return melt(profile(spark, sf_dir), CONTACT_CATALOG)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,9 +250,9 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_values(spark: SparkSession, sf_dir: str, fields: list[str] | None = None) -> DataFrame:
+def order_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = order_profile(spark, sf_dir).withColumn("updated_at", F.col("created_at"))
-    return melt_fields(wide, ORDER_CATALOG, fields)
+    return melt(wide, ORDER_CATALOG)
 
 
 # The document a change event carries; its custom fields are the two the events have.

@@ -137,7 +137,7 @@ def null_out_parent(spark: SparkSession, d: str) -> DataFrame:
 )
 def missing_required(spark: SparkSession, d: str) -> DataFrame:
     names = ["tier__c", "notes__c", "contract_start__c"]
-    return Q.missing_required(L.contacts(spark, d), L.values(spark, d, names), CATALOG.with_required(*names))
+    return Q.missing_required(L.contacts(spark, d), L.values(spark, d), CATALOG.with_required(*names))
 
 
 @query(

@@ -113,7 +113,7 @@ EXISTS = "exists (select 1 from eav e where e.record_id = c.id and e.api_name =
 )
 def eav_eq(spark: SparkSession, d: str) -> DataFrame:
     filters = [Filter("tier__c", "eq", "GOLD"), Filter("region__c", "eq", "ASIA")]
-    values = L.values(spark, d, ["tier__c", "region__c"])
+    values = L.values(spark, d)
     return E.having_values(L.contacts(spark, d).select(CONTACT), values, CATALOG, filters)
 
 
@@ -128,7 +128,7 @@ def eav_eq(spark: SparkSession, d: str) -> DataFrame:
 )
 def eav_match_once(spark: SparkSession, d: str) -> DataFrame:
     contacts = L.contacts(spark, d).select(CONTACT)
-    values = L.values(spark, d, ["tier__c", "score__c", "contract_start__c"])
+    values = L.values(spark, d)
     exact = [Filter("tier__c", "eq", "GOLD"), Filter("score__c", "eq", 95)]
     ranges = [
         Filter("tier__c", "contains", "R"),
@@ -144,7 +144,7 @@ def eav_match_once(spark: SparkSession, d: str) -> DataFrame:
     f"select id, first_name, last_name, email, status from contacts c where {EXISTS.format('notes__c', 'true')}",
 )
 def eav_has_field(spark: SparkSession, d: str) -> DataFrame:
-    values = L.values(spark, d, ["notes__c"])
+    values = L.values(spark, d)
     return E.having_field(L.contacts(spark, d).select(CONTACT), values, CATALOG, "notes__c")
 
 
@@ -156,7 +156,7 @@ def eav_has_field(spark: SparkSession, d: str) -> DataFrame:
 )
 def pivot_eq(spark: SparkSession, d: str) -> DataFrame:
     contacts = L.contacts(spark, d).select("id", "email")
-    return E.pivot_equal(contacts, L.values(spark, d, ["tier__c"]), CATALOG, "tier__c", "SILVER")
+    return E.pivot_equal(contacts, L.values(spark, d), CATALOG, "tier__c", "SILVER")
 
 
 @query("base_eq", "select id, first_name, last_name, email, status from contacts where status = 'inactive'")
@@ -215,7 +215,7 @@ def by_id_list(spark: SparkSession, d: str) -> DataFrame:
 )
 def semi_exists(spark: SparkSession, d: str) -> DataFrame:
     filters = [Filter("status__c", "eq", "P"), Filter("items__c", "gte", 5)]
-    values = L.order_values(spark, d, ["status__c", "items__c"])
+    values = L.order_values(spark, d)
     return E.having_values(L.order_records(spark, d), values, L.ORDER_CATALOG, filters)
 
 

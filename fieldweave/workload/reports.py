@@ -65,9 +65,8 @@ def total_count(spark: SparkSession, d: str) -> DataFrame:
     and max(case when e.api_name = 'department__c' then e.value end) = 'BUILDING')""",
 )
 def total_count_pivot(spark: SparkSession, d: str) -> DataFrame:
-    names = ["tier__c", "department__c"]
     filters = [Filter("tier__c", "eq", "GOLD"), Filter("department__c", "eq", "BUILDING")]
-    found = E.matches(L.values(spark, d, names), CATALOG, filters)
+    found = E.matches(L.values(spark, d), CATALOG, filters)
     return A.total(L.contacts(spark, d).select("id").join(found, "id", "left_semi"))
 
 
@@ -80,7 +79,7 @@ def total_count_pivot(spark: SparkSession, d: str) -> DataFrame:
 )
 def group_counts_eav(spark: SparkSession, d: str) -> DataFrame:
     contacts = L.contacts(spark, d).where(P.text_contains("nation-1"))
-    return A.group_counts_eav(contacts, L.values(spark, d, ["tier__c"]), CATALOG, "tier__c")
+    return A.group_counts_eav(contacts, L.values(spark, d), CATALOG, "tier__c")
 
 
 @query(
@@ -88,7 +87,7 @@ def group_counts_eav(spark: SparkSession, d: str) -> DataFrame:
     f"select value as key, count(*) as cnt from order_vals where field_id = 'f04' group by 1 {GROUP_SQL} 50",
 )
 def group_counts_orders(spark: SparkSession, d: str) -> DataFrame:
-    values = L.order_values(spark, d, ["order_date__c"])
+    values = L.order_values(spark, d)
     return A.group_counts_eav(L.order_records(spark, d), values, L.ORDER_CATALOG, "order_date__c")
 
 
@@ -174,7 +173,7 @@ def sort_name(spark: SparkSession, d: str) -> DataFrame:
 )
 def sort_eav_text(spark: SparkSession, d: str) -> DataFrame:
     name = "annual_revenue__c"
-    wide = E.wide_contacts(L.contacts(spark, d).select("id"), L.values(spark, d, [name]), CATALOG, [name])
+    wide = E.wide_contacts(L.contacts(spark, d).select("id"), L.values(spark, d), CATALOG, [name])
     return page_of(wide, order_of([Sort(name, "desc")], F.col, missing_lowest), 3, 40)
 
 
@@ -185,7 +184,7 @@ def sort_eav_text(spark: SparkSession, d: str) -> DataFrame:
     order by e.value asc nulls first, c.id limit 300""",
 )
 def sort_eav_text_missing_first(spark: SparkSession, d: str) -> DataFrame:
-    wide = E.wide_contacts(L.contacts(spark, d).select("id"), L.values(spark, d, ["tier__c"]), CATALOG, ["tier__c"])
+    wide = E.wide_contacts(L.contacts(spark, d).select("id"), L.values(spark, d), CATALOG, ["tier__c"])
     return page_of(wide, order_of([Sort("tier__c")], F.col, missing_lowest), 1, 300)
 
 
