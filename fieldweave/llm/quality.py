@@ -27,7 +27,7 @@ class Settings:
     trees: int = 100
     tree_rows: int = 256
     seed: int = 7
-    #: Share of the labelled good rows that may be rejected as anomalies, at most.
+    #: Share of the labelled good rows that may be rejected as anomalies, at most, if no bad rows are labelled.
     max_clean_loss: float = 0.005
     #: Steps of the scores between which the threshold is sought, over all labelled rows.
     score_steps: int = 2_000
@@ -84,12 +84,26 @@ def usual_path(n: float) -> float:
     return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (math.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
 
 
+def separation(rows: np.ndarray, quality: np.ndarray) -> np.ndarray:
+    """How far the values of good and bad rows lie apart, for each column: the largest difference of their cumulative
+    shares (0 to 1). All 1 if either label is missing, or if no column tells them apart."""
+    good, bad = rows[quality > 0], rows[quality <= 0]
+    if not len(good) or not len(bad):
+        return np.ones(rows.shape[1])
+    out = np.zeros(rows.shape[1])
+    for i, values in enumerate(rows.T):
+        below = [np.searchsorted(np.sort(x[:, i]), values, side="right") / len(x) for x in (good, bad)]
+        out[i] = np.abs(below[0] - below[1]).max()
+    return out if out.any() else np.ones(rows.shape[1])
+
+
 class Forest:
-    """Trees of random splits. Nodes of all trees in flat arrays; a leaf's children are itself and its ``path`` is its
+    """Trees of random splits, on a column as often as its weight says. Nodes of all trees in flat arrays; a leaf's children are itself and its ``path`` is its
     depth and what rows that share it would need."""
 
-    def __init__(self, rows: np.ndarray, settings: Settings):
+    def __init__(self, rows: np.ndarray, weights: np.ndarray, settings: Settings):
         random = np.random.default_rng(settings.seed)
+        self.weights = weights
         self.feature, self.split, self.left, self.right, self.path, self.roots = [], [], [], [], [], []
         self.size = min(settings.tree_rows, len(rows))
         self.depth = max(1, math.ceil(math.log2(max(2, self.size))))
@@ -104,9 +118,9 @@ class Forest:
         for values, value in ((self.feature, 0), (self.split, 0.0), (self.left, at), (self.right, at), (self.path, depth + usual_path(len(rows)))):
             values.append(value)
         low, high = rows.min(axis=0), rows.max(axis=0)
-        open_ = np.flatnonzero(high > low)
+        open_ = np.flatnonzero((high > low) & (self.weights > 0))
         if depth < self.depth and len(open_):
-            feature = int(random.choice(open_))
+            feature = int(random.choice(open_, p=self.weights[open_] / self.weights[open_].sum()))
             split = random.uniform(low[feature], high[feature])
             below = rows[:, feature] <= split
             if below.any() and not below.all():
@@ -136,18 +150,20 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per document: doc_id, the five statistics, base_failed, score, kept.
 
-    A document is kept if no base rule fails and its anomaly score is not above the threshold: the one that rejects
-    most of the labelled bad rows that pass the base rules, while ``max_clean_loss`` of the good ones at most are lost.
-    Without labelled rows there is no forest, the score is 0 and the base rules decide. Null and empty texts have no
+    A document is kept if no base rule fails and its anomaly score is not above the threshold: the one for which the
+    shares of the labelled bad and good rows that it rejects differ most, of those that pass the base rules. If none of
+    them is bad, ``max_clean_loss`` of the good ones at most are lost; if none is good, all of the bad ones are rejected.
+    The forest splits more often on statistics that set the labels apart, so good rows that are merely long stay. Without labelled rows there is no forest, the score is 0 and the base rules decide. Null and empty texts have no
     words and fail. Repeated rows are judged alike; no rows give no rows.
     """
     rows = settle(with_statistics(docs.select("doc_id", "text")).drop("text"), "quality-rows").withColumn("base_failed", base_failed())
     known = labelled(rows.where(~F.col("base_failed")), labels)
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS).limit(settings.max_labelled)
-    sample = sample.select(*STATISTICS).toPandas().to_numpy(np.float64)  # max_labelled rows at most
+    sample = sample.select(*STATISTICS, "quality").toPandas().to_numpy(np.float64)  # max_labelled rows at most
     if not len(sample):
         return rows.withColumn("score", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))
-    forest = Forest(shape(sample), settings)  # trees * 2 * tree_rows nodes at most
+    seen = shape(sample[:, :-1])
+    forest = Forest(seen, separation(seen, sample[:, -1]), settings)  # trees * 2 * tree_rows nodes at most
 
     @F.pandas_udf("double")
     def score(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series) -> pd.Series:
@@ -161,11 +177,13 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
 
 def _threshold(counts: dict[tuple[int, int], int], settings: Settings) -> float:
-    good = sum(n for (_, q), n in counts.items() if q > 0)
-    lost, steps = 0, settings.score_steps
-    for step in range(settings.score_steps, 0, -1):
+    """The highest threshold with the largest difference of the shares of bad and good rows that are rejected."""
+    good, bad = (sum(n for (_, q), n in counts.items() if (q > 0) == kind) for kind in (True, False))
+    lost, caught, found, most = 0, 0, settings.score_steps, 0.0
+    for step in range(settings.score_steps, -1, -1):  # rows above the step are rejected
+        gain = caught / max(1, bad) - lost / max(1, good)
+        if gain > most or not bad and lost <= settings.max_clean_loss * good:
+            found, most = step, max(gain, most)
         lost += sum(n for (s, q), n in counts.items() if s == step and q > 0)
-        if lost > settings.max_clean_loss * good:
-            break
-        steps = step - 1
-    return steps / settings.score_steps
+        caught += sum(n for (s, q), n in counts.items() if s == step and q <= 0)
+    return found / settings.score_steps

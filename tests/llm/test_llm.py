@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from compare import connect, differences
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -202,6 +203,24 @@ def test_quality_statistics_and_verdicts(spark, odd, empty):
     assert known[known.quality == 1].kept.mean() >= 0.99
 
 
+def test_labelled_bad_rows_are_rejected(spark):
+    docs, labels = (queries.table(spark, "/root/testdata/sf0.01", name) for name in ("documents", "labels"))
+    half = F.xxhash64("doc_id", F.lit(1)) % 2 == 0
+    for learned, tried, kept in ((labels, labels, 0.02), (labels.where(half), labels.where(~half), 0.1)):
+        known = quality.judge(docs, learned).where("not base_failed").join(tried, "doc_id").toPandas()
+        assert (known.quality == 0).sum() >= 10
+        assert known[known.quality == 0].kept.mean() <= kept and known[known.quality == 1].kept.mean() >= 0.98
+
+
+def test_threshold_follows_both_labels():
+    steps = quality.Settings(score_steps=10, max_clean_loss=0.1)
+    assert quality._threshold({(4, 1): 95, (7, 1): 5, (6, 0): 9, (5, 0): 1}, steps) == 0.4
+    assert quality._threshold({(4, 1): 95, (7, 1): 5}, steps) == 0.4
+    assert quality._threshold({(4, 1): 85, (7, 1): 15}, steps) == 0.7
+    assert quality._threshold({(4, 0): 3, (7, 0): 1}, steps) == 0.3
+    assert quality._threshold({(4, 0): 5, (4, 1): 5}, steps) == 1.0
+
+
 def test_pipeline_keeps_the_columns(spark, odd):
     docs = queries.table(spark, DATA, "documents")
     for name, stage in corpus_pipeline.STAGES[1:-1]:
