@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldweave.llm import lines, mixing, neardup, toxicity
-from fieldweave.llm.common import table
+from fieldweave.llm.common import fresh, table
 from fieldweave.llm.queries import SCHEDULES, WEIGHTS, token_digests, vocabulary_path
 from fieldweave.session import settle
 
@@ -56,7 +56,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in turn; a row of the result has its ``position`` in the training order, which a table does not keep."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES[:-2]:
         docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    [place] = fresh(docs, "position")
+    mixed = settle(mixing.curriculum(docs, WEIGHTS, SCHEDULES, position=place), "pipeline-mixing")
+    return token_digests(mixed, vocabulary_path(), [place]).withColumnRenamed(place, "position")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,11 +23,12 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-def token_digests(docs: DataFrame, path: str) -> DataFrame:
+def token_digests(docs: DataFrame, path: str, keys: Sequence[str] = ()) -> DataFrame:
     tokenizer = bpe.Tokenizer(path)
-    rows = tokenizer.decode(tokenizer.encode(docs.select("doc_id", "text")).select("doc_id", "ids"))
+    rows = tokenizer.decode(tokenizer.encode(docs.select("doc_id", *keys, "text")).select("doc_id", *keys, "ids"))
     return rows.select(
         "doc_id",
+        *keys,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
@@ -71,7 +74,8 @@ WEIGHTS, SCHEDULES = (3.0, 1.0, 2.0), (mixing.EARLY, mixing.LATE, mixing.EVEN)
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.plan_mix(table(spark, sf_dir, "documents"), WEIGHTS, SCHEDULES)
-    return rows.select("doc_id", "size", "source_size", "target", "taken")
+    places = [F.get("positions", F.lit(i)).alias(name) for i, name in enumerate(("first_position", "second_position"))]
+    return rows.select("doc_id", "size", "source_size", "target", "taken", *places)  # the cap of 2 gives two places at most
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +93,6 @@ ORACLES = {
     "op1_chat_formatting": chat.CHAT_SQL,
     "op5_url_filters": urls.URLS_SQL,
     "op8_line_dedup": lines.LINES_SQL,
-    "op9_mixing": mixing.MIX_SQL,
+    "op9_mixing": mixing.PLACES_SQL,
     "op10_exact_dedup": exact.DEDUP_SQL,
 }

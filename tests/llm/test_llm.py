@@ -154,6 +154,53 @@ def test_mix_meets_its_targets(spark, odd, empty):
     assert mixing.curriculum(empty, (1.0,)).count() == 0
 
 
+def test_positions_equal_brute_force(spark):
+    random = np.random.default_rng(3)
+    docs = [(i, "w " * int(random.integers(0, 60)), "abc"[i % 3 if i % 7 else 0]) for i in range(200)]
+    weights, schedules = {"a": 3.0, "b": 1.0, "c": 2.0}, {"a": mixing.EARLY, "b": mixing.LATE, "c": ((0.0, 0.0), (0.3, 2.0), (1.0, 0.5))}
+    rows = mixing.plan_mix(spark.createDataFrame(docs, "doc_id long, text string, source string"), weights, schedules, mixing.Settings(range_rows=20)).collect()
+    found = {r["doc_id"]: r for r in rows}
+
+    def demand(knots, time):
+        times = np.linspace(0, time, 20_001)
+        return np.trapezoid(np.interp(times, *zip(*knots)), times)
+
+    for source, knots in schedules.items():
+        before = 0
+        for i, text, _ in sorted((d for d in docs if d[2] == source), key=lambda d: hashlib.md5(f"{d[0]}|mix".encode()).hexdigest()):
+            size, row = len(text.split()), found[i]
+            middles = [e * row["source_size"] + before + size / 2 for e in range(2)]
+            wanted = [m / row["target"] for m in middles if m < row["target"]]
+            assert [demand(knots, at) / demand(knots, 1.0) for at in row["positions"]] == pytest.approx(wanted, abs=1e-6)
+            before += size
+    assert len(rows) == 200 and {len(r["positions"]) for r in rows} >= {1, 2}
+
+
+def test_the_mix_gives_its_places(spark):
+    rows = queries.op9_mixing(spark, DATA).collect()
+    for r in rows:
+        places = [p for p in (r["first_position"], r["second_position"]) if p is not None]
+        assert places == sorted(places) and all(0 <= p <= 1 for p in places) and len(places) * r["size"] == r["taken"]
+    assert len({r["first_position"] for r in rows}) > 100
+    docs = queries.table(spark, DATA, "documents")
+    mixed = mixing.curriculum(docs, queries.WEIGHTS, queries.SCHEDULES, position="at")
+    assert mixed.columns == [*docs.columns, "at"]
+    own = [r["at"] for r in mixed.collect()]
+    assert own == sorted(own)
+    assert Counter(own) == Counter(p for r in rows for p in (r["first_position"], r["second_position"]) if p is not None)
+
+
+def test_mix_columns_without_places_equal_their_sql(spark):
+    rows = queries.op9_mixing(spark, DATA).drop("first_position", "second_position")
+    assert not differences(rows, connect(DATA), mixing.MIX_SQL)[1]
+
+
+def test_pipeline_rows_have_their_places(spark):
+    rows = corpus_pipeline.run(spark, DATA).select("doc_id", "position").collect()
+    assert rows and all(0 <= r["position"] <= 1 for r in rows)
+    assert len({r["position"] for r in rows}) > 0.9 * len(rows)
+
+
 def test_similarity_and_its_estimate():
     random = np.random.default_rng(1)
     a = " ".join(f"w{x}" for x in random.integers(0, 300, 400))
