@@ -25,6 +25,9 @@ JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _KIND_TYPES = {S.NUMBER: T.DoubleType(), S.DATE: T.DateType()}
 
 DOCUMENT_COLUMNS = ("id", "email", "name", "custom_fields", "created_at", "updated_at")
+#: Column of documents with the text of custom fields that their struct does not have.
+OTHER_FIELDS = "other_fields"
+_OTHER_TYPE = T.MapType(T.StringType(), T.StringType())
 VERSION = ("event_time", "event_id")
 _CORRUPT = "_corrupt"
 
@@ -51,6 +54,49 @@ def document_type(catalog: FieldCatalog, key_type: T.DataType | None = None) ->
     )
 
 
+def merged_type(*types: T.StructType) -> T.StructType:
+    """The fields of all types; of one name the first holds."""
+    fields: dict[str, T.StructField] = {}
+    for type_ in types:
+        for f in type_.fields:
+            fields.setdefault(f.name, f)
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()])
+
+
+def widened_type(document: T.StructType, catalog: FieldCatalog | None) -> T.StructType:
+    """A document's type with the fields of the catalog that it does not have."""
+    custom = document["custom_fields"].dataType
+    if catalog is None or not isinstance(custom, T.StructType):
+        return document
+    wide = merged_type(custom, document_type(catalog)["custom_fields"].dataType)
+    return T.StructType([T.StructField(f.name, wide if f.name == "custom_fields" else f.dataType) for f in document.fields])
+
+
+def widened(documents: DataFrame, custom: T.DataType) -> DataFrame:
+    """Documents whose custom fields are those of the type, and then any others they
+    have. A field that is null in a document is read from its ``other_fields``, as
+    the document may be from before the field was defined; text that is not of the
+    field's type stays there."""
+    stored = documents.schema["custom_fields"].dataType
+    kept = F.col(OTHER_FIELDS) if OTHER_FIELDS in documents.columns else F.lit(None).cast(_OTHER_TYPE)
+    if not isinstance(stored, T.StructType) or not isinstance(custom, T.StructType):
+        return documents.withColumn(OTHER_FIELDS, kept)
+    old, fields, moved = F.col("custom_fields"), [], [F.lit(None).cast("string")]
+    for f in merged_type(custom, stored).fields:
+        kind = next((k for k, t in _KIND_TYPES.items() if t == f.dataType), S.TEXT)
+        value = typed_value(F.try_element_at(kept, F.lit(f.name)), kind).try_cast(f.dataType)
+        moved.append(F.when(value.isNotNull(), F.lit(f.name)))
+        fields.append((F.coalesce(old[f.name], value) if f.name in stored.fieldNames() else value).alias(f.name))
+    names = F.array_compact(F.array(*moved))
+    rest = F.map_filter(kept, lambda k, v: ~F.array_contains(names, k))
+    return documents.withColumns(
+        {
+            "custom_fields": F.when(old.isNotNull() | (F.size(names) > 0), F.struct(*fields)),
+            OTHER_FIELDS: F.when(F.size(rest) > 0, rest),
+        }
+    )
+
+
 def contact_payload(contacts: DataFrame, values: DataFrame, catalog: FieldCatalog) -> DataFrame:
     """(id, payload): the full contact as event payload, present fields only, numbers
     and dates typed as in the documents. A value that breaks its type is left out, as
@@ -124,16 +170,29 @@ def change_reason(type_: Column, contact_id: Column, text: Column, parsed: Colum
     )
 
 
+def _other_fields(document: T.StructType) -> Column:
+    custom = document["custom_fields"].dataType
+    if not isinstance(custom, T.StructType):  # a map has them all
+        return F.lit(None).cast(_OTHER_TYPE)
+    text = T.StructType([T.StructField("custom_fields", _OTHER_TYPE)])
+    others = F.map_filter(
+        F.from_json("payload", text)["custom_fields"], lambda k, v: v.isNotNull() & ~k.isin(custom.fieldNames())
+    )
+    return F.when(F.size(others) > 0, others)
+
+
 def split_changes(changes: DataFrame, document: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(changes to apply, with their payload as a document; changes to set aside as
-    they came, with their reason). Payloads are read before any change is dropped
+    they came, with their reason). Custom fields that the document type does not
+    have are in ``other_fields``, as text. Payloads are read before any change is dropped
     for a newer one, so a broken change never hides a good one."""
     shape = T.StructType([*document.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json("payload", shape, {"timestampNTZFormat": JSON_TIME, "columnNameOfCorruptRecord": _CORRUPT})
     judged = changes.withColumn("_parsed", parsed)
     reason = change_reason(F.col("type"), F.col("contact_id"), F.col("payload"), F.col("_parsed"))
     judged = judged.withColumn("reason", reason)
-    read = F.when(F.col("type") != S.DELETED, F.struct(*[F.col("_parsed")[f.name].alias(f.name) for f in document.fields]))
+    fields = [F.col("_parsed")[f.name].alias(f.name) for f in document.fields]
+    read = F.when(F.col("type") != S.DELETED, F.struct(*fields, _other_fields(document).alias(OTHER_FIELDS)))
     good = judged.where("reason is null").withColumn("payload", read).drop("_parsed", "reason")
     return good, judged.where("reason is not null").drop("_parsed")
 
@@ -157,16 +216,21 @@ class Applied:
 
 
 def apply_changes(
-    documents: DataFrame, changes: DataFrame, derive: Callable[[DataFrame], DataFrame] | None = None
+    documents: DataFrame,
+    changes: DataFrame,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+    catalog: FieldCatalog | None = None,
 ) -> Applied:
     """Documents after the changes: created and updated ones replaced whole,
     deleted ones gone. Deleting what is not there is no error.
 
     Every payload is read and checked first; of the good changes of a contact the
     last holds. ``derive`` adds the columns that are stored with documents but
-    computed from them.
+    computed from them. Fields of the catalog that the documents do not have are
+    added, null for old rows; names that neither has are kept in ``other_fields``.
     """
-    document = T.StructType([documents.schema[c] for c in DOCUMENT_COLUMNS])
+    document = widened_type(T.StructType([documents.schema[c] for c in DOCUMENT_COLUMNS]), catalog)
+    documents = widened(documents, document["custom_fields"].dataType)
     good, rejected = split_changes(changes, document)
     last = newest_changes(good)
     written = last.where(F.col("type") != S.DELETED).select("payload.*")

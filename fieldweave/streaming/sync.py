@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldweave import schema as S
-from fieldweave.operators.changes import newest_changes, split_changes, to_change
+from fieldweave.catalog import FieldCatalog
+from fieldweave.operators.changes import merged_type, newest_changes, split_changes, to_change, widened, widened_type
 
 
 def stream_sync(
@@ -27,8 +28,11 @@ def stream_sync(
     target: str,
     checkpoint: str,
     continuous_every: str | None = None,
+    catalog: FieldCatalog | None = None,
 ) -> StreamingQuery:
-    """Start the sync. Without an interval it takes what is there and ends."""
+    """Start the sync. Without an interval it takes what is there and ends. Fields
+    of the catalog are added to the document type."""
+    document = widened_type(document, catalog)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         good, rejected = split_changes(to_change(batch), document)
@@ -42,7 +46,8 @@ def stream_sync(
 
 
 def written_changes(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/changes")
+    """All batches; those from before a field was defined have null for it."""
+    return spark.read.option("mergeSchema", True).parquet(f"{target}/changes")
 
 
 def current_state(spark: SparkSession, target: str) -> DataFrame:
@@ -55,18 +60,25 @@ def synced_documents(
     target: str,
     base: DataFrame | None = None,
     derive: Callable[[DataFrame], DataFrame] | None = None,
+    catalog: FieldCatalog | None = None,
 ) -> DataFrame:
     """The document table as of the last finished batch, over an optional base
     table that no change has touched yet. ``derive`` adds the columns that are
-    stored with documents but computed from them."""
+    stored with documents but computed from them. Custom fields are those of the
+    base table, the batches and the catalog."""
     state = current_state(spark, target)
     live = state.where(F.col("type") != S.DELETED).select("payload.*")
+    document = (live if base is None else base).schema
+    custom = widened_type(document, catalog)["custom_fields"].dataType
+    if isinstance(custom, T.StructType) and isinstance(live.schema["custom_fields"].dataType, T.StructType):
+        custom = merged_type(custom, live.schema["custom_fields"].dataType)
+    live = widened(live, custom)
     if derive is not None:
         live = derive(live)
     if base is None:
         return live
     touched = state.select(F.col("contact_id").alias("id"))
-    return base.join(touched, "id", "left_anti").unionByName(live)
+    return widened(base, custom).join(touched, "id", "left_anti").unionByName(live)
 
 
 def compact(spark: SparkSession, target: str, into: str) -> None:

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from fieldweave import schema as S
 from fieldweave.operators import changes as C
+from fieldweave.operators.predicates import Filter
+from fieldweave.operators.sorting import Sort
+from fieldweave.plans.search import search_documents
+from fieldweave.plans.spec import SearchSpec
 from fieldweave.session import new_work_dir
 from fieldweave.sources import lens as L
 from fieldweave.streaming.sync import stream_sync, synced_documents
@@ -236,7 +240,7 @@ def shown(docs: DataFrame) -> DataFrame:
       where event_type <> 'CONTACT_DELETED' and payload_value is null""",
 )
 def apply_changes(spark: SparkSession, d: str) -> DataFrame:
-    applied = C.apply_changes(L.documents(spark, d), C.to_change(L.outbox(spark, d)))
+    applied = C.apply_changes(L.documents(spark, d), C.to_change(L.outbox(spark, d)), catalog=CATALOG)
     rejected = applied.rejected.select(
         F.col("event_id").alias("id"), F.col("type").alias("email"), F.col("event_time").alias("updated_at"), F.lit("rejected").alias("part")
     )
@@ -253,8 +257,8 @@ def stream(spark: SparkSession, d: str) -> DataFrame:
     work = new_work_dir(spark, "sync")
     docs = L.documents(spark, d)
     document = C.document_type(CATALOG, log.schema["aggregate_id"].dataType)
-    stream_sync(log, document, f"{work}/target", f"{work}/checkpoint").awaitTermination()
-    return shown(synced_documents(spark, f"{work}/target", docs))
+    stream_sync(log, document, f"{work}/target", f"{work}/checkpoint", catalog=CATALOG).awaitTermination()
+    return shown(synced_documents(spark, f"{work}/target", docs, catalog=CATALOG))
 
 
 @query(
@@ -347,6 +351,34 @@ def reindex_apply(spark: SparkSession, d: str) -> DataFrame:
     return flat(C.apply_changes(older, C.to_change(log)).documents)
 
 
+@query(
+    "document_new_field",
+    """with m as (select c.id, max(case when e.api_name = 'score__c' then cast(e.value as double) end) as score,
+        max(case when e.api_name = 'tier__c' then e.value end) as tier
+      from contacts c left join eav e on e.record_id = c.id where c.status = 'active' group by c.id),
+    p as (select id, score from m where score > 40 order by score desc, id limit 50)
+    select 'page' as part, cast(id as varchar) as key, score, (select count(*) from m where score > 40) as n from p
+    union all select 'group', tier, null, count(*) from m where tier is not null group by tier""",
+)
+def document_new_field(spark: SparkSession, d: str) -> DataFrame:
+    """Fields that were defined after the document table was built, filled by the log
+    for active contacts only: filter, sort and groups on them."""
+    contacts = L.contacts(spark, d).where("status = 'active'")
+    values = L.values(spark, d).join(contacts.select(F.col("id").alias("record_id")), "record_id", "left_semi")
+    log = C.reindex(contacts, values, CATALOG, "r1", as_of())
+    older = L.documents(spark, d)
+    older = older.withColumn("custom_fields", F.col("custom_fields").dropFields("score__c", "tier__c"))
+    documents = C.apply_changes(older, C.to_change(log), catalog=CATALOG).documents
+    spec = SearchSpec(filters=(Filter("score__c", "gt", 40),), sort=(Sort("score__c", "desc"),), page_size=50, group_by="tier__c")
+    found = search_documents(documents, CATALOG, spec)
+    rows = found.page.select(
+        F.lit("page").alias("part"), F.col("id").cast("string").alias("key"), F.col("custom_fields.score__c").alias("score"),
+        found.total.scalar().alias("n"),
+    )
+    groups = found.groups.select(F.lit("group").alias("part"), "key", F.lit(None).cast("double").alias("score"), F.col("cnt").alias("n"))
+    return rows.unionByName(groups)
+
+
 @query(
     "reindex_some",
     f"""with ids as (select distinct user_id as id from events where event_type = 'signup' union select -1 - s_suppkey from supplier)

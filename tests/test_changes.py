@@ -69,6 +69,39 @@ def test_changes_apply_by_time_and_not_by_arrival(documents, log):
     assert rejected == {"e006": "unknown_type", "e007": "payload_missing"}
 
 
+def test_fields_defined_later_are_kept(spark, log, tmp_path):
+    old, new = CATALOG.subset(["notes__c"]), CATALOG.subset(["notes__c", "score__c", "last_contact_date__c"])
+    custom = {"notes__c": "n", "score__c": 5.5, "last_contact_date__c": "2024-01-02", "memo__c": "m", "deep__c": {"a": [1]}, "none__c": None}
+    text = json.dumps({"id": "1", "email": "1@x.org", "name": "N1", "custom_fields": custom})
+    outbox = log(("e1", "Contact", "1", "CONTACT_UPDATED", text, "PENDING", 0, None, at(1), None))
+    rows = [(i, "a@x.org", "A", ("old",), at(0), at(0)) for i in ("1", "2")]
+    documents = spark.createDataFrame(rows, C.document_type(old))
+
+    def fields(frame):
+        return {r["id"]: (r["custom_fields"].asDict(), r[C.OTHER_FIELDS]) for r in frame.collect()}
+
+    day, deep = dt.date(2024, 1, 2), {"memo__c": "m", "deep__c": '{"a":[1]}'}
+    wide = {"notes__c": "n", "score__c": 5.5, "last_contact_date__c": day}
+    nothing = {"notes__c": "old", "score__c": None, "last_contact_date__c": None}
+    expected = {"1": (wide, deep), "2": (nothing, None)}
+    applied = C.apply_changes(documents, C.to_change(outbox), catalog=new)
+    assert fields(applied.documents) == expected and applied.rejected.count() == 0
+    narrow = C.apply_changes(documents, C.to_change(outbox)).documents
+    assert fields(narrow)["1"] == ({"notes__c": "n"}, deep | {"score__c": "5.5", "last_contact_date__c": "2024-01-02"})
+    assert fields(C.apply_changes(narrow, C.to_change(outbox.limit(0)), catalog=new).documents) == expected
+
+    source, target, checkpoint = (str(tmp_path / n) for n in ("source", "target", "checkpoint"))
+    outbox.write.parquet(f"{source}/a")
+    for catalog in (None, new):  # the first batch is from before the fields were defined
+        stream = stream_outbox(spark, f"{source}/*")
+        stream_sync(stream, C.document_type(old), target, checkpoint, catalog=catalog).awaitTermination()
+        assert fields(synced_documents(spark, target, documents, catalog=new)) == expected
+        later = text.replace('"1"', '"3"')
+        log(("e3", "Contact", "3", "CONTACT_CREATED", later, "PENDING", 0, None, at(3), None)).write.mode("overwrite").parquet(f"{source}/b")
+        expected["3"] = (wide, deep)
+    assert fields(synced_documents(spark, target, documents)) == fields(synced_documents(spark, target, documents, catalog=new)) == expected
+
+
 def test_equal_times_are_decided_by_event_id(documents, log):
     changes = C.to_change(log(event(2, 1, "UPDATED", 3), event(1, 1, "UPDATED", 3), event(2, 1, "UPDATED", 3)))
     assert names(C.apply_changes(documents, changes).documents) == {"1": "N2", "2": "B"}
