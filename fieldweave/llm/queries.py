@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldweave.llm import bpe, chat, exact, lines, mixing, neardup, quality, sharding, toxicity, urls
+from fieldweave.llm import bpe, chat, exact, lines, lm, mixing, neardup, quality, repair, search, sharding, toxicity, urls
 from fieldweave.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -82,11 +82,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup_exact(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.report(repair.edits(repair.damaged(conversations)), conversations)
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, lm.learn(docs))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_bpe, op3_toxicity, op4_near_dedup, op5_url_filters, op6_quality_rules, op7_sharding,
-        op8_line_dedup, op9_mixing, op10_exact_dedup,
+        op8_line_dedup, op9_mixing, op10_exact_dedup, op11_ranked_search, op12_conversation_repair, op13_lm_scoring,
     )
 }
 ORACLES = {
@@ -95,4 +109,6 @@ ORACLES = {
     "op8_line_dedup": lines.LINES_SQL,
     "op9_mixing": mixing.PLACES_SQL,
     "op10_exact_dedup": exact.DEDUP_SQL,
+    "op11_ranked_search": search.SEARCH_SQL,
+    "op12_conversation_repair": repair.REPAIR_SQL,
 }
