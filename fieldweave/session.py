@@ -61,6 +61,17 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
 def settle(rows: DataFrame, name: str) -> DataFrame:
     """Rows written to the shared folder and read back, so that what is built on
     them more than once does not compute them again and sees the same rows."""
-    path = new_work_dir(rows.sparkSession, name)
+    return settle_at(rows, new_work_dir(rows.sparkSession, name))
+
+
+def settle_at(rows: DataFrame, path: str) -> DataFrame:
+    """Rows written to a path and read back; the caller can ``remove`` it once
+    nothing that is still to be computed reads it."""
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
