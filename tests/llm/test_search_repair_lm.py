@@ -157,7 +157,7 @@ def tables_of(model):
     pair, byte, word = defaultdict(dict), defaultdict(dict), {}
     for row in model.shards.collect():
         shard = lm.Shard(*(row[n] for n in ("words", "sizes", "contexts", "counts")))
-        zero, one, two = (np.frombuffer(t, np.int32) / model.settings.samples for t in row["sums"])
+        zero, one, two = (lm.unpack(t, np.int64) / model.settings.samples for t in row["sums"])
         names = [tuple(w) for w in shard.words.tolist()]
         for w, context, n, t in zip(shard.word, shard.context, shard.counts, two):
             pair[names[w]][int(context)] = (int(n), t)
@@ -189,7 +189,7 @@ class Plain:
 
     @staticmethod
     def parent(context):
-        return 256 if context == lm.START else context & 255
+        return context & 255
 
     def step(self, level, key, n, t, above):
         customers, tables = self.totals[key]
