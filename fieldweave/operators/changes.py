@@ -178,7 +178,8 @@ def _other_fields(document: T.StructType) -> Column:
     others = F.map_filter(
         F.from_json("payload", text)["custom_fields"], lambda k, v: v.isNotNull() & ~k.isin(custom.fieldNames())
     )
-    return F.when(F.size(others) > 0, others)
+    # An empty map becomes null without a second mention of the parser.
+    return F.try_element_at(F.filter(F.array(others), lambda m: F.size(m) > 0), F.lit(1))
 
 
 def split_changes(changes: DataFrame, document: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -186,15 +187,28 @@ def split_changes(changes: DataFrame, document: T.StructType) -> tuple[DataFrame
     they came, with their reason). Custom fields that the document type does not
     have are in ``other_fields``, as text. Payloads are read before any change is dropped
     for a newer one, so a broken change never hides a good one."""
+    return divided(read_once(changes, document), document)
+
+
+def divided(judged: DataFrame, document: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Changes that ``read_once`` has read, as ``split_changes`` gives them."""
+    fields = [F.col("_parsed")[f.name].alias(f.name) for f in document.fields]
+    read = F.when(F.col("type") != S.DELETED, F.struct(*fields, F.col("_others").alias(OTHER_FIELDS)))
+    good = F.col("reason").isNull() & (F.col("_seq") >= 0)
+    apply = judged.where(good).withColumn("payload", read)
+    return apply.drop("_parsed", "_others", "reason", "_seq"), judged.where(~good).drop("_parsed", "_others", "_seq")
+
+
+def read_once(changes: DataFrame, document: T.StructType) -> DataFrame:
+    """The changes with ``_parsed`` (their payload as a document), ``_others``
+    (custom fields the document type does not have, as text), and ``reason`` (why a change can't be applied, null if it
+    can). A payload is parsed once for each of the two, however often they are used:
+    a condition that has the row number stays above the reading, where below it
+    the optimizer would put a copy of the parser into each use of its result."""
     shape = T.StructType([*document.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json("payload", shape, {"timestampNTZFormat": JSON_TIME, "columnNameOfCorruptRecord": _CORRUPT})
-    judged = changes.withColumn("_parsed", parsed)
-    reason = change_reason(F.col("type"), F.col("contact_id"), F.col("payload"), F.col("_parsed"))
-    judged = judged.withColumn("reason", reason)
-    fields = [F.col("_parsed")[f.name].alias(f.name) for f in document.fields]
-    read = F.when(F.col("type") != S.DELETED, F.struct(*fields, _other_fields(document).alias(OTHER_FIELDS)))
-    good = judged.where("reason is null").withColumn("payload", read).drop("_parsed", "reason")
-    return good, judged.where("reason is not null").drop("_parsed")
+    read = changes.select("*", parsed.alias("_parsed"), _other_fields(document).alias("_others"), F.monotonically_increasing_id().alias("_seq"))
+    return read.withColumn("reason", change_reason(F.col("type"), F.col("contact_id"), F.col("payload"), F.col("_parsed")))
 
 
 def newest_changes(changes: DataFrame) -> DataFrame:
@@ -232,7 +246,8 @@ def apply_changes(
     document = widened_type(T.StructType([documents.schema[c] for c in DOCUMENT_COLUMNS]), catalog)
     documents = widened(documents, document["custom_fields"].dataType)
     good, rejected = split_changes(changes, document)
-    last = newest_changes(good)
+    # Written once: it is read for the rows and for the ids that they replace.
+    last = settle(newest_changes(good), "newest-changes")
     written = last.where(F.col("type") != S.DELETED).select("payload.*")
     if derive is not None:
         written = derive(written)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from fieldweave.operators import aggregates as A
 from fieldweave.operators import eav as E
 from fieldweave.operators import predicates as P
 from fieldweave.operators import textsearch as X
-from fieldweave.operators.sorting import last_direction_wins, missing_last, order_of, page_of
+from fieldweave.operators.ranking import FieldIndex, RankedKeys, cursor_keys, page_after_keys, store_ranked
+from fieldweave.operators.sorting import Sort, last_direction_wins, missing_last, order_of, page_of
 from fieldweave.plans.spec import SearchSpec
 
 
@@ -67,18 +68,25 @@ def search_documents(
         scored = X.with_score(docs, columns, words, keep, lengths)
         page = page_of(scored, X.by_relevance(), spec.page, spec.page_size)
     else:
-        order = order_of(
-            last_direction_wins(spec.sort), lambda n: P.document_column(n, catalog), missing_last
-        )
-        page = page_of(matched, order, spec.page, spec.page_size)
+        page = _sorted_page(matched, last_direction_wins(spec.sort), lambda n: P.document_column(n, catalog), spec)
     groups = None
     if spec.group_by:
         groups = A.terms(docs, P.document_column(spec.group_by, catalog), S.GROUP_LIMIT)
     return SearchResult(page, matched, groups, spec)
 
 
+def _sorted_page(rows: DataFrame, sorts: list[Sort], column: Callable[[str], Column], spec: SearchSpec) -> DataFrame:
+    if spec.after is not None:
+        return page_after_keys(rows, cursor_keys(sorts, column), spec.after, spec.page_size)
+    return page_of(rows, order_of(sorts, column, missing_last), spec.page, spec.page_size)
+
+
 def search_eav(
-    contacts: DataFrame, values: DataFrame, catalog: FieldCatalog, spec: SearchSpec
+    contacts: DataFrame,
+    values: DataFrame,
+    catalog: FieldCatalog,
+    spec: SearchSpec,
+    indexes: Mapping[str, FieldIndex] | None = None,
 ) -> SearchResult:
     """A request on the EAV layout.
 
@@ -87,12 +95,34 @@ def search_eav(
     records' values are read and pivoted into ``custom_fields``. That map has
     the present fields, or all of them for a request that needs pivoted columns.
     All is lazy: no job runs when this is called.
+
+    A request without filters that is sorted by one indexed field takes the rows up
+    to its page from the index.
     """
-    base = contacts.where(P.contact_condition(spec.base_filters))
-    if spec.search:
-        base = base.where(P.text_contains(spec.search))
+    base = _eav_base(contacts, spec)
     groups = _eav_groups(base, values, catalog, spec.group_by) if spec.group_by else None
+    matched, keys, sorts = _eav_keys(base, values, catalog, spec)
+    index = (indexes or {}).get(sorts[0].field) if len(sorts) == 1 else None
+    if index is not None and not spec.filters and not spec.search and spec.after is None:
+        top = index.top(base, sorts[0].direction, spec.page * spec.page_size)
+        keys = top.select(*PAGE_COLUMNS, F.col("value").alias(f"_key_{index.name}"))
+    page = _sorted_page(keys, sorts, _key, spec)
+    return SearchResult(_eav_rows(page, sorts, values, catalog, spec), matched, groups, spec)
 
+
+def _key(name: str) -> Column:
+    return F.col(f"_key_{name}")
+
+
+def _eav_base(contacts: DataFrame, spec: SearchSpec) -> DataFrame:
+    base = contacts.where(P.contact_condition(spec.base_filters))
+    return base.where(P.text_contains(spec.search)) if spec.search else base
+
+
+def _eav_keys(
+    base: DataFrame, values: DataFrame, catalog: FieldCatalog, spec: SearchSpec
+) -> tuple[DataFrame, DataFrame, list[Sort]]:
+    """(matching contacts, the same with their sort values, the sorts that count)."""
     unknown = [f for f in spec.custom_filters if catalog.get(f.field) is None]
     filters = P.usable([f for f in spec.custom_filters if catalog.get(f.field)])
     sort_fields = [n for n in spec.custom_sort_fields if catalog.get(n)]
@@ -109,17 +139,17 @@ def search_eav(
             ordered = ordered.where(F.lit(False))
     elif sort_fields:
         ordered = matched.join(E.matches(values, catalog, [], sort_fields), "id", "left")
+    sorts = last_direction_wins(s for s in spec.sort if not is_custom(s.field) or s.field in sort_fields)
+    return matched, ordered.select(*PAGE_COLUMNS, *[_sort_key(s.field) for s in sorts]), sorts
 
-    sorts = [s for s in spec.sort if not is_custom(s.field) or s.field in sort_fields]
-    order = order_of(sorts, lambda n: F.col(f"_key_{n}"))
-    keys = ordered.select(*PAGE_COLUMNS, *[_sort_key(s.field) for s in last_direction_wins(sorts)])
-    page = page_of(keys, order, spec.page, spec.page_size)
 
+def _eav_rows(page: DataFrame, sorts: list[Sort], values: DataFrame, catalog: FieldCatalog, spec: SearchSpec) -> DataFrame:
+    """The page's contacts with their fields, in order."""
     wide = E.pivot(E.values_of_page(values, page), catalog)
     fields = E.full_map(catalog) if spec.needs_pivot else E.present_map(catalog)
-    rows = (
+    return (
         page.join(wide.withColumnRenamed("record_id", "id"), "id", "left")
-        .orderBy(*order)
+        .orderBy(*order_of(sorts, _key))
         .limit(spec.page_size)
         .select(
             "id",
@@ -130,7 +160,42 @@ def search_eav(
             "updated_at",
         )
     )
-    return SearchResult(rows, matched, groups, spec)
+
+
+@dataclass(frozen=True)
+class RankedSearch:
+    """A request's matches in order, stored once; any page of them reads only the parts that hold it."""
+
+    keys: RankedKeys
+    spec: SearchSpec
+    rows_of: Callable[[DataFrame], DataFrame]
+
+    @property
+    def total(self) -> int:
+        return self.keys.total
+
+    @property
+    def last_page(self) -> int:
+        return max(1, -(-self.total // self.spec.page_size))
+
+    def page(self, number: int) -> DataFrame:
+        return self.rows_of(self.keys.page(number, self.spec.page_size))
+
+
+def rank_documents(docs: DataFrame, catalog: FieldCatalog, spec: SearchSpec, path: str) -> RankedSearch:
+    """A sorted request on documents, its matches ranked below ``path``."""
+    sorts = last_direction_wins(spec.sort)
+    matched = search_documents(docs, catalog, replace(spec, group_by=None)).matched
+    keys = matched.select("id", "created_at", *[P.document_column(s.field, catalog).alias(f"_key_{s.field}") for s in sorts])
+    ranked = store_ranked(keys, order_of(sorts, _key), path)
+    return RankedSearch(ranked, spec, lambda page: docs.join(page.select("id", "rank"), "id").orderBy("rank").drop("rank"))
+
+
+def rank_contacts(contacts: DataFrame, values: DataFrame, catalog: FieldCatalog, spec: SearchSpec, path: str) -> RankedSearch:
+    """A sorted request on the EAV layout, its matches ranked below ``path``."""
+    _, keys, sorts = _eav_keys(_eav_base(contacts, spec), values, catalog, spec)
+    ranked = store_ranked(keys, order_of(sorts, _key), path)
+    return RankedSearch(ranked, spec, lambda page: _eav_rows(page, sorts, values, catalog, spec))
 
 
 def _sort_key(name: str) -> Column:

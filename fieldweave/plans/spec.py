@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass
+from typing import Any
 
 from fieldweave import schema as S
 from fieldweave.catalog import is_custom
@@ -21,10 +22,15 @@ class SearchSpec:
     page: int = S.DEFAULT_PAGE
     page_size: int = S.DEFAULT_PAGE_SIZE
     group_by: str | None = None
+    #: Instead of a page number: the sort values of the last row seen, in the order of
+    #: ``sort`` (``created_at`` without one), then its id.
+    after: tuple[Any, ...] | None = None
 
     def __post_init__(self) -> None:
         if self.page < 1 or self.page_size < 1:
             raise ValueError("page and page size start at 1")
+        if self.after is not None and (self.page != 1 or (self.search and not self.sort)):
+            raise ValueError("a cursor goes with a sort order, not with a page number or relevance")
 
     @property
     def custom_filters(self) -> list[Filter]:

@@ -10,6 +10,7 @@ from fieldweave import schema as S
 from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import typed_value
 from fieldweave.operators.eav import pivot
+from fieldweave.session import settle
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A stored table. The schemas of ``fieldweave.schema`` have text keys; leave
@@ -125,6 +126,8 @@ def upsert(target: DataFrame, changes: DataFrame, key: str, version: list[str])
         .agg(F.max_by(F.struct(*columns), F.struct(*version)).alias("row"))
         .select("row.*")
     )
+    # Written once: it is read for the rows and for the keys that they replace.
+    newest = settle(newest, "newest-rows")
     return target.join(newest.select(key), key, "left_anti").select(columns).unionByName(newest)
 
 

@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldweave import schema as S
 from fieldweave.catalog import FieldCatalog
-from fieldweave.operators.changes import merged_type, newest_changes, split_changes, to_change, widened, widened_type
+from fieldweave.operators.changes import divided, merged_type, newest_changes, read_once, to_change, widened, widened_type
+from fieldweave.session import new_work_dir, remove, settle_at
 
 
 def stream_sync(
@@ -35,9 +36,12 @@ def stream_sync(
     document = widened_type(document, catalog)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good, rejected = split_changes(to_change(batch), document)
+        # Read and parsed once, for the changes that hold and those set aside.
+        path = new_work_dir(batch.sparkSession, "sync-batch")
+        good, rejected = divided(settle_at(read_once(to_change(batch), document), path), document)
         newest_changes(good).write.mode("overwrite").parquet(f"{target}/changes/batch_id={batch_id}")
         rejected.write.mode("overwrite").parquet(f"{target}/rejected/batch_id={batch_id}")
+        remove(batch.sparkSession, path)
 
     writer = outbox.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if continuous_every:

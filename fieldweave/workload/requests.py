@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +12,10 @@ from fieldweave import schema as S
 from fieldweave.functions.values import value_to_text
 from fieldweave.operators.predicates import Filter
 from fieldweave.operators.sorting import Sort
-from fieldweave.plans.search import SearchResult, layout_parity, search, search_documents
+from fieldweave.operators.ranking import index_field
+from fieldweave.plans.search import SearchResult, layout_parity, rank_contacts, rank_documents, search, search_documents, search_eav
 from fieldweave.plans.spec import SearchSpec
+from fieldweave.session import new_work_dir
 from fieldweave.sources import lens as L
 from fieldweave.workload.registry import query
 from fieldweave.workload.text import FIELDS, scores_sql
@@ -230,3 +235,63 @@ def parity(spark: SparkSession, d: str) -> DataFrame:
     ).unpivot([], ["only_in_eav", "only_in_doc"], "part", "cnt")
     matched = search_documents(docs, CATALOG, PARITY).total.select(F.lit("matched").alias("part"), F.col("total").alias("cnt"))
     return matched.unionByName(counts)
+
+
+LAST = SearchSpec(filters=(Filter("tier__c", "contains", "L"),), sort=(Sort("region__c"), Sort("score__c", "desc")), page_size=15)
+
+
+@query(
+    "page_deep",
+    """with r as (select id, row_number() over (order by region__c nulls last, score__c desc nulls last, id) as rank,
+      count(*) over () as n from docs where contains(tier__c, 'L')),
+    p as (select id, rank, n from r where rank > (n - 1) // 15 * 15)
+    select 'doc' as layout, id, n as total from p union all select 'eav', id, n from p""",
+)
+def page_deep(spark: SparkSession, d: str) -> DataFrame:
+    """The last page of all matches, by rank, on both layouts."""
+    ranked = {
+        "doc": rank_documents(L.documents(spark, d), CATALOG, LAST, new_work_dir(spark, "ranked-documents")),
+        "eav": rank_contacts(L.contacts(spark, d), L.values(spark, d), CATALOG, LAST, new_work_dir(spark, "ranked-contacts")),
+    }
+    doc_rows, eav_rows = (
+        r.page(r.last_page).select(F.lit(name).alias("layout"), "id", F.lit(r.total).cast("long").alias("total")) for name, r in ranked.items()
+    )
+    return doc_rows.unionByName(eav_rows)
+
+
+@query(
+    "page_after_multi",
+    """with r as (select id, region__c, score__c, row_number() over (order by region__c nulls last, score__c desc nulls last, id) as rank
+      from docs where contains(tier__c, 'L'))
+    select 'doc' as layout, id from r where rank between 46 and 60 union all select 'eav', id from r where rank between 46 and 60""",
+)
+def page_after_multi(spark: SparkSession, d: str) -> DataFrame:
+    """The page after the last row of the third one, by the values of its two sort fields and its id."""
+    row = doc(spark, d, replace(LAST, page=3)).page.select("custom_fields.region__c", "custom_fields.score__c", "id").collect()[-1]
+    onward = replace(LAST, after=tuple(row))
+    pages = [f(spark, d, onward).page.select(F.lit(name).alias("layout"), "id") for name, f in (("doc", doc), ("eav", eav))]
+    return pages[0].unionByName(pages[1])
+
+
+@query(
+    "eav_sort_indexed",
+    """with r as (select id, row_number() over (order by score__c nulls last, id) as up,
+      row_number() over (order by score__c desc nulls last, id) as down from docs),
+    n as (select count(*) as n from docs where score__c is not null)
+    select 'asc' as part, id from r where up <= 20 union all select 'desc', id from r where down <= 20
+    union all select 'missing', id from r, n where down > (n - 1) // 20 * 20 + 20 and down <= (n - 1) // 20 * 20 + 40
+    union all select 'edge', id from r, n where down > (n - 1) // 20 * 20 and down <= (n - 1) // 20 * 20 + 20""",
+)
+def eav_sort_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """Pages sorted by a field from its index: the first of both ways, the one where present values end, and the next."""
+    contacts, values = L.contacts(spark, d), L.values(spark, d)
+    index = index_field(contacts, values, CATALOG, "score__c", new_work_dir(spark, "field-index"))
+
+    def page(part: str, direction: str, number: int) -> DataFrame:
+        spec = SearchSpec(sort=(Sort("score__c", direction),), page=number)
+        found = search_eav(contacts, values, CATALOG, spec, {"score__c": index})
+        return found.page.select(F.lit(part).alias("part"), "id")
+
+    edge = (index.keys.total - 1) // 20 + 1
+    pages = [page("asc", "asc", 1), page("desc", "desc", 1), page("edge", "desc", edge), page("missing", "desc", edge + 1)]
+    return reduce(DataFrame.unionByName, pages)

@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldweave import schema as S
 from fieldweave.operators import changes as C
@@ -413,3 +414,11 @@ def test_broken_payloads_are_set_aside_and_hide_nothing(documents, log):
         "e006": "contact_missing",
         "e007": "unknown_type",
     }
+
+
+def test_payloads_are_parsed_once_for_each_use(spark):
+    document = C.document_type(L.CONTACT_CATALOG, T.LongType())
+    changes = C.to_change(L.outbox(spark, "/root/testdata/sf0.001"))
+    for rows in C.split_changes(changes, document):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") <= 2 and plan.count("Relation ") == 1
