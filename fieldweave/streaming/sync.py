@@ -21,6 +21,7 @@ from fieldweave import schema as S
 from fieldweave.catalog import FieldCatalog
 from fieldweave.operators.changes import divided, merged_type, newest_changes, read_once, to_change, widened, widened_type
 from fieldweave.session import new_work_dir, remove, settle_at
+from fieldweave.sources.versions import current, publish
 
 
 def stream_sync(
@@ -30,27 +31,69 @@ def stream_sync(
     checkpoint: str,
     continuous_every: str | None = None,
     catalog: FieldCatalog | None = None,
+    fan: int | None = None,
 ) -> StreamingQuery:
     """Start the sync. Without an interval it takes what is there and ends. Fields
-    of the catalog are added to the document type."""
+    of the catalog are added to the document type. ``fan``: see ``write_batch``."""
     document = widened_type(document, catalog)
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Read and parsed once, for the changes that hold and those set aside.
-        path = new_work_dir(batch.sparkSession, "sync-batch")
-        good, rejected = divided(settle_at(read_once(to_change(batch), document), path), document)
-        newest_changes(good).write.mode("overwrite").parquet(f"{target}/changes/batch_id={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{target}/rejected/batch_id={batch_id}")
-        remove(batch.sparkSession, path)
-
-    writer = outbox.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = outbox.writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, document, target, fan))
+    writer = writer.option("checkpointLocation", checkpoint)
     if continuous_every:
         return writer.trigger(processingTime=continuous_every).start()
     return writer.trigger(availableNow=True).start()
 
 
+def write_batch(batch: DataFrame, batch_id: int, document: T.StructType, target: str, fan: int | None = None) -> None:
+    """One batch of the log, read and parsed once, as a run of changes and a folder
+    of what was set aside. With ``fan``, runs are merged in tiers: as soon as a tier
+    has so many, they become one run of the next. Then a reader merges fewer than
+    ``fan`` runs for each tier, and a change is written again once for each tier,
+    of which there are as many as the logarithm of the number of batches."""
+    spark = batch.sparkSession
+    path = new_work_dir(spark, "sync-batch")
+    good, rejected = divided(settle_at(read_once(to_change(batch), document), path), document)
+    newest_changes(good).write.mode("overwrite").parquet(f"{target}/changes/batch_id={batch_id}")
+    rejected.write.mode("overwrite").parquet(f"{target}/rejected/batch_id={batch_id}")
+    remove(spark, path)
+    if fan:
+        _add_run(spark, target, batch_id, fan)
+
+
+def _add_run(spark: SparkSession, target: str, batch_id: int, fan: int) -> None:
+    """The batch as a run in force, and tiers that are full merged. Folders are named
+    by the batches they hold: a merge that is run again writes the same."""
+    if fan < 2:
+        raise ValueError("runs are merged from two on")
+    runs = live_runs(spark, target)
+    if any(r["first"] <= batch_id <= r["last"] for r in runs):
+        return
+    runs.append({"folder": f"changes/batch_id={batch_id}", "tier": 0, "first": batch_id, "last": batch_id})
+    tier = 0
+    while len(full := [r for r in runs if r["tier"] == tier]) >= fan:
+        first, last = min(r["first"] for r in full), max(r["last"] for r in full)
+        merged = {"folder": f"runs/tier={tier + 1}/{first}-{last}", "tier": tier + 1, "first": first, "last": last}
+        rows = newest_changes(_read_runs(spark, target, full))
+        rows.repartition("contact_id").sortWithinPartitions("contact_id").write.mode("overwrite").parquet(f"{target}/{merged['folder']}")
+        runs = [r for r in runs if r["tier"] != tier] + [merged]
+        tier += 1
+    publish(spark, target, {"runs": runs})
+
+
+def live_runs(spark: SparkSession, target: str) -> list[dict]:
+    """The runs that make up the state of a target that is merged in tiers."""
+    return (current(spark, target) or {"runs": []})["runs"]
+
+
+def _read_runs(spark: SparkSession, target: str, runs: list[dict]) -> DataFrame:
+    return spark.read.option("mergeSchema", True).parquet(*(f"{target}/{r['folder']}" for r in runs))
+
+
 def written_changes(spark: SparkSession, target: str) -> DataFrame:
-    """All batches; those from before a field was defined have null for it."""
+    """All changes in force: of the live runs, or of all batches if these are not
+    merged. Batches from before a field was defined have null for it."""
+    runs = live_runs(spark, target)
+    if runs:
+        return _read_runs(spark, target, runs)
     return spark.read.option("mergeSchema", True).parquet(f"{target}/changes")
 
 

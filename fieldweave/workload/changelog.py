@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,9 @@ from fieldweave.plans.search import search_documents
 from fieldweave.plans.spec import SearchSpec
 from fieldweave.session import new_work_dir
 from fieldweave.sources import lens as L
-from fieldweave.streaming.sync import stream_sync, synced_documents
+from fieldweave.sources.buckets import create_buckets, read_buckets, upsert_buckets
+from fieldweave.sources.rebuild import catch_up, read_served, rebuild
+from fieldweave.streaming.sync import stream_sync, synced_documents, write_batch
 from fieldweave.workload.registry import query
 from fieldweave.workload.tables import DOC_SQL, flat
 
@@ -405,3 +409,78 @@ def dedupe_events(spark: SparkSession, d: str) -> DataFrame:
     return C.dedupe_events(twice).select("event_id", "type", "contact_id", "event_time")
 
 
+
+
+@query(
+    "write_upsert_buckets",
+    """with last as (
+      select aggregate_id as id, arg_max(event_type, (created_at, id)) as event_type, max(created_at) as updated_at
+      from outbox where event_type <> 'CONTACT_CREATED' group by 1)
+    select c.id, c.email, c.status, c.updated_at from contacts c where c.id not in (select id from last)
+    union all select id, concat('user', id, '@example.com'), 'inactive', updated_at from last where event_type <> 'CONTACT_DELETED'""",
+)
+def write_upsert_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """Changes and deletes in two batches, split by time, on a table in buckets; then the first batch once more."""
+    target = L.contacts(spark, d).select("id", "email", "status", "updated_at")
+    events = L.outbox(spark, d).where(F.col("event_type") != S.CREATED)
+    changes = events.select(
+        F.col("aggregate_id").alias("id"),
+        F.concat(F.lit("user"), F.col("aggregate_id"), F.lit("@example.com")).alias("email"),
+        F.lit("inactive").alias("status"),
+        F.col("created_at").alias("updated_at"),
+        F.col("id").alias("event_id"),
+        (F.col("event_type") == S.DELETED).alias("gone"),
+    )
+    path = new_work_dir(spark, "bucket-table")
+    create_buckets(target, path, "id", 8)
+    middle = changes.agg(F.median(F.unix_timestamp(F.col("updated_at").cast("timestamp")))).first()[0]
+    early = F.unix_timestamp(F.col("updated_at").cast("timestamp")) <= F.lit(middle)
+    for batch, part in ((1, changes.where(early)), (2, changes.where(~early)), (1, changes.where(early))):
+        upsert_buckets(part, path, batch, ["updated_at", "event_id"], F.col("gone"))
+    return read_buckets(spark, path)
+
+
+MIDDLE_SQL = "(select quantile_disc(created_at, 0.5) from outbox)"
+
+
+@query(
+    "reindex_swap",
+    f"""with good as (select * from outbox where created_at > {MIDDLE_SQL} and (event_type = 'CONTACT_DELETED' or payload_value is not null)),
+    last as (select aggregate_id as id, arg_max(event_type, (created_at, id)) as event_type,
+      arg_max(payload_value, (created_at, id)) as score, max(created_at) as ts from good group by 1)
+    select 'before' as part, id, 'old' as name, null::double as score from docs
+    union all select 'after', id, name, score__c from docs where id not in (select id from last)
+    union all select 'after', id, concat('User ', id), score from last where event_type <> 'CONTACT_DELETED'""",
+)
+def reindex_swap(spark: SparkSession, d: str) -> DataFrame:
+    """A rebuild as of the middle of the log, while old documents are served; later events reach it before the swap and,
+    the last twentieth of the log after it."""
+    path = new_work_dir(spark, "served")
+    log = L.outbox(spark, d)
+    changes = C.to_change(log)
+    micros = F.unix_micros(F.col("created_at").cast("timestamp"))
+    times = log.select(micros.alias("at")).agg(*(F.expr(f"percentile_disc({p}) within group (order by at)").cast("long") for p in (0.5, 0.95))).first()
+    middle, late = (dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=t) for t in times)
+    older = L.documents(spark, d).withColumn("name", F.lit("old")).withColumn("custom_fields", F.col("custom_fields").withField("score__c", F.lit(None).cast("double")))
+    rebuild(older, path, "first", middle, changes.limit(0), CATALOG)
+    before = read_served(spark, path)
+    rebuild(L.documents(spark, d), path, "second", middle, changes.where(F.col("event_time") <= F.lit(late.isoformat(sep=" ")).cast("timestamp_ntz")), CATALOG)
+    catch_up(spark, path, "third", changes, CATALOG)
+    parts = (("before", before), ("after", read_served(spark, path)))
+    shown_parts = [rows.select(F.lit(name).alias("part"), "id", "name", F.col("custom_fields.score__c").alias("score")) for name, rows in parts]
+    return shown_parts[0].unionByName(shown_parts[1])
+
+
+@query(
+    "sync_tiers",
+    f"""with {APPLIED_SQL}
+    select {DOC_NAMES} from docs where id not in (select id from last) union all select {DOC_NAMES} from written""",
+)
+def sync_tiers(spark: SparkSession, d: str) -> DataFrame:
+    """The log in nine batches out of order, whose runs are merged in tiers of two."""
+    log, docs = L.outbox(spark, d), L.documents(spark, d)
+    target = f"{new_work_dir(spark, 'tiers')}/target"
+    document = C.widened_type(C.document_type(CATALOG, log.schema["aggregate_id"].dataType), CATALOG)
+    for batch in range(9):
+        write_batch(log.where(F.pmod(F.xxhash64("id"), F.lit(9)) == batch), batch, document, target, fan=2)
+    return shown(synced_documents(spark, target, docs, catalog=CATALOG))
