@@ -13,15 +13,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round draws an order of the nodes by hash, joins every node to the first of itself and its neighbours, and
     goes on with the links between different ones that are left. A constant share of the nodes goes in each round on
-    average, also on chains and stars. Nodes with very many links are aggregated before they are shuffled.
+    average, also on chains and stars. Nodes with very many links are aggregated before they are shuffled. A round
+    writes what its own nodes are joined to; the rounds are put together once, from the last and smallest to the first.
     """
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()
     links = settle(links, "graph-links")
-    nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
-    labels = settle(nodes.withColumn("component", F.col("node")), "graph-labels")
-    round_ = 0
+    rounds = [links.select(F.col("a").alias("v"), F.col("b").alias("head")).limit(0)]
     while not links.isEmpty():
-        rank = lambda c: F.struct(F.xxhash64(F.lit(round_), F.col(c)).alias("h"), F.col(c).alias("v"))  # noqa: E731, B023
+        rank = lambda c: F.struct(F.xxhash64(F.lit(len(rounds)), F.col(c)).alias("h"), F.col(c).alias("v"))  # noqa: E731, B023
         both = links.select("a", rank("b").alias("r")).union(links.select(F.col("b").alias("a"), rank("a").alias("r")))
         first = both.groupBy("a").agg(F.min("r").alias("r"))
         heads = settle(first.select(F.col("a").alias("v"), F.least("r", rank("a"))["v"].alias("head")), "graph-heads")
@@ -29,7 +28,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         links = links.join(at("a"), "a").join(at("b"), "b").where("a_head <> b_head")
         links = links.select(F.least("a_head", "b_head").alias("a"), F.greatest("a_head", "b_head").alias("b")).distinct()
         links = settle(links, "graph-links")
-        labels = labels.join(at("component"), "component", "left")
-        labels = settle(labels.select("node", F.coalesce("component_head", "component").alias("component")), "graph-labels")
-        round_ += 1
-    return labels
+        rounds.append(heads)
+    out = rounds.pop()
+    while len(rounds) > 1:
+        onward = out.select(F.col("v").alias("head"), F.col("head").alias("onward"))
+        out = rounds.pop().join(onward, "head", "left").select("v", F.coalesce("onward", "head").alias("head"))
+    return settle(out.select(F.col("v").alias("node"), F.col("head").alias("component")), "graph-labels")
+
+
+def carried(labels: DataFrame | None, onward: DataFrame) -> DataFrame:
+    """Labels (node, component) after ``onward``, the components of links between components and single nodes."""
+    if labels is None:
+        return onward
+    step = onward.select(F.col("node").alias("component"), F.col("component").alias("later"))
+    moved = labels.join(step, "component", "left").select("node", F.coalesce("later", "component").alias("component"))
+    return settle(moved.unionByName(onward.join(labels.select("node"), "node", "left_anti")), "graph-labels")

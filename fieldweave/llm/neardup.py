@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldweave.llm.common import fresh, text_or_empty
-from fieldweave.llm.graph import components
+from fieldweave.llm.graph import carried, components
 from fieldweave.session import settle
 
 
@@ -194,7 +194,7 @@ def _verify(settings: Settings):
                 for k in range(at, at + len(left)):
                     a, b = pairs[k]
                     good[k] = similarity(sets[a], sets[b]) >= settings.similarity - 1e-12
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(good)], ["a", "b", "similar"])
+            yield pa.RecordBatch.from_arrays([batch["ca"], batch["cb"], pa.array(good)], ["a", "b", "similar"])
 
     return run
 
@@ -254,14 +254,15 @@ def _keyed(docs: DataFrame, k1: str, k2: str) -> DataFrame:
     return docs.withColumn(k1, F.xxhash64("doc_id", text)).withColumn(k2, F.xxhash64(F.lit("row"), text, "doc_id"))
 
 
-def similar_links(rows: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """(a, b): links between different word sequences that are similar enough, so many that the classes are whole.
+def similar_labels(rows: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """(node, component): the classes of the word sequences that are similar to others.
 
     rows: k1, k2, node, bands. texts: k1, k2, text. A bucket is the nodes that share a band. In each of a few rounds
     its leaders are compared with all its other nodes that are not in their class yet, and are then done; a bucket is
     done when all that is left of it is in one class. So a bucket of n nodes of one class costs n comparisons. What is
     left of the others is compared in blocks, all with all. So any two nodes of a bucket are compared, or known to be
-    in one class.
+    in one class. Members know their class so far, so that what a round finds are links between classes, and only these
+    are joined anew.
     """
     first = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("k1", "k2", "bands")).alias("first"))
     nodes = settle(first.select("node", "first.*"), "near-nodes")
@@ -275,30 +276,35 @@ def similar_links(rows: DataFrame, texts: DataFrame, settings: Settings) -> Data
     alone = texts.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     if not alone.isEmpty():
         texts = settle(texts.dropDuplicates(["node"]), "near-texts")
-    links = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    tested = None
+    labels = tested = None
     for leaders_wanted in settings.leaders:
         slot = F.pmod(F.xxhash64(F.lit(leaders_wanted), F.col("node")), F.lit(leaders_wanted))
         first = F.min(F.struct("node", "component")).alias("first")
         leaders = members.groupBy("band", slot.alias("slot")).agg(first).select("band", F.col("first.node").alias("leader"), F.col("first.component").alias("known"))
         leaders = settle(leaders, "near-leaders")
         pairs = members.join(leaders, "band").where("node <> leader and component <> known")
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        own, other = F.struct("node", "component"), F.struct(F.col("leader").alias("node"), F.col("known").alias("component"))
+        pairs = pairs.select(F.least(own, other).alias("x"), F.greatest(own, other).alias("y"))
+        pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb")).distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         tested = settle(pairs, "near-pairs")
         both = tested.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
         both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-        judged = both.select("a", "b", "a_text", "b_text").mapInArrow(_verify(settings), "a binary, b binary, similar boolean")
-        links = links.unionByName(settle(judged.where("similar").select("a", "b"), "near-links"))
-        labels = components(links)
-        members = members.drop("component").join(leaders.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti")
-        members = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        judged = both.select("ca", "cb", "a_text", "b_text").mapInArrow(_verify(settings), "a binary, b binary, similar boolean")
+        found = components(judged.where("similar"))
+        labels = carried(labels, found)
+        members = members.join(leaders.select("band", F.col("leader").alias("node")), ["band", "node"], "left_anti")
+        later = found.select(F.col("node").alias("component"), F.col("component").alias("later"))
+        members = members.join(later, "component", "left").select("band", "node", F.coalesce("later", "component").alias("component"))
         spread = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         members = settle(members.join(spread.where("low <> high").select("band"), "band", "left_semi"), "near-members")
         if members.isEmpty():
-            return links
-    return links.unionByName(_compared_in_blocks(members.select("band", "node"), texts, settings))
+            return labels
+    found = _compared_in_blocks(members.select("band", "node"), texts, settings)
+    known = settle(members.select("node", "component").distinct(), "near-known")
+    at = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    return carried(labels, components(found.join(at("a"), "a").join(at("b"), "b"), "ca", "cb"))
 
 
 def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -314,7 +320,7 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = keyed.select("k1", "k2", "doc_id", "text").mapInArrow(_sign(settings), f"k1 long, k2 long, doc_id {kind}, node binary, bands array<long>")
     rows = settle(signed, "near-rows")
-    labels = components(similar_links(rows.select("k1", "k2", "node", "bands"), keyed.select("k1", "k2", "text"), settings))
+    labels = similar_labels(rows.select("k1", "k2", "node", "bands"), keyed.select("k1", "k2", "text"), settings)
     alike = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("doc_id"))
     rows = rows.drop("bands").withColumn("alike", alike).join(labels, "node", "left")
     own = F.concat(F.lit("row"), F.hex("k1"), F.hex("k2"), F.lit("-"), F.col("alike").cast("string")).cast("binary")
