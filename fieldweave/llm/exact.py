@@ -32,8 +32,9 @@ def _numbered(rows: DataFrame, content: list[str], name: str) -> DataFrame:
 
 
 def _blocks(text: str, size: int) -> Column:
-    last = F.greatest(F.lit(1), F.ceil(F.length(text) / size)).cast("int") - 1
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col(text), i * size + 1, F.lit(size)))
+    """The text's blocks of ``size`` code points, in one pass over it; one empty block for the empty text."""
+    found = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}+"), F.lit(0))
+    return F.when(F.col(text) == "", F.array(F.lit(""))).otherwise(found)
 
 
 def name_texts(rows: DataFrame, key: list[str], text: str, settings: Settings = Settings()) -> DataFrame:
@@ -81,7 +82,7 @@ def dedup_exact(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Texts are equal when they are identical without ASCII white space; null counts as empty. Of equal texts the row
     with the most code points stays, then the one with the smallest id, null before all others; of rows alike in both
-    exactly one. Other columns are not read. A long text is only more blocks. No rows give no rows.
+    exactly one. Other columns are not read. A long text is only more blocks, cut in one pass. No rows give no rows.
     """
     raw = docs.select("doc_id", text_or_empty("text").alias("raw")).withColumn("own", F.translate("raw", SPACE, ""))
     # A row's key. Rows with one id and one text have the same.

@@ -60,40 +60,81 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-# Where a page says what it is an alias of. Fixed patterns of HTML.
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+# Where a page says what it is an alias of, and what its links are relative to. Fixed patterns of HTML.
+_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*(?:["'][^"'>]*\bcanonical\b|canonical\b))[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["'][^"'>]*?\burl\s*=\s*([^"'\s>]+)"""
+_BASE = r"""(?is)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+
+# The named characters of HTML that a link needs; the ampersand last, as it may be part of the others.
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 
 
 def node_of(url: Column) -> Column:
-    """A page as a node of the alias graph: host, path and query, without scheme and fragment."""
+    """A page as a node of the alias graph: host, path without dot segments, and query; no scheme and no fragment."""
     rest = F.regexp_replace(_after_scheme(url), r"(?s)#.*$", "")
-    host = host_of(url)
-    return F.concat(host, F.substring(rest, F.length(host) + 1, F.length(rest)))
+    path = F.regexp_extract(rest, r"(?s)^[^/?]*([^?]*)", 1)
+    query = F.regexp_extract(rest, r"(?s)(\?.*)$", 1)
+    return F.concat(host_of(url), _without_dots(path), query)
+
+
+def _without_dots(path: Column) -> Column:
+    """The path with ``.`` and ``..`` taken as steps, as in RFC 3986."""
+    parts = F.split(path, "/", -1)
+
+    def step(seen: Column, part: Column) -> Column:
+        back = F.slice(seen, 1, F.greatest(F.size(seen) - 1, F.lit(1)))
+        return F.when(part == ".", seen).when(part == "..", back).otherwise(F.concat(seen, F.array(part)))
+
+    walked = F.aggregate(parts, F.array().cast("array<string>"), step)
+    ends_in_step = path.rlike(r"(?s)/\.\.?$")
+    short = F.concat(F.concat_ws("/", walked), F.when(ends_in_step, F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike(r"(?s)/\.\.?(?:/|$)"), short).otherwise(path)
+
+
+def _unescaped(link: Column) -> Column:
+    """A link with the entities of HTML read: numbers of ASCII characters and the named ones above."""
+    def one(text: Column, number: Column) -> Column:
+        hexadecimal = F.lower(number).startswith("x")
+        code = F.when(hexadecimal, F.conv(F.substring(number, 2, 8), 16, 10)).otherwise(F.substring(number, 1, 8)).cast("int")
+        sign = F.when(code.between(1, 127), F.char(code))
+        return F.coalesce(F.replace(text, F.concat(F.lit("&#"), number, F.lit(";")), sign), text)
+
+    numbers = F.array_distinct(F.regexp_extract_all(link, F.lit(r"(?i)&#(x[0-9a-f]{1,8}|[0-9]{1,8});"), F.lit(1)))
+    plain = F.aggregate(numbers, link, one)
+    for name, character in _ENTITIES:
+        plain = F.replace(plain, F.lit(name), F.lit(character))
+    return plain
 
 
 def _resolved(link: Column, url: Column) -> Column:
-    """A link as an absolute url: with a scheme, from ``//``, from ``/``, or beside the page."""
+    """A link as an absolute url: with a scheme, from ``//``, from ``/``, a query only, or beside the page."""
     host = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
+    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
     return (
-        F.when(F.instr(link, "://") > 0, link)
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(link.startswith("//"), F.concat(F.lit("http:"), link))
         .when(link.startswith("/"), F.concat(host, link))
-        .otherwise(F.concat(F.regexp_replace(folder, "/?$", "/"), link))
+        .when(link.startswith("?"), F.concat(F.regexp_extract(url, r"(?s)^([^?#]*)", 1), link))
+        .when(link.startswith("#"), F.concat(F.regexp_extract(url, r"(?s)^([^#]*)", 1), link))
+        .otherwise(F.concat(folder, link))
     )
 
 
 def alias_links(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
-    """(a, b) of nodes that are the same page: canonical links and refreshes in the HTML, and a table of redirects with
-    the columns source and target."""
+    """(a, b) of nodes that are the same page: all canonical links and refreshes in the HTML, relative to the page or
+    its ``<base>``, and a table of redirects with the columns source and target."""
     html = F.coalesce(F.col("html"), F.lit("")) if "html" in pages.columns else F.lit("")
-    found = F.array(*[F.regexp_extract(html, p, 1) for p in (_CANONICAL, _REFRESH)])
-    links = pages.select(F.col("url").alias("source"), F.explode(F.filter(found, lambda x: x != "")).alias("target"))
+    found = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in (_CANONICAL, _REFRESH)])
+    links = pages.select(
+        F.col("url").alias("source"), F.regexp_extract(html, _BASE, 1).alias("base"), F.explode(F.array_distinct(found)).alias("target")
+    )
+    base = F.when(F.col("base") == "", F.col("source")).otherwise(_resolved(_unescaped(F.col("base")), F.col("source")))
+    links = links.select("source", base.alias("base"), _unescaped(F.col("target")).alias("target"))
     if redirects is not None:
-        links = links.unionByName(redirects.select("source", "target"))
+        links = links.unionByName(redirects.select("source", F.col("source").alias("base"), "target"))
     links = links.where("source is not null and target is not null")
-    links = links.select(node_of(F.col("source")).alias("a"), node_of(_resolved(F.col("target"), F.col("source"))).alias("b"))
+    links = links.select(node_of(F.col("source")).alias("a"), node_of(_resolved(F.col("target"), F.col("base"))).alias("b"))
     return links.where("a <> '' and b <> ''")
 
 
