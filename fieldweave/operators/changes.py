@@ -19,6 +19,7 @@ from fieldweave.functions.values import first_name, full_name, last_name, typed_
 from fieldweave.operators import validation as V
 from fieldweave.operators.eav import pivot
 from fieldweave.operators.keys import listed, spread
+from fieldweave.operators.predicates import base_columns
 from fieldweave.session import settle
 
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -97,10 +98,11 @@ def widened(documents: DataFrame, custom: T.DataType) -> DataFrame:
     )
 
 
-def contact_payload(contacts: DataFrame, values: DataFrame, catalog: FieldCatalog) -> DataFrame:
+def contact_payload(contacts: DataFrame, values: DataFrame, catalog: FieldCatalog, base_fields: bool = False) -> DataFrame:
     """(id, payload): the full contact as event payload, present fields only, numbers
     and dates typed as in the documents. A value that breaks its type is left out, as
-    it is null in a built document; ``validate_values`` reports it."""
+    it is null in a built document; ``validate_values`` reports it. ``base_fields``
+    goes with documents that store them."""
     wide = pivot(values, catalog).withColumnRenamed("record_id", "_record")
     fields = [typed_value(F.col(f.api_name), f.kind).alias(f.api_name) for f in catalog.fields]
     custom = F.struct(*fields) if fields else F.create_map().cast("map<string,string>")
@@ -111,6 +113,7 @@ def contact_payload(contacts: DataFrame, values: DataFrame, catalog: FieldCatalo
         custom_fields=custom,
         created_at=F.col("created_at"),
         updated_at=F.col("updated_at"),
+        **{c: F.col(c) for c in (base_columns(contacts) if base_fields else [])},
     )
     return contacts.join(wide, F.col("id") == F.col("_record"), "left").select("id", payload.alias("payload"))
 
@@ -242,8 +245,10 @@ def apply_changes(
     last holds. ``derive`` adds the columns that are stored with documents but
     computed from them. Fields of the catalog that the documents do not have are
     added, null for old rows; names that neither has are kept in ``other_fields``.
+    Base fields that the documents store are read from the payloads as well.
     """
-    document = widened_type(T.StructType([documents.schema[c] for c in DOCUMENT_COLUMNS]), catalog)
+    stored = [*DOCUMENT_COLUMNS, *base_columns(documents)]
+    document = widened_type(T.StructType([documents.schema[c] for c in stored]), catalog)
     documents = widened(documents, document["custom_fields"].dataType)
     good, rejected = split_changes(changes, document)
     # Written once: it is read for the rows and for the ids that they replace.

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldweave import schema as S
@@ -44,6 +44,18 @@ def contact_column(name: str) -> Column:
     return full_name(F.col("first_name"), F.col("last_name")) if name == "name" else F.col(name)
 
 
+def base_columns(contacts: DataFrame) -> list[str]:
+    """The columns of contacts that a document has only if asked for."""
+    return [c for c in contacts.columns if c in S.BASE_KINDS and c not in S.DOCUMENT_COLUMNS]
+
+
+def check_stored(columns: Iterable[str], names: Iterable[str]) -> None:
+    """An error for base fields of a request that the document table does not store."""
+    missing = sorted({base_name(n) for n in names if not is_custom(n)} - set(columns))
+    if missing:
+        raise ValueError(f"these documents do not store {', '.join(missing)}; build them with base_fields=True")
+
+
 def document_column(name: str, catalog: FieldCatalog) -> Column:
     return F.col(f"custom_fields.{name}") if is_custom(name) else F.col(base_name(name))
 

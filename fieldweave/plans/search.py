@@ -55,7 +55,10 @@ def search_documents(
 ) -> SearchResult:
     """A request on the document layout. Rows are scored only if the score
     decides the order; groups count the whole table, as the request's filters
-    do not apply to them."""
+    do not apply to them. Names that no one has defined are answered as on the
+    EAV layout: a sort by one is left out, groups of one are a single ``'null'``.
+    Base fields need documents that store them."""
+    P.check_stored(docs.columns, _names(spec))
     lengths = X.LENGTHS if columns is None and X.LENGTHS in docs.columns else None
     columns = search_columns(catalog) if columns is None else columns
     keep = P.document_condition(spec.filters, catalog)
@@ -68,13 +71,24 @@ def search_documents(
         scored = X.with_score(docs, columns, words, keep, lengths)
         page = page_of(scored, X.by_relevance(), spec.page, spec.page_size)
     else:
-        page = _sorted_page(matched, last_direction_wins(spec.sort), lambda n: P.document_column(n, catalog), spec)
+        page = _sorted_page(matched, _known_sorts(spec, catalog), lambda n: P.document_column(n, catalog), spec)
     groups = None
-    if spec.group_by:
+    if spec.group_by and is_custom(spec.group_by) and catalog.get(spec.group_by) is None:
+        groups = A.group_counts(docs, F.lit(None))
+    elif spec.group_by:
         groups = A.terms(docs, P.document_column(spec.group_by, catalog), S.GROUP_LIMIT)
     return SearchResult(page, matched, groups, spec)
 
 
+def _names(spec: SearchSpec) -> list[str]:
+    """The fields that a request names."""
+    return [*(f.field for f in spec.filters), *(s.field for s in spec.sort), *([spec.group_by] if spec.group_by else [])]
+
+
+def _known_sorts(spec: SearchSpec, catalog: FieldCatalog) -> list[Sort]:
+    return last_direction_wins(s for s in spec.sort if not is_custom(s.field) or catalog.get(s.field))
+
+
 def _sorted_page(rows: DataFrame, sorts: list[Sort], column: Callable[[str], Column], spec: SearchSpec) -> DataFrame:
     if spec.after is not None:
         return page_after_keys(rows, cursor_keys(sorts, column), spec.after, spec.page_size)
@@ -139,7 +153,7 @@ def _eav_keys(
             ordered = ordered.where(F.lit(False))
     elif sort_fields:
         ordered = matched.join(E.matches(values, catalog, [], sort_fields), "id", "left")
-    sorts = last_direction_wins(s for s in spec.sort if not is_custom(s.field) or s.field in sort_fields)
+    sorts = _known_sorts(spec, catalog)
     return matched, ordered.select(*PAGE_COLUMNS, *[_sort_key(s.field) for s in sorts]), sorts
 
 
@@ -184,7 +198,7 @@ class RankedSearch:
 
 def rank_documents(docs: DataFrame, catalog: FieldCatalog, spec: SearchSpec, path: str) -> RankedSearch:
     """A sorted request on documents, its matches ranked below ``path``."""
-    sorts = last_direction_wins(spec.sort)
+    sorts = _known_sorts(spec, catalog)
     matched = search_documents(docs, catalog, replace(spec, group_by=None)).matched
     keys = matched.select("id", "created_at", *[P.document_column(s.field, catalog).alias(f"_key_{s.field}") for s in sorts])
     ranked = store_ranked(keys, order_of(sorts, _key), path)

@@ -126,6 +126,8 @@ BASE_KINDS = {
     "created_at": "TIMESTAMP",
     "updated_at": "TIMESTAMP",
 }
+# Base fields that every document has.
+DOCUMENT_COLUMNS = ("id", "email", "name", "created_at", "updated_at")
 REQUEST_ALIASES = {
     "createdAt": "created_at",
     "updatedAt": "updated_at",

@@ -10,6 +10,7 @@ from fieldweave import schema as S
 from fieldweave.catalog import FieldCatalog
 from fieldweave.functions.values import typed_value
 from fieldweave.operators.eav import pivot
+from fieldweave.operators.predicates import base_columns
 from fieldweave.session import settle
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -60,11 +61,12 @@ def melt(wide: DataFrame, catalog: FieldCatalog, keep_missing: bool = False) ->
 
 
 def build_documents(
-    contacts: DataFrame, values: DataFrame, catalog: FieldCatalog, lenient: bool = False
+    contacts: DataFrame, values: DataFrame, catalog: FieldCatalog, lenient: bool = False, base_fields: bool = False
 ) -> DataFrame:
     """The document table from the EAV tables: every contact once, its present
     values typed, empty text dropped. Numbers are read as strictly as the EAV
-    filters read them; ``lenient`` reads a numeric prefix."""
+    filters read them; ``lenient`` reads a numeric prefix. With ``base_fields``
+    the other columns of contacts are stored too, for requests that name them."""
     wide = pivot(values.where(F.col("value") != ""), catalog)
     fields = [typed_value(F.col(f.api_name), f.kind, lenient).alias(f.api_name) for f in catalog.fields]
     return contacts.join(wide, contacts["id"] == wide["record_id"], "left").select(
@@ -74,6 +76,7 @@ def build_documents(
         F.struct(*fields).alias("custom_fields"),
         "created_at",
         "updated_at",
+        *(base_columns(contacts) if base_fields else []),
     )
 
 

@@ -15,8 +15,9 @@ from fieldweave.operators.sorting import Sort
 from fieldweave.operators.ranking import index_field
 from fieldweave.plans.search import SearchResult, layout_parity, rank_contacts, rank_documents, search, search_documents, search_eav
 from fieldweave.plans.spec import SearchSpec
-from fieldweave.session import new_work_dir
+from fieldweave.session import new_work_dir, settle
 from fieldweave.sources import lens as L
+from fieldweave.sources.layout import build_documents
 from fieldweave.workload.registry import query
 from fieldweave.workload.text import FIELDS, scores_sql
 
@@ -237,6 +238,57 @@ def parity(spark: SparkSession, d: str) -> DataFrame:
     return matched.unionByName(counts)
 
 
+# Requests whose answers the layouts must share: typed filters and sorts over unclean numbers, base fields, unknown names.
+SHARED = {
+    "number": SearchSpec(filters=(Filter("score__c", "gte", 0), Filter("status", "eq", "active"))),
+    "number_sort": SearchSpec(sort=(Sort("score__c", "desc"),)),
+    "base_sort": SearchSpec(sort=(Sort("firstName", "desc"), Sort("status"))),
+    "unknown_sort": SearchSpec(sort=(Sort("nobody__c", "desc"),)),
+    "unknown_filter": SearchSpec(filters=(Filter("nobody__c", "eq", "1"),)),
+    "base_group": SearchSpec(group_by="status"),
+    "unknown_group": SearchSpec(group_by="nobody__c"),
+}
+
+
+def unclean_values(spark: SparkSession, d: str) -> DataFrame:
+    """The value rows, with scores that only begin like a number and empty ones."""
+    score = F.col("field_id") == CATALOG.by_name["score__c"].id
+    damaged = F.when(F.col("record_id") % 7 == 0, F.concat("value", F.lit("abc"))).when(F.col("record_id") % 11 == 3, F.lit(""))
+    return L.values(spark, d).withColumn("value", F.when(score, F.coalesce(damaged, "value")).otherwise(F.col("value")))
+
+
+@query(
+    "stored_layout_parity",
+    """with u as (select p.id, p.status, p.first_name, p.created_at,
+      case when p.id % 7 = 0 or p.id % 11 = 3 then null else d.score__c end as score from docs d join profile p on p.id = d.id),
+    r as (select *, row_number() over (order by score desc nulls last, id) as by_score,
+      row_number() over (order by first_name desc nulls last, status nulls last, id) as by_name,
+      row_number() over (order by created_at desc nulls last, id) as by_time from u),
+    x as (select 'number' as part, cast(id as varchar) as key, 1 as cnt from u where score >= 0 and status = 'active'
+      union all select 'number_sort', cast(id as varchar), 1 from r where by_score <= 20
+      union all select 'base_sort', cast(id as varchar), 1 from r where by_name <= 20
+      union all select 'unknown_sort', cast(id as varchar), 1 from r where by_time <= 20
+      union all select 'base_group', status, count(*) from u group by status
+      union all select 'unknown_group', 'null', count(*) from u)
+    select l.layout, x.part, x.key, cast(x.cnt as bigint) as cnt from x cross join (values ('doc'), ('eav')) l(layout)""",
+)
+def stored_parity(spark: SparkSession, d: str) -> DataFrame:
+    """The shared requests on both layouts, over value rows with unclean numbers and documents that were built from them and written."""
+    contacts, values = L.contacts(spark, d), settle(unclean_values(spark, d), "unclean-values")
+    docs = settle(build_documents(contacts, values, CATALOG, base_fields=True), "stored-documents")
+    parts = []
+    for part, spec in SHARED.items():
+        for layout in ("doc", "eav"):
+            found = search(layout, spec, CATALOG, documents=docs, contacts=contacts, values=values)
+            if spec.group_by:
+                rows = found.groups.select("key", F.col("cnt").cast("long").alias("cnt"))
+            else:
+                rows = found.page if spec.sort else found.matched
+                rows = rows.select(F.col("id").cast("string").alias("key"), F.lit(1).cast("long").alias("cnt"))
+            parts.append(rows.select(F.lit(layout).alias("layout"), F.lit(part).alias("part"), "key", "cnt"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 LAST = SearchSpec(filters=(Filter("tier__c", "contains", "L"),), sort=(Sort("region__c"), Sort("score__c", "desc")), page_size=15)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldweave.operators import aggregates as A
 from fieldweave.operators import eav as E
 from fieldweave.operators import predicates as P
+from fieldweave.operators.changes import apply_changes, contact_payload, emit, to_change
 from fieldweave.operators.predicates import Filter
 from fieldweave.operators.sorting import Sort, missing_last, missing_lowest, order_of, page_after, page_of
 from fieldweave.plans.search import layout_parity, search, search_documents, search_eav
@@ -70,6 +71,33 @@ def random_spec(rng):
     return SearchSpec(filters=tuple(rng.sample(options, rng.randrange(0, 4))))
 
 
+def test_base_fields_need_documents_that_store_them(tables):
+    contacts, values, documents = tables
+    asked = (
+        SearchSpec(filters=(Filter("status", "eq", "active"),)), SearchSpec(sort=(Sort("firstName"),)), SearchSpec(group_by="status")
+    )
+    for spec in asked:
+        with pytest.raises(ValueError, match="do not store"):
+            search("doc", spec, CATALOG, documents=documents)
+    stored = layout.build_documents(contacts, values, CATALOG, base_fields=True)
+    for spec in asked:
+        found = search("doc", spec, CATALOG, documents=stored)
+        there = search("eav", spec, CATALOG, contacts=contacts, values=values)
+        assert sorted(r["id"] for r in found.page.collect()) == sorted(r["id"] for r in there.page.collect())
+    with pytest.raises(ValueError, match="unknown field"):
+        search("doc", SearchSpec(sort=(Sort("nobody"),)), CATALOG, documents=stored)
+
+
+def test_changes_keep_stored_base_fields(spark, tables):
+    contacts, values, _ = tables
+    stored = layout.build_documents(contacts, values, CATALOG, base_fields=True)
+    payload = contact_payload(contacts, values, CATALOG, base_fields=True)
+    log = emit(payload.withColumn("event_type", F.lit("CONTACT_UPDATED")), "b", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+    applied = apply_changes(stored, to_change(log)).documents
+    kept = lambda rows: sorted(tuple(r) for r in rows.select("id", "status", "first_name", "last_name").collect())
+    assert kept(applied) == kept(stored)
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_layouts_agree(tables, seed):
     contacts, values, documents = tables
