@@ -45,38 +45,36 @@ def _texts(columns: Mapping[str, Column]) -> Column:
     return F.array(*[c.cast("string") for c in columns.values()])
 
 
-def text_cells(
-    docs: DataFrame, columns: Mapping[str, Column], *keep: Column, lengths: str | None = None
-) -> DataFrame:
-    """One row per document and searched field: position, field, text, length.
-    A stored length is used where there is one."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("position"),
-                F.lit(name).alias("field"),
-                c.cast("string").alias("text"),
-                (F.get(lengths, F.lit(n)) if lengths else F.lit(None).cast("long")).alias("known"),
-            )
-            for n, (name, c) in enumerate(columns.items())
-        ]
-    )
-    rows = docs.select(*keep, F.inline(cells))
-    length = F.coalesce("known", X.gram_count(F.col("text")))
-    return rows.withColumn("length", length).drop("known")
+def text_cells(docs: DataFrame, columns: Mapping[str, Column], *keep: Column) -> DataFrame:
+    """One row per document and searched field: field, text, length."""
+    cells = [F.struct(F.lit(name).alias("field"), c.cast("string").alias("text")) for name, c in columns.items()]
+    return docs.select(*keep, F.inline(F.array(*cells))).withColumn("length", X.gram_count(F.col("text")))
 
 
-def field_statistics(
+def _statistics_row(
     docs: DataFrame, columns: Mapping[str, Column], words: Sequence[str], lengths: str | None = None
 ) -> DataFrame:
-    """Per field the documents that have it, its total length, and how many
-    documents hold each word. Partial aggregates leave one row per field and task."""
-    cells = text_cells(docs, columns, lengths=lengths)
-    low = F.lower("text")
-    holding = F.array(*[F.count_if(F.contains(low, F.lit(w))) for w in words]).cast("array<bigint>")
-    return cells.groupBy("position", "field").agg(
-        F.count_if(F.col("length") > 0).alias("docs"), F.sum("length").alias("length"), holding.alias("dfs")
-    )
+    """One row with ``stats``: per field, in their order, the documents that have it, its total length, and how many
+    documents hold each word. One aggregate with a column for each of them: no row is made for a field of a document."""
+    staged = {}
+    for n, c in enumerate(columns.values()):
+        text = c.cast("string")
+        known = F.get(lengths, F.lit(n)) if lengths else F.lit(None).cast("long")
+        staged[f"_length{n}"] = F.coalesce(known, X.gram_count(text))
+        staged[f"_low{n}"] = F.lower(text)
+    fields = []
+    for n, name in enumerate(columns):
+        length, low = F.col(f"_length{n}"), F.col(f"_low{n}")
+        holding = F.array(*[F.count_if(F.contains(low, F.lit(w))) for w in words]).cast("array<bigint>")
+        fields.append(
+            F.struct(
+                F.lit(name).alias("field"),
+                F.count_if(length > 0).alias("docs"),
+                F.coalesce(F.sum(length), F.lit(0)).alias("length"),
+                holding.alias("dfs"),
+            )
+        )
+    return docs.select(*[c.alias(n) for n, c in staged.items()]).agg(F.array(*fields).alias("stats"))
 
 
 def bm25(tf: Column, df: Column, docs: Column, length: Column, average: Column) -> Column:
@@ -100,8 +98,7 @@ def with_score(
     are computed for matching rows only.
     """
     counted = Counter(words)
-    statistics = field_statistics(docs, columns, list(counted), lengths)
-    per_field = F.array_sort(F.collect_list(F.struct("position", "docs", "length", "dfs")))
+    statistics = _statistics_row(docs, columns, list(counted), lengths)
     matching = docs.where(keyword_condition(list(columns.values()), words))
     if only is not None:
         matching = matching.where(only)
@@ -126,7 +123,7 @@ def with_score(
         sizes = F.transform(texts, X.gram_count)
     staged = {
         "_cells": F.zip_with(F.transform(texts, F.lower), sizes, measured),
-        "_stats": statistics.agg(per_field.alias("stats")).scalar(),
+        "_stats": statistics.scalar(),
     }
     if not counted:
         return matching.withColumn("score", F.lit(0.0))
@@ -138,29 +135,30 @@ def by_relevance() -> list[Column]:
     return [F.col("score").desc(), F.col("created_at").desc_nulls_last(), F.col("id").asc()]
 
 
-def ngram_index(docs: DataFrame, columns: Mapping[str, Column], key: str = "id") -> DataFrame:
-    """Postings (field, gram, id, tf, length): every gram of every field.
+def ngram_index(docs: DataFrame, columns: Mapping[str, Column], key: str = "id", carried: Sequence[str] = ()) -> DataFrame:
+    """Postings (field, gram, id, tf, length): every gram of every field. ``carried`` columns of the document go along.
 
     Grams of a row are counted where the row is, before the one shuffle by
     (field, gram, id); a gram that very many rows hold stays spread by id.
     """
-    fields = text_cells(docs, columns, F.col(key).alias("id")).where(F.col("text").isNotNull())
-    run = fields.select("field", "id", "length", F.explode(X.runs(F.col("text"))).alias("run")).where(
+    fields = text_cells(docs, columns, F.col(key).alias("id"), *map(F.col, carried)).where(F.col("text").isNotNull())
+    run = fields.select("field", "id", "length", *carried, F.explode(X.runs(F.col("text"))).alias("run")).where(
         F.length("run") >= S.MIN_GRAM
     )
     start = run.withColumn("pos", F.explode(F.sequence(F.lit(1), F.length("run") - (S.MIN_GRAM - 1))))
     longest = F.least(F.lit(S.MAX_GRAM), F.length("run") - F.col("pos") + 1)
     grams = start.withColumn("size", F.explode(F.sequence(F.lit(S.MIN_GRAM), longest)))
     return (
-        grams.select("field", F.lower(F.substring("run", F.col("pos"), F.col("size"))).alias("gram"), "id", "length")
+        grams.select("field", F.lower(F.substring("run", F.col("pos"), F.col("size"))).alias("gram"), "id", "length", *carried)
         .groupBy("field", "gram", "id")
-        .agg(F.count(F.lit(1)).alias("tf"), F.max("length").alias("length"))
+        .agg(F.count(F.lit(1)).alias("tf"), *[F.max(c).alias(c) for c in ("length", *carried)])
     )
 
 
 def field_lengths(docs: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Per field the documents that have it and its total length."""
-    return field_statistics(docs, columns, []).select("field", "docs", "length")
+    fields = _statistics_row(docs, columns, []).select(F.inline("stats"))
+    return fields.where("docs > 0").select("field", "docs", "length")
 
 
 def write_index(postings: DataFrame, path: str) -> None:

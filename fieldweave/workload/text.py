@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from fieldweave import schema as S
 from fieldweave.functions.text import query_terms as terms_of
 from fieldweave.operators import textsearch as X
+from fieldweave.operators import topk as K
 from fieldweave.operators.sorting import page_of
 from fieldweave.plans.search import search_columns, search_documents
 from fieldweave.plans.spec import SearchSpec
+from fieldweave.session import new_work_dir
 from fieldweave.sources import lens as L
 from fieldweave.workload.registry import query
 
@@ -172,3 +174,24 @@ def keyword_documents(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
 
 
+
+
+def top_sql(part: str, words: list[str]) -> str:
+    return f"""select '{part}' as part, * from (with {scores_sql('docs', FIELDS, words)}
+    select d.id, round(s.score, 6) as score from scored s join docs d on d.id = s.id
+    order by round(s.score, 9) desc, d.created_at desc nulls last, d.id limit 25)"""
+
+
+@query(
+    "keyword_top_k",
+    " union all ".join(top_sql(part, words) for part, words in (("one", ["gold"]), ("two", ["machinery", "silver"]), ("rare", ["customer", "0042"]))),
+)
+def keyword_top_k(spark: SparkSession, d: str) -> DataFrame:
+    """Three requests on one index by impact: a word of very many ties, two words, a rare and a common one."""
+    docs = L.documents(spark, d)
+    index = K.write_impacts(docs, search_columns(CATALOG), new_work_dir(spark, "impacts"))
+
+    def top(part: str, text: str) -> DataFrame:
+        return index.top(X.words_of(spark, text), 25).select(F.lit(part).alias("part"), "id", F.round("score", 6).alias("score"))
+
+    return top("one", "gold").unionByName(top("two", "Machinery SILVER")).unionByName(top("rare", "customer 0042"))
