@@ -60,6 +60,15 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, state, [int(b) for b in state["versions"]])
 
 
+def read_buckets_of(keys: DataFrame, path: str) -> DataFrame:
+    """Of the table, the buckets that the keys are in."""
+    spark = keys.sparkSession
+    state = current(spark, path)
+    if state is None:
+        raise ValueError(f"no table at {path}")
+    return _read(spark, path, state, _held(keys, state["key"], state["buckets"]))
+
+
 def upsert_buckets(changes: DataFrame, path: str, batch: int, version: list[str], deleted: Column | None = None) -> list[int]:
     """Put changed rows in by key and take deleted ones out; gives the buckets that were rewritten.
 

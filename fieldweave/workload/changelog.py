@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from fieldweave import schema as S
 from fieldweave.operators import changes as C
+from fieldweave.operators import maintained as M
 from fieldweave.operators.predicates import Filter
 from fieldweave.operators.sorting import Sort
-from fieldweave.plans.search import search_documents
+from fieldweave.plans.search import search_columns, search_documents
 from fieldweave.plans.spec import SearchSpec
-from fieldweave.session import new_work_dir
+from fieldweave.session import new_work_dir, settle
 from fieldweave.sources import lens as L
 from fieldweave.sources.buckets import create_buckets, read_buckets, upsert_buckets
 from fieldweave.sources.rebuild import catch_up, read_served, rebuild
@@ -484,3 +485,51 @@ def sync_tiers(spark: SparkSession, d: str) -> DataFrame:
     for batch in range(9):
         write_batch(log.where(F.pmod(F.xxhash64("id"), F.lit(9)) == batch), batch, document, target, fan=2)
     return shown(synced_documents(spark, target, docs, catalog=CATALOG))
+
+
+AFTER_SQL = f"""{APPLIED_SQL},
+    after as (select id, email, name, job_title__c, department__c, region__c, tier__c, lead_source__c, notes__c from docs
+      where id not in (select id from last)
+      union all select id, email, name, null, null, null, tier__c, lead_source__c, null from written)"""
+
+
+def maintained(spark: SparkSession, d: str, derived: dict[str, M.Derived]) -> str:
+    """The path of a table of documents that all events of the log were applied to, in three batches that do not go by time,
+    the first of them twice."""
+    docs, log = L.documents(spark, d), L.outbox(spark, d)
+    fields = search_columns(CATALOG)
+    path = new_work_dir(spark, "maintained-documents")
+    M.create_maintained(docs.select("id", *[c.alias(n) for n, c in fields.items()]), derived, path, 16, log.schema["id"].dataType.simpleString())
+    good, _ = C.split_changes(C.to_change(log), C.document_type(CATALOG, log.schema["aggregate_id"].dataType))
+    read = good.select("type", "contact_id", "event_time", "event_id", "payload.*")
+    changes = settle(M.versioned(read, fields), "versioned-changes")
+    for batch, part in enumerate((2, 0, 1, 2), 1):
+        M.apply_to_maintained(changes.where(F.pmod("event_id", F.lit(3)) == part), derived, path, batch, fan=3)
+    return path
+
+
+@query(
+    "terms_from_changes",
+    f"""with {AFTER_SQL}
+    select 'lead_source__c' as field, lead_source__c as value, count(*) as n from after group by lead_source__c
+    union all select 'tier__c', tier__c, count(*) from after group by tier__c""",
+)
+def terms_from_changes(spark: SparkSession, d: str) -> DataFrame:
+    derived = {"terms": M.term_counts(["lead_source__c", "tier__c"])}
+    return M.read_derived(spark, maintained(spark, d, derived), "terms")
+
+
+@query(
+    "ngram_index_apply",
+    rf"""with {AFTER_SQL},
+    long_text as ({" union all ".join(f"select id, '{f}' as field, lower({f}) as txt from after" for f in S.SEARCH_FIELDS)}),
+    run as (select id, field, unnest(regexp_extract_all(txt, '[\p{{L}}\p{{Nd}}]+')) as r from long_text where txt is not null),
+    start as (select id, field, r, unnest(range(1, length(r))) as pos from run where length(r) >= 2),
+    gram as (select id, field, substr(r, pos, g) as gram from (select id, field, r, pos, unnest(range(2, 11)) as g from start)
+      where pos + g - 1 <= length(r))
+    select field, gram, count(distinct id) as n_docs, count(*) as total_tf from gram group by field, gram""",
+)
+def ngram_index_apply(spark: SparkSession, d: str) -> DataFrame:
+    derived = {"postings": M.postings({n: F.col(n) for n in S.SEARCH_FIELDS})}
+    postings = M.read_derived(spark, maintained(spark, d, derived), "postings")
+    return postings.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("tf").alias("total_tf"))
