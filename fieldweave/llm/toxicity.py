@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -38,29 +39,33 @@ def _folds() -> dict[int, str | None]:
 _FOLDS = _folds()
 
 
+_MARKS = re.compile("[\u0300-\u036f]+")
+_SPELLED = re.compile(r"(?<![^\W_])(?:[^\W_][.*_-]){2,}[^\W_](?![^\W_])")
+
+
 def fold(text: str) -> str:
-    """Lower case, look-alikes and digit substitutions read as letters, ASCII signs as spaces; a space before and after."""
-    return f" {text.lower().translate(_FOLDS)} "
+    """Compatibility forms read as what they stand for and without accents, in lower case; letters with a sign between each
+    two joined; look-alikes and digit substitutions read as letters, ASCII signs as spaces; a space before and after."""
+    if not text.isascii():
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
+    text = _SPELLED.sub(lambda m: m[0][::2], text.lower())
+    return f" {text.translate(_FOLDS)} "
 
 
 @dataclass(frozen=True)
 class Settings:
     #: Labelled rows that the lexicon and the scale are fitted on, at most; those with the lowest hash of their id.
     max_labelled: int = 10_000
-    #: Entries of the lexicon, and of the exceptions, at most.
-    max_terms: int = 2_000
-    #: Lengths of the beginnings of words that can be entries; longer words are entries whole or by their beginning.
+    #: Lengths of the beginnings of words that can be entries. Words of any length can be entries whole.
     min_length: int = 3
     max_length: int = 8
     #: An entry is this much likelier in toxic documents (natural logarithm), at least.
     min_log_odds: float = 2.0
-    #: Rounds of choosing entries at most; each looks at the toxic documents that no entry so far is found in.
-    rounds: int = 16
 
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Beginnings of words with weights, phrases that are no matches, and the scale from matches to a score."""
+    """Beginnings of words, and whole words (with a space at their end), with weights; phrases that are no matches, and the scale from matches to a score."""
 
     terms: dict[str, float]
     exceptions: tuple[str, ...]
@@ -152,10 +157,11 @@ def _count(settings: Settings):
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Lexicon:
     """The lexicon of what is significantly likelier in documents labelled toxic, and a logistic scale.
 
-    Entries are beginnings of words: for each, the documents of either label that have it are counted. In each round
+    Entries are beginnings of words, or whole words whose beginning does not do: for each, the documents of either label that have it are counted. In each round
     the strongest are chosen whose share of toxic documents can't be chance among so many candidates; the next round
     counts only the toxic documents in which nothing chosen is found, so what merely stands beside an entry, as in
-    copies of one text, is not taken for one. Exceptions are whole words that begin like an entry but are not likelier
+    copies of one text, is not taken for one. Rounds go on while there is evidence: each chosen entry is found in a document
+    that is left, so there are no more than toxic rows in the sample, and rounds, entries and exceptions have no other limit. Exceptions are whole words that begin like an entry but are not likelier
     in toxic documents. Without toxic or without clean rows the lexicon is empty and all scores are alike.
     """
     sample = settle(labelled(docs, labels, settings), "toxicity-sample")
@@ -175,22 +181,20 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     everything = everything.where("term <> ''").withColumn("weight", log_odds)
     terms: dict[str, float] = {}
     left, left_toxic, rest = sample.where("toxic > 0"), toxic, everything.select("term", F.col("toxic").alias("left"))
-    for _ in range(settings.rounds):
+    while left_toxic:
         new = _strongest(everything.join(rest, "term"), clean, left_toxic, candidates, terms, settings)
-        if not new or len(terms) + len(new) > settings.max_terms:
+        if not new:
             break
         terms |= new
         unmatched = features(left, Lexicon(terms, (), (0.0,) * 4)).where("features[0] = 0").drop("features")
         left = settle(unmatched, "toxicity-left")
         left_toxic = left.count()
-        if not left_toxic:
-            break
         rest = counted(left).select("term", F.col("toxic").alias("left"))
     begins = F.lit(False)
     for n in sorted({len(t) for t in terms}):
         begins = begins | F.substring("term", 1, n).isin([t for t in terms if len(t) == n])
     spared = everything.where(F.col("term").endswith(" ") & begins & (F.col("weight") <= 0) & (F.col("clean") >= 3))
-    exceptions = tuple(r["term"].strip() for r in spared.orderBy(F.desc("clean"), "term").limit(settings.max_terms).collect())
+    exceptions = tuple(r["term"].strip() for r in spared.orderBy(F.desc("clean"), "term").collect())  # words of the sample
     matched = features(sample, Lexicon(terms, exceptions, (0.0,) * 4))
     fitted = matched.select("features", "toxic").toPandas()  # max_labelled rows at most
     return Lexicon(terms, exceptions, _logistic(np.stack(fitted["features"]), fitted["toxic"].to_numpy() > 0))
@@ -198,21 +202,30 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
 def _strongest(counts: DataFrame, clean: int, toxic: int, candidates: int, chosen: dict, settings: Settings) -> dict[str, float]:
     """New entries by the documents left: the strongest, and all at least half as strong. Of those that begin alike the
-    strongest counts, or else the longest."""
+    strongest counts, or else the longest; a whole word only if no beginning of it is among them."""
     seen = F.col("left") + F.col("clean")
     share, p = F.col("left") / seen, toxic / (clean + toxic)
     # Logarithm of the chance to see such a share at random (Chernoff bound).
     surprise = seen * (share * F.log(share / p) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - p))).otherwise(0.0))
     log_odds = F.log((F.col("left") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    good = (F.col("left") > 0) & ~F.col("term").endswith(" ") & (log_odds >= settings.min_log_odds) & (surprise >= math.log(candidates) + 3)
+    good = (F.col("left") > 0) & (log_odds >= settings.min_log_odds) & (surprise >= math.log(candidates) + 3)
     strong = counts.where(good).withColumn("strength", F.col("left") * log_odds)
-    rows = strong.orderBy(F.desc("strength"), F.desc(F.length("term")), "term").limit(settings.max_terms).collect()
+    strong = settle(strong.select("term", "weight", "strength"), "toxicity-strong")
+    most = strong.agg(F.max("strength")).first()[0]
+    if most is None:
+        return {}
+    whole = F.col("term").endswith(" ")
+    rows = strong.where(F.col("strength") * 2 >= most).orderBy(whole, F.desc("strength"), F.desc(F.length("term")), "term").collect()
+    # A beginning of a chosen entry, or what begins with one, is no entry: by the lengths there are, not entry by entry.
     new: dict[str, float] = {}
+    entries = set(chosen)
+    begun = {t[:n] for t in entries for n in range(1, len(t) + 1)}
     for row in rows:
         term = row["term"]
-        nested = any(term.startswith(t) or t.startswith(term) for t in (*chosen, *new))
-        if not nested and row["strength"] * 2 >= rows[0]["strength"]:
+        if term not in begun and not any(term[:n] in entries for n in range(1, len(term) + 1)):
             new[term] = row["weight"]
+            entries.add(term)
+            begun.update(term[:n] for n in range(1, len(term) + 1))
     return new
 
 

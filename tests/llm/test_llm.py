@@ -81,6 +81,60 @@ def test_toxicity_on_held_out_rows(spark, odd, empty):
     assert not bare.terms and toxicity.score(odd, bare).where("score between 0 and 1").count() == odd.count()
 
 
+@pytest.mark.parametrize(
+    "text", ["idiot", "ïdiöt", "\U0001d48adiot", "ⓘdiot", "i.d.i.o.t", "I-D-1-0-T", "ｉｄｉｏｔ", "1d10t", "іdіоt"]
+)
+def test_spellings_of_a_word(text):
+    assert toxicity.fold(f"an {text}, ok").split() == ["an", "idiot", "ok"]
+    assert toxicity.fold("e.g. U.S. a-b well-known x.y.zoo").split() == ["e", "g", "u", "s", "a", "b", "well", "known", "x", "y", "zoo"]
+
+
+def test_whole_words_are_entries(spark):
+    """Words of two letters, and words that differ late, among clean words that begin alike."""
+    docs = spark.range(4000).selectExpr(
+        "id as doc_id",
+        "concat('some plain text ', id, ' zqtop zqend ', if(id % 5 = 0, if(id % 2 = 0, 'you zq', 'you incomprehensibles'), 'you incomprehensibly')) as text",
+    )
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 5 = 0 as int) as toxic")
+    lexicon = toxicity.learn(docs, labels)
+    assert sorted(lexicon.terms) == ["incomprehensibles ", "zq "]
+    scored = toxicity.score(docs, lexicon).join(labels, "doc_id")
+    assert scored.where("predicted <> toxic").count() == 0
+
+
+def test_all_entries_with_evidence_are_taken(spark):
+    """More rounds and entries than any earlier limit would let through: shares of the words fall by half again and again."""
+    rows = []
+    for k in range(19):
+        rows += [(f"word text {k} {i} bad{chr(97 + k)}x", 1) for i in range(max(40, 400 >> k))]
+    rows += [(f"word text {i} good", 0) for i in range(4000)]
+    docs = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn(docs, docs.select("doc_id", "toxic"))
+    assert toxicity.score(docs, lexicon).where("predicted <> toxic").count() == 0
+
+
+def plain_features(lexicon, text):
+    """Matches looked for at every place of the folded text."""
+    folded = toxicity.fold(text or "")
+    places = range(len(folded))
+    found = [(i, i + len(t) + 1, w) for t, w in lexicon.terms.items() for i in places if folded.startswith(f" {t}", i)]
+    spared = [(i, i + len(p) + 2) for p in lexicon.exceptions for i in places if folded.startswith(f" {p} ", i)]
+    left = [w for a, b, w in found if not any(c <= a and b <= d for c, d in spared)]
+    if not left:
+        return 0.0, 0.0, 0.0
+    return 1.0, np.log1p(sum(left)), np.log1p(100 * sum(left) / max(1, len(folded.split())))
+
+
+def test_toxicity_equals_brute_force(spark, odd):
+    docs, labels = (queries.table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    lexicon = toxicity.learn(docs, labels)
+    assert lexicon.terms
+    rows = docs.select("doc_id", "text").where("length(text) < 20000").unionByName(odd.select("doc_id", "text").where("length(text) < 5000"))
+    for row in toxicity.score(rows, lexicon).collect():
+        logit = lexicon.scale[0] + sum(a * b for a, b in zip(lexicon.scale[1:], plain_features(lexicon, row["text"])))
+        assert row["score"] == pytest.approx(1 / (1 + np.exp(-logit))) and row["predicted"] == (row["score"] >= 0.5)
+
+
 def test_line_dedup_equals_brute_force(odd, empty):
     settings = lines.Settings(min_docs=3, shard_keys=1, cell_probes=2)
     rows = lines.drop_shared_lines(odd.withColumnRenamed("lang", "n_lines"), settings).collect()
