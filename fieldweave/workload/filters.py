@@ -13,6 +13,8 @@ from fieldweave.operators.lookups import by_column, by_ids, contact_by_id
 from fieldweave.operators.predicates import Filter
 from fieldweave.operators.sorting import order_of, page_of
 from fieldweave.plans.search import search_columns
+from fieldweave.session import new_work_dir
+from fieldweave.sources import keyindex as K
 from fieldweave.sources import layout
 from fieldweave.sources import lens as L
 from fieldweave.workload.registry import query
@@ -287,6 +289,24 @@ def new_email_only(spark: SparkSession, d: str) -> DataFrame:
     return Q.new_only(batch, L.contacts(spark, d).where("email is not null"), "email", "request_id")
 
 
+@query(
+    "new_email_indexed",
+    """select n.request_id, n.email, case when n.email in (select email from contacts where email is not null)
+      then 'known_email' when n.request_id > min(n.request_id) over (partition by n.email) then 'repeated_email' end as reason
+    from new_contacts n
+    union all select concat('again-', n.request_id), n.email, case when n.email is not null then 'known_email' end from new_contacts n""",
+)
+def new_email_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """A batch against the index of addresses, and once more after its own addresses were added."""
+    batch = L.new_contacts(spark, d).select("request_id", "email")
+    path = new_work_dir(spark, "addresses")
+    K.create_key_index(L.contacts(spark, d).select("email"), path, 16)
+    first = Q.new_only(batch, K.known_keys(batch.select("email"), path), "email", "request_id")
+    K.add_keys(batch.select("email"), path, 1)
+    again = batch.withColumn("request_id", F.concat(F.lit("again-"), "request_id"))
+    return first.unionByName(Q.new_only(again, K.known_keys(again.select("email"), path), "email", "request_id"))
+
+
 @query(
     "new_api_name_only",
     """with b as (select id, api_name from tenant_defs where not is_active)
