@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from fieldweave.llm.common import tidy
+
 
 def byte_characters() -> list[str]:
     """The character that stands for each byte in vocabularies on bytes: printable ones for themselves, the rest in
@@ -231,7 +233,7 @@ class Tokenizer:
                     lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
                     yield pa.RecordBatch.from_arrays([*batch.slice(at, n).columns, lists], schema.names)
 
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(tidy(run), schema)
 
     def decode(self, rows: DataFrame, ids: str = "ids", text: str = "decoded") -> DataFrame:
         """The tokens joined by one space, as a tokenizer without a decoder gives them."""
@@ -249,4 +251,4 @@ class Tokenizer:
                     joined = pc.binary_join(pa.ListArray.from_arrays(bounds, tokens.take(own.flatten())), " ")
                     yield pa.RecordBatch.from_arrays([*part.columns, joined], schema.names)
 
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(tidy(run), schema)

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +39,29 @@ def fresh(frame: DataFrame, *names: str) -> list[str]:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def give_back() -> None:
+    """Hand free memory to the system. A worker lives on between tasks, and its allocators keep the peak of the last one."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """A task over batches that keeps no free memory once it ends, and none of Arrow's after a batch."""
+
+    def each(batches: Iterable) -> Iterator:
+        for batch in batches:
+            yield batch
+            pa.default_memory_pool().release_unused()
+
+    # Spark takes the kind of a pandas UDF from the annotations.
+    @functools.wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(each(batches))
+        finally:
+            give_back()
+
+    return tidied

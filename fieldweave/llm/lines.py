@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import SPACE, fresh
+from fieldweave.llm.common import SPACE, fresh, tidy
 from fieldweave.session import settle
 
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -201,11 +201,11 @@ def drop_shared_lines(docs: DataFrame, settings: Settings = Settings(), text: st
     first = F.col("doc_id") if "doc_id" in columns else F.lit(0)
     rows = rows.withColumn(k1, F.xxhash64(first, whole)).withColumn(k2, F.xxhash64(F.lit("row"), whole, first))
     marked = rows.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(whole).alias("text"))
-    marks = settle(marked.mapInArrow(_marks(settings.min_chars), "k1 long, k2 long, h1 long, h2 long"), "line-marks")
+    marks = settle(marked.mapInArrow(tidy(_marks(settings.min_chars)), "k1 long, k2 long, h1 long, h2 long"), "line-marks")
     shared = shared_keys(marks, settings)
     hits = shared.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_set("key").alias(drops))
     rows = rows.join(hits, [k1, k2], "left")
-    kept = F.pandas_udf(_kept(settings.min_chars), "kept_text string, n_lines long, n_dropped long")
+    kept = F.pandas_udf(tidy(_kept(settings.min_chars)), "kept_text string, n_lines long, n_dropped long")
     return rows.withColumn(drops, kept(F.col(whole), F.col(drops))).select(*columns, f"{drops}.*")
 
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldweave.llm.common import tidy
 from fieldweave.session import settle
 
 # Characters that look like Latin letters, and what they are read as. Fixed values.
@@ -105,6 +106,7 @@ class Lexicon:
 def features(frame: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """The frame with a column ``features``, array of three."""
     @F.pandas_udf("array<double>")
+    @tidy
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         automaton = lexicon.matcher()
         for batch in batches:
@@ -167,7 +169,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     sample = settle(labelled(docs, labels, settings), "toxicity-sample")
 
     def counted(rows: DataFrame) -> DataFrame:
-        counts = rows.mapInArrow(_count(settings), "term string, clean long, toxic long")
+        counts = rows.mapInArrow(tidy(_count(settings)), "term string, clean long, toxic long")
         return settle(counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-terms")
 
     everything = counted(sample)
