@@ -11,19 +11,21 @@ from fieldweave.session import settle
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for each node of the links; the component is one of its nodes, the same for all.
 
-    Each round draws an order of the nodes by hash, joins every node to the first of itself and its neighbours, and
-    goes on with the links between different ones that are left. A constant share of the nodes goes in each round on
-    average, also on chains and stars. Nodes with very many links are aggregated before they are shuffled. A round
-    writes what its own nodes are joined to; the rounds are put together once, from the last and smallest to the first.
+    Each round draws an order of the nodes by hash, joins every node to the first of those within two links of it, and
+    goes on with the links between different ones that are left. So a star or a clique goes in one round, and of a chain
+    a constant share of the nodes in each on average. Nodes with very many links are aggregated before they are shuffled. A
+    round writes what its own nodes are joined to; the rounds are put together once, from the last and smallest to the first.
     """
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()
     links = settle(links, "graph-links")
     rounds = [links.select(F.col("a").alias("v"), F.col("b").alias("head")).limit(0)]
     while not links.isEmpty():
         rank = lambda c: F.struct(F.xxhash64(F.lit(len(rounds)), F.col(c)).alias("h"), F.col(c).alias("v"))  # noqa: E731, B023
-        both = links.select("a", rank("b").alias("r")).union(links.select(F.col("b").alias("a"), rank("a").alias("r")))
-        first = both.groupBy("a").agg(F.min("r").alias("r"))
-        heads = settle(first.select(F.col("a").alias("v"), F.least("r", rank("a"))["v"].alias("head")), "graph-heads")
+        both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = both.groupBy("a").agg(F.min(rank("b")).alias("r")).select("a", F.least("r", rank("a")).alias("r"))
+        # The first of a node's neighbours' firsts: none of its own is before it.
+        second = both.join(first, "a").groupBy("b").agg(F.min("r").alias("r"))
+        heads = settle(second.select(F.col("b").alias("v"), F.col("r.v").alias("head")), "graph-heads")
         at = lambda c: heads.select(F.col("v").alias(c), F.col("head").alias(f"{c}_head"))  # noqa: E731, B023
         links = links.join(at("a"), "a").join(at("b"), "b").where("a_head <> b_head")
         links = links.select(F.least("a_head", "b_head").alias("a"), F.greatest("a_head", "b_head").alias("b")).distinct()
