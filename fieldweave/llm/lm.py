@@ -284,9 +284,9 @@ def seated(customers: np.ndarray, others: np.ndarray, base: np.ndarray, strength
     """
     order = np.argsort(-customers, kind="stable")
     left, others, base = customers[order], others[order], base[order]
-    tables = (left > 0).astype(np.int64)
+    tables, down = (left > 0).astype(np.int64), -left
     sitting = 1
-    while (n := int(np.searchsorted(-left, -sitting, side="left"))) > 0:
+    while (n := int(np.searchsorted(down, -sitting, side="left"))) > 0:
         some = np.minimum(max(1, sitting // 64), left[:n] - sitting)
         new = (strength + discount * (others[:n] + tables[:n])) * base[:n]
         chance = new / (new + sitting - discount * tables[:n])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldweave.llm import bpe, chat, exact, lines, lm, mixing, neardup, quality, repair, search, sharding, toxicity, urls
+from fieldweave.llm import bpe, chat, exact, lines, mixing, neardup, quality, repair, search, sharding, toxicity, urls, wordlm
 from fieldweave.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -93,7 +93,7 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lm.score(docs, lm.learn(docs))
+    return wordlm.score(docs, wordlm.learn(docs))
 
 
 QUERIES = {
