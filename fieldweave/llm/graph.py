@@ -24,8 +24,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy("a").agg(F.min(rank("b")).alias("r")).select("a", F.least("r", rank("a")).alias("r"))
         # The first of a node's neighbours' firsts: none of its own is before it.
-        second = both.join(first, "a").groupBy("b").agg(F.min("r").alias("r"))
-        heads = settle(second.select(F.col("b").alias("v"), F.col("r.v").alias("head")), "graph-heads")
+        near = links.join(first.withColumnRenamed("r", "a_r"), "a").join(first.select(F.col("a").alias("b"), F.col("r").alias("b_r")), "b")
+        near = near.select(F.inline(F.array(F.struct(F.col("a").alias("v"), F.col("b_r").alias("r")), F.struct(F.col("b").alias("v"), F.col("a_r").alias("r")))))
+        heads = settle(near.groupBy("v").agg(F.min("r").alias("r")).select("v", F.col("r.v").alias("head")), "graph-heads")
         at = lambda c: heads.select(F.col("v").alias(c), F.col("head").alias(f"{c}_head"))  # noqa: E731, B023
         links = links.join(at("a"), "a").join(at("b"), "b").where("a_head <> b_head")
         links = links.select(F.least("a_head", "b_head").alias("a"), F.greatest("a_head", "b_head").alias("b")).distinct()
