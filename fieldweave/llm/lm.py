@@ -123,18 +123,38 @@ def _word_order(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return order, np.cumsum(new) - 1
 
 
+#: Added to the width of numbers whose bytes are compressed.
+_SMALLER = 16
+
+
 def pack(values: np.ndarray) -> bytes:
     """An array of numbers of 0 or more as bytes: how many each takes, then the first bytes of all numbers first, which
-    compresses well where they are sorted."""
+    compresses well where they are sorted. Compressed, after their length, if that is less: Spark's own codec only finds
+    what is repeated, not that some bytes are more frequent."""
     values = np.ascontiguousarray(values).ravel()
     largest = int(values.max(initial=0))
     width = next(w for w in (1, 2, 4, 8) if largest < 1 << 8 * w)
-    return bytes([width]) + values.astype(f"u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    raw = values.astype(f"u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    less = pa.compress(raw, "zstd", asbytes=True)
+    if len(less) + 4 < len(raw):
+        return bytes([width + _SMALLER]) + len(raw).to_bytes(4, "little") + less
+    return bytes([width]) + raw
 
 
 def unpack(blob: bytes, kind: type = np.int64) -> np.ndarray:
-    width = blob[0]
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8, offset=1).reshape(width, -1).T).view(f"u{width}").ravel().astype(kind)
+    width, at = blob[0], 1
+    if width > _SMALLER:
+        width, at, blob = width - _SMALLER, 0, pa.decompress(memoryview(blob)[5:], int.from_bytes(blob[1:5], "little"), "zstd")
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8, offset=at).reshape(width, -1).T).view(f"u{width}").ravel().astype(kind)
+
+
+def pack_rising(values: np.ndarray) -> bytes:
+    """Numbers of 64 bits by what each is above the one before, which is little where they are sorted; others wrap."""
+    return pack(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpack_rising(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob, np.uint64), dtype=np.uint64)
 
 
 def shard_of(h1: np.ndarray, shards: int) -> np.ndarray:
@@ -573,10 +593,8 @@ def _probe(levels: Levels, samples: int):
                 chance, counts = scorer(np.repeat(scorer.word_numbers(words), sizes), contexts.astype(np.int64))
                 base = np.log10((counts + 1) / (levels.train_tokens + levels.words + 1))
                 values = np.repeat(np.stack([np.log10(chance), base, counts > 0], axis=1), times, axis=0)
-                texts, at = np.unique(docs, return_inverse=True)
-                sums = np.stack([np.bincount(at, values[:, k], len(texts)) for k in range(3)], axis=1)
                 kinds = [probes.schema.field(n).type for n in ("ids", "held_out", "n_tokens")]
-                out.append(pa.table([pa.array([row["chunk"]]), pa.array([texts.tobytes()], pa.binary()), pa.array([sums.tobytes()], pa.binary()), *(pa.nulls(1, k) for k in kinds)], _SUMS))
+                out.append(pa.table([pa.array([row["chunk"]]), *(pa.array([b], pa.binary()) for b in _summed(docs, values)), *(pa.nulls(1, k) for k in kinds)], _SUMS))
         return pa.concat_tables(out)
 
     return run
@@ -585,6 +603,13 @@ def _probe(levels: Levels, samples: int):
 _SUMS = ["chunk", "docs", "sums", "ids", "held_out", "n_tokens"]
 
 
+def _summed(docs: np.ndarray, values: np.ndarray) -> tuple[bytes, bytes]:
+    """The texts that tokens are of, and the sums of their three values for each."""
+    texts, at = np.unique(docs.astype(np.uint64), return_inverse=True)
+    sums = np.stack([np.bincount(at, values[:, k], len(texts)) for k in range(3)])
+    return pack_rising(texts), pack(sums.view(np.uint64))
+
+
 def _gather(rows: pa.Table) -> pa.Table:
     """The texts of one chunk with what the shards gave."""
     head = rows.filter(pc.is_valid(rows["ids"]))
@@ -593,7 +618,7 @@ def _gather(rows: pa.Table) -> pa.Table:
     # Summed in order of the parts, so that reruns agree to the last bit.
     parts = sorted((d, s) for d, s in zip(rows["docs"].to_pylist(), rows["sums"].to_pylist()) if d is not None)
     for docs, values in parts:
-        sums[np.frombuffer(docs, np.uint16)] += np.frombuffer(values).reshape(-1, 3)
+        sums[unpack_rising(docs).astype(np.int64)] += unpack(values, np.uint64).view(np.float64).reshape(3, -1).T
     return pa.table([ids, held, own, pa.array(sums[:, 2].round().astype(np.int64)), pa.array(sums[:, 1]), pa.array(sums[:, 0])], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldweave.llm import lm
 from fieldweave.llm.common import give_back, tidy
-from fieldweave.llm.lm import pack, seated, shard_of, unpack
+from fieldweave.llm.lm import pack, pack_rising, seated, shard_of, unpack, unpack_rising
 from fieldweave.llm.neardup import mixed
 from fieldweave.session import new_work_dir, remove, settle, settle_at
 
@@ -84,7 +84,10 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else np.zeros(0, np.int64)
 
 
-_BLOBS = ("words", "contexts", "sizes", "word", "counts")
+#: What a row has of words and the contexts they follow: first and second hashes of the words, and names of the contexts,
+#: each in order; how many entries each context has; the number of each entry's word.
+_PAIRS = ("firsts", "seconds", "contexts", "sizes", "word")
+_BLOBS = (*_PAIRS, "counts")
 _FIELDS = ", ".join(f"{n} binary" for n in _BLOBS)
 _ENTRIES = f"chunk long, shard long, load long, {_FIELDS}"
 _FOUND = ("n_words", "n_tokens", "one0", "two0", "one1", "two1")
@@ -92,6 +95,16 @@ _SEATS = ("all_tables", "all_customers")
 _KINDS = dict.fromkeys(("chunk", "shard", "to", "load", *_FOUND, *_SEATS), pa.int64())
 
 
+def _packed(words: np.ndarray, contexts: np.ndarray, sizes: np.ndarray, word: np.ndarray) -> dict[str, bytes]:
+    parts = pack_rising(words[:, 0]), pack(words[:, 1]), pack_rising(contexts), pack(sizes), pack(word)
+    return dict(zip(_PAIRS, parts))
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    words = np.stack([unpack_rising(row["firsts"]), unpack(row["seconds"], np.uint64)], axis=1)
+    return words, unpack_rising(row["contexts"]), unpack(row["sizes"]), unpack(row["word"])
+
+
 def _row(**values) -> pa.RecordBatch:
     """One row; all columns that are no numbers are bytes."""
     arrays = [pa.array([v], _KINDS.get(n, pa.binary())) for n, v in values.items()]
@@ -118,38 +131,36 @@ def _counts(settings: Settings, shards: int):
             for s in np.flatnonzero(load).tolist():
                 own = slice(at_entry[s], at_entry[s + 1])
                 starts = _starts(before[own])
-                parts = words[at_word[s] : at_word[s + 1]], contexts[before[own][starts]], np.diff(np.append(starts, own.stop - own.start)), word[own] - at_word[s], counts[own]
-                yield _row(chunk=chunk, shard=s, load=int(load[s]), **dict(zip(_BLOBS, map(pack, parts))))
+                parts = words[at_word[s] : at_word[s + 1]], contexts[before[own][starts]], np.diff(np.append(starts, own.stop - own.start)), word[own] - at_word[s]
+                yield _row(chunk=chunk, shard=s, load=int(load[s]), **_packed(*parts), counts=pack(counts[own]))
 
     return run
 
 
 def _merge(key: tuple, rows: pa.Table) -> pa.Table:
     """One row of the entries of several, in order of contexts."""
-    blobs = {n: [unpack(b, np.uint64 if n in ("words", "contexts") else np.int64) for b in rows[n].to_pylist()] for n in _BLOBS}
-    words = np.concatenate(blobs["words"]).reshape(-1, 2)
-    offsets = np.cumsum([0] + [len(w) // 2 for w in blobs["words"]])
-    words, number = _different(words[:, 0], words[:, 1])
-    word = number[np.concatenate([w + o for w, o in zip(blobs["word"], offsets)])]
-    contexts, context = np.unique(np.concatenate(blobs["contexts"]), return_inverse=True)
-    keys = np.repeat(context, np.concatenate(blobs["sizes"])) << 32 | word
+    words, contexts, sizes, word = zip(*map(_unpacked, rows.select(_PAIRS).to_pylist()))
+    offsets = np.cumsum([0] + [len(w) for w in words])
+    words, number = _different(*np.concatenate(words).T)
+    word = number[np.concatenate([w + o for w, o in zip(word, offsets)])]
+    contexts, context = np.unique(np.concatenate(contexts), return_inverse=True)
+    keys = np.repeat(context, np.concatenate(sizes)) << 32 | word
     order = np.argsort(keys)
     keys = keys[order]
     starts = _starts(keys)
-    counts, keys = _sums(np.concatenate(blobs["counts"])[order], starts), keys[starts]
-    parts = words, contexts, np.bincount(keys >> 32, minlength=len(contexts)), keys & _LOW, counts
+    counts, keys = _sums(np.concatenate([unpack(b) for b in rows["counts"].to_pylist()])[order], starts), keys[starts]
+    parts = words, contexts, np.bincount(keys >> 32, minlength=len(contexts)), keys & _LOW
     load = int(np.sum(rows["load"].to_numpy()))
     give_back()
-    return pa.Table.from_batches([_row(chunk=key[1].as_py(), shard=key[0].as_py(), load=load, **dict(zip(_BLOBS, map(pack, parts))))])
+    return pa.Table.from_batches([_row(chunk=key[1].as_py(), shard=key[0].as_py(), load=load, **_packed(*parts), counts=pack(counts))])
 
 
 class Shard:
     """Entries of a shard: its words, the contexts they follow, and how often each word follows each."""
 
     def __init__(self, row: dict):
-        self.words = unpack(row["words"], np.uint64).reshape(-1, 2)
-        self.contexts = unpack(row["contexts"], np.uint64)
-        sizes, self.word, self.counts = (unpack(row[n]) for n in ("sizes", "word", "counts"))
+        self.words, self.contexts, sizes, self.word = _unpacked(row)
+        self.counts = unpack(row["counts"])
         self.at = np.repeat(np.arange(len(sizes)), sizes)
         self.starts = np.cumsum(sizes) - sizes
 
@@ -203,7 +214,8 @@ def _state(row: dict, shard: Shard, shards: int, seatings: tuple, last: bool = F
     bounds = np.searchsorted(shard_of(shard.contexts, shards), np.arange(shards + 1))
     for to in np.flatnonzero(np.diff(bounds)).tolist():
         own = slice(bounds[to], bounds[to + 1])
-        ask = {"shard": row["shard"], "to": to} | {n: pack(x[own]) for n, x in zip(_ASKS, (shard.contexts, customers, seats))}
+        parts = pack_rising(shard.contexts[own]), pack(customers[own]), pack(seats[own])
+        ask = {"shard": row["shard"], "to": to} | dict(zip(_ASKS, parts))
         rows.append(_row(**{n: ask.get(n) for n in _STATE_NAMES}))
     return pa.Table.from_batches(rows)
 
@@ -230,7 +242,7 @@ _ANSWERS = "shard long, to long, customers binary, tables binary"
 def _answers(own: bool):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         """The sums over all shards, for each shard that asked in the order it asked in; and for the context's own shard."""
-        asked = [unpack(b, np.uint64) for b in rows["ask_contexts"].to_pylist()]
+        asked = [unpack_rising(b) for b in rows["ask_contexts"].to_pylist()]
         contexts, at = np.unique(np.concatenate(asked), return_inverse=True)
         sums = [np.bincount(at, np.concatenate([unpack(b) for b in rows[n].to_pylist()]), len(contexts)).astype(np.int64) for n in _ASKS[1:]]
         to, out, end = key[0].as_py(), [], 0
@@ -402,7 +414,7 @@ class Scorer:
         return values
 
 
-_ASKED = ("words", "contexts", "sizes", "word", "times", "docs")
+_ASKED = (*_PAIRS, "times", "docs")
 
 
 def _probe_rows(settings: Settings, shards: int):
@@ -411,6 +423,9 @@ def _probe_rows(settings: Settings, shards: int):
         for chunk, texts, ids, held in lm._chunked(batches, settings):
             words, word, before, owner = numbered(texts)
             own = np.bincount(owner, minlength=len(texts))
+            # The longest texts have the lowest numbers, so most tokens have low ones, which take less room.
+            longest = np.argsort(-own, kind="stable")
+            ids, held, own, owner = ids.take(pa.array(longest)), held[longest], own[longest], np.argsort(longest)[owner]
             at = shard_of(words[:, 0], shards)
             order = _by_shard(at, before, word)
             keys, docs = before[order] << 32 | word[order], owner[order].astype(np.uint16)
@@ -429,9 +444,10 @@ def _probe_rows(settings: Settings, shards: int):
                 runs = _starts(before[part])
                 parts = (
                     words[at_word[s] : at_word[s + 1]], contexts[before[part][runs]], np.diff(np.append(runs, part.stop - part.start)),
-                    word[part] - at_word[s], times[part], docs[at_token[s] : at_token[s + 1]],
+                    word[part] - at_word[s],
                 )
-                blobs = [pa.array([pack(p)], pa.binary()) for p in parts]
+                packed = *_packed(*parts).values(), pack(times[part]), pack(docs[at_token[s] : at_token[s + 1]])
+                blobs = [pa.array([p], pa.binary()) for p in packed]
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([s]), *blobs, *(pa.nulls(1, x.type) for x in lists)], _PROBES)
 
     return run
@@ -448,17 +464,14 @@ def _probe(levels: Levels, samples: int):
         out = []
         for batch in probes.to_batches(max_chunksize=64):
             for i, row in enumerate(batch.select(["chunk", *_ASKED]).to_pylist()):
-                if row["words"] is None:
+                if row["docs"] is None:
                     keep = batch.slice(i, 1)
                     out.append(pa.table([keep["chunk"], *[pa.nulls(1, pa.binary())] * 2, keep["ids"], keep["held_out"], keep["n_tokens"]], lm._SUMS))
                     continue
-                words = unpack(row["words"], np.uint64).reshape(-1, 2)
-                sizes, word, times, docs = (unpack(row[n]) for n in ("sizes", "word", "times", "docs"))
-                context = np.repeat(unpack(row["contexts"], np.uint64), sizes)
-                values = np.repeat(scorer(words, context, word), times, axis=0)
-                texts, at = np.unique(docs.astype(np.uint16), return_inverse=True)
-                sums = np.stack([np.bincount(at, values[:, k], len(texts)) for k in range(3)], axis=1)
-                out.append(pa.table([pa.array([row["chunk"]]), pa.array([texts.tobytes()], pa.binary()), pa.array([sums.tobytes()], pa.binary()), *(pa.nulls(1, k) for k in kinds)], lm._SUMS))
+                words, contexts, sizes, word = _unpacked(row)
+                values = np.repeat(scorer(words, np.repeat(contexts, sizes), word), unpack(row["times"]), axis=0)
+                sums = lm._summed(unpack(row["docs"]), values)
+                out.append(pa.table([pa.array([row["chunk"]]), *(pa.array([b], pa.binary()) for b in sums), *(pa.nulls(1, k) for k in kinds)], lm._SUMS))
         give_back()
         return pa.concat_tables(out)
 
