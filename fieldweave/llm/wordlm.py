@@ -14,7 +14,7 @@ from fieldweave.llm import lm
 from fieldweave.llm.common import give_back, tidy
 from fieldweave.llm.lm import pack, pack_rising, seated, shard_of, unpack, unpack_rising
 from fieldweave.llm.neardup import mixed
-from fieldweave.session import new_work_dir, remove, settle, settle_at
+from fieldweave.session import new_work_dir, remove, settle, settle_at, short_shuffles
 
 
 @dataclass(frozen=True)
@@ -25,6 +25,9 @@ class Settings:
     #: Strength of each level: all words, and words after a word.
     strengths: tuple[float, float] = (1.0, 1.0)
     seed: int = 1
+    #: The texts are scored in so many parts, one after another: what a part asks of the shards and gets from them is on
+    #: disk only while it is scored.
+    parts: int = 2
     #: As in ``lm.Settings``.
     chunk_bytes: int = 6_000_000
     chunk_docs: int = 65_536
@@ -317,7 +320,11 @@ def learn(docs: DataFrame, train: Column | None = None, settings: Settings = Set
     contexts upwards, given the totals before. Discounts are n1 / (n1 + 2 n2) of the first seating of each level.
     The same input gives the same model.
     """
-    train = lm.in_training() if train is None else train
+    with short_shuffles(docs.sparkSession):
+        return _learnt(docs, lm.in_training() if train is None else train, settings)
+
+
+def _learnt(docs: DataFrame, train: Column, settings: Settings) -> Model:
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-size // settings.shard_bytes))
@@ -482,24 +489,37 @@ def score(docs: DataFrame, model: Model, train: Column | None = None) -> DataFra
     """A row for each text, as of ``lm.score``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity.
 
     An unknown word has the chance of the one word beyond the vocabulary, and leaves all to the parent as a context.
+    The texts are read once for each part, so a source whose rows change between reads is to be written first. The scores are
+    written to the shared folder.
     """
     settings, levels = model.settings, model.levels
+    spark = docs.sparkSession
     train = lm.in_training() if train is None else train
     kind = docs.schema["doc_id"].dataType.simpleString()
     lists = f"ids array<{kind}>, held_out array<boolean>, n_tokens array<long>"
     asked = ", ".join(f"{n} binary" for n in _ASKED)
-    probes = lm._prepared(docs, train).mapInArrow(tidy(_probe_rows(settings, model.n_shards)), f"chunk long, shard long, {asked}, {lists}")
     copies = F.greatest(F.lit(1), F.ceil(F.col("load") / settings.cell_tokens)).cast("int")
     # One small row for each shard, written so that its size is known to the optimizer.
-    probes = probes.join(settle(model.shards.select("shard", copies.alias("copies")), "lm-copies"), "shard", "left")
-    probes = probes.withColumn("copy", F.pmod(F.xxhash64("chunk"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
+    known = settle(model.shards.select("shard", copies.alias("copies")), "lm-copies")
     shards = model.shards.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
-    sums = probes.groupBy("shard", "copy").cogroup(shards.groupBy("shard", "copy")).applyInArrow(
-        lm._cell(_probe(levels, settings.samples)), f"chunk long, docs binary, sums binary, {lists}"
-    )
-    out = sums.groupBy("chunk").applyInArrow(
-        lm._gather, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    )
+
+    def scored(texts: DataFrame) -> DataFrame:
+        probes = texts.mapInArrow(tidy(_probe_rows(settings, model.n_shards)), f"chunk long, shard long, {asked}, {lists}").join(known, "shard", "left")
+        probes = probes.withColumn("copy", F.pmod(F.xxhash64("chunk"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
+        sums = probes.groupBy("shard", "copy").cogroup(shards.groupBy("shard", "copy")).applyInArrow(
+            lm._cell(_probe(levels, settings.samples)), f"chunk long, docs binary, sums binary, {lists}"
+        )
+        return sums.groupBy("chunk").applyInArrow(
+            lm._gather, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        )
+
+    texts, paths = lm._prepared(docs, train), []
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(settings.parts))
+    with short_shuffles(spark):
+        for i in range(settings.parts):
+            paths.append(new_work_dir(spark, "lm-scores"))
+            out = settle_at(scored(texts.where(part == i)), paths[-1])
+    out = spark.read.schema(out.schema).parquet(*paths)
     perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))
     return out.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(levels.train_tokens).cast("long").alias("train_tokens"), "base_score", "score", perplexity.alias("perplexity")

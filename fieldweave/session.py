@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +73,22 @@ def settle_at(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark deletes the shuffle files of a query when it ends, not at some time after the driver has collected its
+    plan. For steps that are each written and read back: a plan that is run again would have to shuffle again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in any file system that Spark reads."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
