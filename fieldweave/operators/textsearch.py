@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fieldweave import schema as S
 from fieldweave.functions import text as X
@@ -135,13 +136,78 @@ def by_relevance() -> list[Column]:
     return [F.col("score").desc(), F.col("created_at").desc_nulls_last(), F.col("id").asc()]
 
 
-def ngram_index(docs: DataFrame, columns: Mapping[str, Column], key: str = "id", carried: Sequence[str] = ()) -> DataFrame:
+#: Grams of a text of more characters than this are counted by an aggregate, not in an array of its row.
+_SHORT = 500
+#: Postings that one task makes, sorts and writes.
+_TASK = 2**21
+
+
+def index_parts(docs: DataFrame, columns: Mapping[str, Column]) -> int:
+    """In how many parts to make the postings of the documents, from the number of grams."""
+    grams = _statistics_row(docs, columns, []).select(F.inline("stats")).agg(F.sum("length")).first()[0] or 0
+    return parts_for(docs.sparkSession, grams)
+
+
+def parts_for(spark: SparkSession, grams: int) -> int:
+    return max(1, -(-grams // _TASK), min(-(-grams * 8 // _TASK), spark.sparkContext.defaultParallelism))
+
+
+def ngram_index(
+    docs: DataFrame,
+    columns: Mapping[str, Column],
+    key: str = "id",
+    carried: Sequence[str] = (),
+    parts: int | None = None,
+    order: Sequence[Column] = (),
+) -> DataFrame:
     """Postings (field, gram, id, tf, length): every gram of every field. ``carried`` columns of the document go along.
 
-    Grams of a row are counted where the row is, before the one shuffle by
-    (field, gram, id); a gram that very many rows hold stays spread by id.
+    Documents are dealt by id, into ``parts`` if given, and their grams are counted where they are: in an array for a
+    text of usual length, without a row for each occurrence. Rows that share an id, and long texts, are counted by an
+    aggregate; those come after the others. Postings are in the ``order`` of documents, by id, carried columns and
+    fields, if one is given.
     """
-    fields = text_cells(docs, columns, F.col(key).alias("id"), *map(F.col, carried)).where(F.col("text").isNotNull())
+    texts = {f"_text{n}": c.cast("string").alias(f"_text{n}") for n, c in enumerate(columns.values())}
+    rows = docs.select(F.col(key).alias("id"), *map(F.col, carried), *texts.values())
+    rows = rows.repartition(parts, "id") if parts else rows
+    rows = rows.withColumn("_alike", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    if order:
+        rows = rows.sortWithinPartitions(*order)
+    cells = [F.struct(F.lit(name).alias("field"), F.col(t).alias("text")) for name, t in zip(columns, texts)]
+    fields = rows.select("id", *carried, "_alike", F.inline(F.array(*cells))).where(F.col("text").isNotNull())
+    apart = (F.col("_alike") == 1) & (F.length("text") <= _SHORT)
+    long = fields.where(~apart).withColumn("length", X.gram_count(F.col("text")))
+    return _counted_in_rows(fields.where(apart), carried).unionByName(_counted(long, carried))
+
+
+def _counted_in_rows(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
+    """The postings of texts of which none shares id and field with another."""
+
+    def of_run(run: Column) -> Column:
+        def of_start(pos: Column) -> Column:
+            sizes = F.sequence(F.lit(S.MIN_GRAM), F.least(F.lit(S.MAX_GRAM), F.length(run) - pos + 1))
+            return F.transform(sizes, lambda size: F.lower(F.substring(run, pos, size)))
+
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.length(run) - (S.MIN_GRAM - 1)), of_start))
+
+    cut = F.filter(X.runs(F.col("text")), lambda run: F.length(run) >= S.MIN_GRAM)
+    grams = fields.select("field", "id", *carried, F.sort_array(F.flatten(F.transform(cut, of_run))).alias("_grams"))
+    # With posexplode Spark would test the array for grams below, by making it once more.
+    each = grams.select("field", "id", *carried, "_grams", F.posexplode_outer("_grams").alias("_at", "gram"))
+
+    def same(offset: int) -> Column:
+        return F.get("_grams", F.col("_at") + offset).eqNullSafe(F.col("gram"))
+
+    tf = F.size("_grams") - F.size(F.array_remove("_grams", F.col("gram")))
+    for n in (3, 2, 1):
+        tf = F.when(same(n), tf).otherwise(n)
+    first = each.where(F.col("gram").isNotNull() & ~same(-1))
+    length = F.size("_grams").cast("long").alias("length")
+    return first.select("field", "gram", "id", tf.cast("long").alias("tf"), length, *carried)
+
+
+def _counted(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
+    """The postings of any texts. Grams of a row are counted where the row is."""
     run = fields.select("field", "id", "length", *carried, F.explode(X.runs(F.col("text"))).alias("run")).where(
         F.length("run") >= S.MIN_GRAM
     )

@@ -1,9 +1,10 @@
 """The best rows of a keyword request from postings in order of their impact.
 
-A posting's impact is the part of its BM25 score that does not depend on the word. Each posting list, the documents that
-hold one gram in one field, is stored by impact, newest first, and cut into blocks. A request reads the first blocks of
-its lists, which gives a score that as many documents as it wants reach at least, and then only those postings whose
-document can still reach it: their own part and the largest part of each other word are not less.
+A posting's impact is the part of its BM25 score that does not depend on the word. Documents are dealt into parts by id.
+In each part every posting list, the documents that hold one gram in one field, is stored by impact, newest first, and cut
+into blocks. A request reads blocks of its lists with the largest impact, which gives a score that as many documents as it
+wants reach at least, and then only those postings whose document can still reach it: their own part and the largest part
+of each other word are not less.
 
 All postings of a wanted document in its best field meet that bound, as each of them is a part of its score. So what is
 read gives the wanted documents their whole score, and others at most theirs.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldweave import schema as S
-from fieldweave.operators.textsearch import field_lengths, ngram_index
+from fieldweave.operators.textsearch import field_lengths, ngram_index, parts_for
 
 #: Scores that differ by less are ties.
 DIGITS = 9
@@ -31,14 +32,14 @@ _BLOCK_BITS = 10  # 1,024 postings
 
 @dataclass(frozen=True)
 class PostingList:
-    """One gram in one field, for one request: what a posting's impact is multiplied by, its largest part, and the last of
-    the blocks that hold the first postings."""
+    """One gram in one field, for one request: what a posting's impact is multiplied by, its largest part, and the blocks to
+    begin with."""
 
     field: str
     gram: str
     weight: float
     largest: float
-    last_block: int
+    blocks: tuple[int, ...]
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,7 @@ class Threshold:
 
 @dataclass(frozen=True)
 class ImpactIndex:
-    """Stored postings (field, gram, impact, created_at, id, block), their blocks, and the lengths of the fields."""
+    """Stored postings (term, field, gram, impact, created_at, id, block), their blocks, and the lengths of the fields."""
 
     postings: DataFrame
     blocks: DataFrame
@@ -62,23 +63,25 @@ class ImpactIndex:
         if not words:
             return []
         counted = Counter(words)
-        blocks = self.blocks.where(F.col("gram").isin(list(counted)))
+        fields = [r[0] for r in self.fields.select("field").collect()]
+        of_words = [_of_list(f, w) for f in fields for w in counted]
+        blocks = self.blocks.where(reduce(lambda a, b: a | b, of_words, F.lit(False)))
         times = F.create_map(*[F.lit(x) for w, n in counted.items() for x in (w, float(n))])
         totals = blocks.groupBy("field", "gram").agg(F.sum("n").alias("df"), F.max("high").alias("high"))
-        # A block has a row at least, so the first `size` of a list hold its first `size` rows; of these, as many as it takes.
-        in_order = Window.partitionBy("field", "gram").orderBy("block")
+        # A block has a row at least, so the first `size` hold `size` rows of the list; of these, as many as it takes.
+        in_order = Window.partitionBy("field", "gram").orderBy(F.col("high").desc(), F.col("newest").desc_nulls_last(), "block")
         first = blocks.withColumn("at", F.row_number().over(in_order)).where(F.col("at") <= size)
         before = F.coalesce(F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         first = first.withColumn("before", before).where(F.col("before") < size)
-        last = first.groupBy("field", "gram").agg(F.max("block").alias("last_block"))
+        begin = first.groupBy("field", "gram").agg(F.sort_array(F.collect_list("block")).alias("blocks"))
         idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        rows = totals.join(last, ["field", "gram"]).join(self.fields, "field")
+        rows = totals.join(begin, ["field", "gram"]).join(self.fields, "field")
         rows = rows.withColumn("weight", idf * times[F.col("gram")])
-        found = rows.select("field", "gram", "weight", (F.col("weight") * F.col("high")).alias("largest"), "last_block")
-        return [PostingList(*r) for r in sorted(found.collect())]
+        found = rows.select("field", "gram", "weight", (F.col("weight") * F.col("high")).alias("largest"), "blocks")
+        return [PostingList(*r[:-1], tuple(r["blocks"])) for r in sorted(found.collect())]
 
     def first_blocks(self, lists: Sequence[PostingList]) -> DataFrame:
-        return self._parts(lists, lambda l: F.col("block") <= l.last_block)
+        return self._parts(lists, lambda l: F.col("block").isin(*l.blocks))
 
     def threshold(self, lists: Sequence[PostingList], size: int) -> Threshold | None:
         """From the first blocks; none if fewer than ``size`` documents hold a word."""
@@ -108,7 +111,7 @@ class ImpactIndex:
         return self._parts(lists, near)
 
     def _parts(self, lists: Sequence[PostingList], wanted) -> DataFrame:
-        each = [((F.col("field") == l.field) & (F.col("gram") == l.gram), l) for l in lists]
+        each = [(_of_list(l.field, l.gram), l) for l in lists]
         found = self.postings.where(reduce(lambda a, b: a | b, [of & wanted(l) for of, l in each], F.lit(False)))
         weight = F.lit(0.0)
         for of, l in each:
@@ -117,11 +120,20 @@ class ImpactIndex:
 
     def top(self, words: Sequence[str], size: int) -> DataFrame:
         """The first ``size`` rows (id, score, created_at) by score of the best field, newest first, then id. No usable word
-        gives none. What the driver sees is one row for each list and ``size`` scores."""
+        gives none. What the driver sees is one row for each list, with ``size`` blocks at most, and ``size`` scores."""
         lists = self.lists(words, size)
         return ranked(self.candidates(lists, self.threshold(lists, size))).limit(size)
 
 
+def _term(field: Column, gram: Column) -> Column:
+    """What the lists are stored in order of: 32 bits, so that two of a part may share a place."""
+    return F.shiftright(F.xxhash64(field, gram), 32).cast("int")
+
+
+def _of_list(field: str, gram: str) -> Column:
+    return (F.col("term") == _term(F.lit(field), F.lit(gram))) & (F.col("field") == field) & (F.col("gram") == gram)
+
+
 def ranked(parts: DataFrame) -> DataFrame:
     per_field = parts.groupBy("id", "field").agg(F.sum("part").alias("part"), F.max("created_at").alias("created_at"))
     scored = per_field.groupBy("id").agg(F.round(F.max("part"), DIGITS).alias("score"), F.max("created_at").alias("created_at"))
@@ -129,22 +141,29 @@ def ranked(parts: DataFrame) -> DataFrame:
 
 
 def write_impacts(docs: DataFrame, columns: Mapping[str, Column], path: str) -> ImpactIndex:
-    """The index of documents (``id``, ``created_at`` and the columns), below ``path``. A gram that very many documents hold
-    is dealt over partitions by impact, time and id."""
-    field_lengths(docs, columns).write.parquet(f"{path}/fields")
+    """The index of documents (``id``, ``created_at`` and the columns), below ``path``. Documents are dealt by id into parts of
+    about as many postings as a task can sort; a gram that very many documents hold is in all of them."""
     spark = docs.sparkSession
+    field_lengths(docs, columns).write.parquet(f"{path}/fields")
     fields = spark.read.parquet(f"{path}/fields")
+    parts = parts_for(spark, fields.agg(F.sum("length")).first()[0] or 0)
     shape = F.col("tf") + S.BM25_K1 * (1 - S.BM25_B + S.BM25_B * F.col("length") / F.col("average"))
     average = fields.select("field", (F.col("length") / F.col("docs")).alias("average"))
-    postings = ngram_index(docs, columns, carried=["created_at"]).join(average, "field")
-    postings = postings.select("field", "gram", (F.col("tf") / shape).alias("impact"), "created_at", "id")
-    order = ["field", "gram", F.col("impact").desc(), F.col("created_at").desc_nulls_last(), "id"]
-    placed = postings.repartitionByRange(*order).sortWithinPartitions(*order)
+    newest_first = [F.col("created_at").desc_nulls_last(), F.col("id")]
+    postings = ngram_index(docs, columns, carried=["created_at"], parts=parts, order=newest_first).join(average, "field")
+    term = _term(F.col("field"), F.col("gram")).alias("term")
+    postings = postings.select(term, "field", "gram", (F.col("tf") / shape).alias("impact"), "created_at", "id")
+    # One number, as Spark sorts by one without comparing rows: the list, then its impacts from the largest. They are below 1
+    # and differ by more than 2 ** -32 or tie. The sort keeps the order of what ties, newest first.
+    place = F.shiftleft(F.col("term").cast("long"), 32) + (2**32 - 1 - F.floor(F.col("impact") * 2**32))
+    placed = postings.withColumn("_place", place).sortWithinPartitions("_place").drop("_place")
     block = F.shiftright(F.monotonically_increasing_id(), _BLOCK_BITS).alias("block")
     placed.select("*", block).write.parquet(f"{path}/postings")
     stored = spark.read.parquet(f"{path}/postings")
-    blocks = stored.groupBy("field", "gram", "block").agg(F.count(F.lit(1)).alias("n"), F.max("impact").alias("high"))
-    blocks.repartitionByRange("field", "gram", "block").sortWithinPartitions("field", "gram", "block").write.parquet(f"{path}/blocks")
+    blocks = stored.groupBy("term", "field", "gram", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.max("impact").alias("high"), F.max("created_at").alias("newest")
+    )
+    blocks.sortWithinPartitions("term").write.parquet(f"{path}/blocks")
     return open_impacts(spark, path)
 
 

@@ -98,6 +98,21 @@ def test_index_equals_brute_force(docs, tmp_path, spark):
     assert all(r["length"] == len(grams_of(TEXTS[r["id"]])) for r in rows)
 
 
+def test_index_of_repeated_and_missing_ids_and_long_texts(spark):
+    rows = [(1, "banana anana", 5), (1, "Banana", 7), (None, "aa aa", 1), (None, "aa", 2), (2, "aaaaaaaa" * 9, 3), (3, "İstanbul ΟΔΟΣ " * 60, 4), (4, "", 1), (5, None, 1)]
+    docs = spark.createDataFrame(rows, "id long, body string, at int")
+    expected = {}
+    for n, text, at in rows:
+        grams = grams_of(text)
+        for gram in grams:
+            tf, length, last = expected.get((gram, n), (0, 0, 0))
+            expected[gram, n] = tf + 1, max(length, len(grams)), max(last, at)
+    for parts in (None, 3):
+        found = K.ngram_index(docs, {"body": F.col("body")}, carried=["at"], parts=parts).collect()
+        assert {(r["gram"], r["id"]): (r["tf"], r["length"], r["at"]) for r in found} == expected
+        assert len(found) == len(expected)
+
+
 def test_filter_does_not_change_scores(docs):
     all_rows = {r["id"]: r["score"] for r in K.with_score(docs, columns(), ["gold"]).collect()}
     kept = {r["id"]: r["score"] for r in K.with_score(docs, columns(), ["gold"], F.col("id") > 4).collect()}

@@ -67,3 +67,33 @@ def test_impact_reaches_the_scan(spark, index):
 def test_no_documents(docs, tmp_path):
     index = K.write_impacts(docs.limit(0), columns(), f"{tmp_path}/index")
     assert index.top(["gold"], 5).collect() == []
+
+
+def test_postings_are_made_where_documents_are(docs):
+    plan = X.ngram_index(docs, columns())._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange" in line]
+    assert dealt and all("hashpartitioning(id#" in line for line in dealt), plan
+
+
+def test_several_parts_give_the_top_rows_of_all(docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(X, "_TASK", 100_000)
+    some = docs.where("id < 3000")
+    index = K.write_impacts(some, columns(), f"{tmp_path}/index")
+    parts = index.postings.select(F.shiftright("block", 23).alias("part"), "*")
+    assert parts.select("part").distinct().count() > 3
+    assert parts.groupBy("id").agg(F.count_distinct("part").alias("n")).where("n > 1").count() == 0
+    for words, size in ((["gold"], 20), (["rare1", "gold"], 10), (["tin", "lead"], 500)):
+        assert [r["id"] for r in index.top(words, size).collect()] == [i for i, _ in by_all(some, words, size)]
+    lists = index.lists(["zinc"], 10)
+    assert index.candidates(lists, index.threshold(lists, 10)).count() < 300
+
+
+def test_blocks_of_a_list_are_in_order(index):
+    blocks = {}
+    for r in index.postings.where("field = 'title' and gram = 'gold'").collect():
+        place = -int(r["impact"] * 2**32), -(r["created_at"] or dt.datetime.min).toordinal(), r["id"]
+        blocks.setdefault(r["block"], []).append(place)
+    assert len(blocks) > 2
+    in_order = sorted(blocks)
+    for a, b in zip(in_order, in_order[1:]):
+        assert a >> 23 < b >> 23 or max(blocks[a]) < min(blocks[b])
