@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fieldweave import schema as S
 from fieldweave.operators.changes import VERSION
-from fieldweave.operators.textsearch import field_lengths, ngram_index
+from fieldweave.operators.textsearch import field_lengths, index_parts, ngram_index
 from fieldweave.session import new_work_dir, remove, settle_at
 from fieldweave.sources import buckets as B
 from fieldweave.sources.sums import add_to_sums, create_sums, read_sums
@@ -28,11 +28,13 @@ GONE = "gone"
 
 @dataclass(frozen=True)
 class Derived:
-    """Rows (keys, amounts) that are derived from rows and add up over them."""
+    """Rows (keys, amounts) that are derived from rows and add up over them. ``by`` names the key that is the id of the row
+    that each is derived from, if there is one; then ``rows`` gives each key once, with amounts above 0."""
 
     rows: Callable[[DataFrame], DataFrame]
     keys: tuple[str, ...]
     amounts: tuple[str, ...]
+    by: str | None = None
 
     def signed(self, rows: DataFrame, sign: int) -> DataFrame:
         return self.rows(rows).select(*self.keys, *[(F.col(a) * sign).cast("long").alias(a) for a in self.amounts])
@@ -50,7 +52,11 @@ def term_counts(fields: Sequence[str]) -> Derived:
 
 def postings(columns: Mapping[str, Column]) -> Derived:
     """The gram index (field, gram, id, tf, length)."""
-    return Derived(lambda docs: ngram_index(docs, columns), ("field", "gram", "id"), ("tf", "length"))
+
+    def rows(docs: DataFrame) -> DataFrame:
+        return ngram_index(docs, columns, parts=index_parts(docs, columns))
+
+    return Derived(rows, ("field", "gram", "id"), ("tf", "length"), "id")
 
 
 def lengths(columns: Mapping[str, Column]) -> Derived:
@@ -72,11 +78,14 @@ def create_maintained(
     events' ids. A run that ended early can be run again."""
     spark = rows.sparkSession
     version = [F.lit(None).cast(kind).alias(name) for name, kind in zip(VERSION, ("timestamp_ntz", event_id))]
+    work = new_work_dir(spark, "maintained")
+    rows = settle_at(rows, work)
     first = rows.select("*", *version, F.lit(False).alias(GONE))
     for name, what in derived.items():
         if current(spark, f"{path}/{name}") is None:
-            create_sums(what.signed(rows, 1), f"{path}/{name}", what.keys, what.amounts)
+            create_sums(what.signed(rows, 1), f"{path}/{name}", what.keys, what.amounts, what.by, what.by is not None)
     B.create_buckets(first, f"{path}/rows", "id", buckets)
+    remove(spark, work)
 
 
 def apply_to_maintained(changes: DataFrame, derived: Mapping[str, Derived], path: str, batch: int, fan: int = 8) -> bool:

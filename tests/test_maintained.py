@@ -102,3 +102,38 @@ def test_a_table_without_rows(spark, tmp_path):
     assert M.read_derived(spark, path, "terms").count() == 0 == M.read_maintained(spark, path).count()
     M.apply_to_maintained(spark.createDataFrame([(1, "a", "gold", START, "e", False), (2, None, None, START, "f", True)], SCHEMA), derived(), path, 1)
     assert [tuple(r) for r in M.read_derived(spark, path, "terms").collect()] == [("tier", "a", 1)]
+
+
+def many(spark, count):
+    return spark.range(count).select("id", F.lit("a").alias("tier"), F.concat(F.lit("client "), F.col("id")).alias("body"))
+
+
+def test_small_batches_leave_the_first_run_as_it_is(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(U, "_BITS", 64 * 64)
+    path = f"{tmp_path}/kept"
+    M.create_maintained(many(spark, 400), derived(), path, 4)
+    for batch in range(1, 5):
+        rows = [(batch * 3, None, None, START, f"{batch}", True), (1000 + batch, "b", "gold client", START, f"n{batch}", False)]
+        M.apply_to_maintained(spark.createDataFrame(rows, SCHEMA), derived(), path, batch, fan=3)
+    assert "0-0" in [r["name"] for r in U.current(spark, f"{path}/postings")["runs"]]
+    state = U.current(spark, f"{path}/postings")
+    hit = U._hit(U._read(spark, f"{path}/postings", state, [r["name"] for r in state["runs"] if r["name"] != "0-0"]), "id")
+    first = U._read(spark, f"{path}/postings", state, ["0-0"])
+    changed = {3, 6, 9, 12}
+    assert changed <= {r[0] for r in first.where(hit).select("id").distinct().collect()} < set(range(40))
+    rows = M.read_maintained(spark, path)
+    for name, what in derived().items():
+        anew = what.rows(rows).select(*what.keys, *what.amounts)
+        kept = M.read_derived(spark, path, name).select(*what.keys, *what.amounts)
+        assert kept.exceptAll(anew).count() == 0 == anew.exceptAll(kept).count(), name
+
+
+def test_runs_as_large_as_the_first_are_merged_with_it(spark, tmp_path):
+    path = f"{tmp_path}/sums"
+    start = spark.createDataFrame([("a", 1, 5), ("b", 2, 1)], "word string, id long, n long")
+    U.create_sums(start, path, ("word", "id"), ("n",), "id", added=True)
+    for batch, rows in enumerate(([("a", 1, -5)], [("c", 3, 2)], [("c", 3, 1), ("b", None, 4)]), 1):
+        U.add_to_sums(spark.createDataFrame(rows, start.schema), path, batch)
+    assert [r["name"] for r in U.current(spark, path)["runs"]] == ["3-first"]
+    assert sorted(tuple(r) for r in U.read_sums(spark, path).collect() if r[1]) == [("b", 2, 1), ("c", 3, 3)]
+    assert U.read_sums(spark, path).count() == 3
