@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fieldweave.schema import MAX_GRAM, MIN_GRAM
 
 RUN = r"[\p{L}\p{Nd}]+"
+BETWEEN = r"[^\p{L}\p{Nd}]+"
 # Words of a query: ideographs and kana stand alone, an apostrophe, full stop or
 # colon joins two letters, a full stop or comma two digits, an underscore anything.
 _CHAR = r"[\p{L}\p{Nd}\p{M}_&&[^\p{IsHan}\p{IsHiragana}]]"
@@ -34,6 +35,17 @@ def runs(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
 
 
+def only_runs(text: Column) -> Column:
+    """The text with a space in place of what is between its runs."""
+    return F.regexp_replace(text, F.lit(BETWEEN), F.lit(" "))
+
+
+def lowered_alike(text: Column) -> Column:
+    """Whether each part of the text has the lowercase letters that it has in the text: none becomes two, and none depends
+    on where it stands, as sigma does."""
+    return (F.length(F.lower(text)) == F.length(text)) & ~F.contains(text, F.lit("\u03a3"))
+
+
 def gram_count(text: Column) -> Column:
     """How many grams the text is indexed under; 0 for missing text. A run of n
     characters has n (n - 1) / 2 up to the longest gram size, then a fixed

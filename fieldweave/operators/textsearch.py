@@ -136,8 +136,8 @@ def by_relevance() -> list[Column]:
     return [F.col("score").desc(), F.col("created_at").desc_nulls_last(), F.col("id").asc()]
 
 
-#: Grams of a text of more characters than this are counted by an aggregate, not in an array of its row.
-_SHORT = 500
+#: Grams of a text of more characters than this are counted by an aggregate, not by looking for each in the text.
+_SHORT = 200
 #: Postings that one task makes, sorts and writes.
 _TASK = 2**21
 
@@ -162,10 +162,10 @@ def ngram_index(
 ) -> DataFrame:
     """Postings (field, gram, id, tf, length): every gram of every field. ``carried`` columns of the document go along.
 
-    Documents are dealt by id, into ``parts`` if given, and their grams are counted where they are: in an array for a
-    text of usual length, without a row for each occurrence. Rows that share an id, and long texts, are counted by an
-    aggregate; those come after the others. Postings are in the ``order`` of documents, by id, carried columns and
-    fields, if one is given.
+    Documents are dealt by id, into ``parts`` if given, and their grams are counted where they are, without an aggregate
+    for a text of usual length. Rows that share an id, long texts, and texts whose lowercase letters are not those of
+    their grams, are counted by an aggregate; they come after the others. Postings of the others are in the ``order`` of
+    documents, by id and carried columns, if one is given.
     """
     texts = {f"_text{n}": c.cast("string").alias(f"_text{n}") for n, c in enumerate(columns.values())}
     rows = docs.select(F.col(key).alias("id"), *map(F.col, carried), *texts.values())
@@ -175,35 +175,26 @@ def ngram_index(
         rows = rows.sortWithinPartitions(*order)
     cells = [F.struct(F.lit(name).alias("field"), F.col(t).alias("text")) for name, t in zip(columns, texts)]
     fields = rows.select("id", *carried, "_alike", F.inline(F.array(*cells))).where(F.col("text").isNotNull())
-    apart = (F.col("_alike") == 1) & (F.length("text") <= _SHORT)
-    long = fields.where(~apart).withColumn("length", X.gram_count(F.col("text")))
-    return _counted_in_rows(fields.where(apart), carried).unionByName(_counted(long, carried))
-
-
-def _counted_in_rows(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
-    """The postings of texts of which none shares id and field with another."""
-
-    def of_run(run: Column) -> Column:
-        def of_start(pos: Column) -> Column:
-            sizes = F.sequence(F.lit(S.MIN_GRAM), F.least(F.lit(S.MAX_GRAM), F.length(run) - pos + 1))
-            return F.transform(sizes, lambda size: F.lower(F.substring(run, pos, size)))
-
-        return F.flatten(F.transform(F.sequence(F.lit(1), F.length(run) - (S.MIN_GRAM - 1)), of_start))
-
-    cut = F.filter(X.runs(F.col("text")), lambda run: F.length(run) >= S.MIN_GRAM)
-    grams = fields.select("field", "id", *carried, F.sort_array(F.flatten(F.transform(cut, of_run))).alias("_grams"))
-    # With posexplode Spark would test the array for grams below, by making it once more.
-    each = grams.select("field", "id", *carried, "_grams", F.posexplode_outer("_grams").alias("_at", "gram"))
-
-    def same(offset: int) -> Column:
-        return F.get("_grams", F.col("_at") + offset).eqNullSafe(F.col("gram"))
-
-    tf = F.size("_grams") - F.size(F.array_remove("_grams", F.col("gram")))
-    for n in (3, 2, 1):
-        tf = F.when(same(n), tf).otherwise(n)
-    first = each.where(F.col("gram").isNotNull() & ~same(-1))
-    length = F.size("_grams").cast("long").alias("length")
-    return first.select("field", "gram", "id", tf.cast("long").alias("tf"), length, *carried)
+    apart = (F.col("_alike") == 1) & (F.length("text") <= _SHORT) & X.lowered_alike(F.col("text"))
+    fields = fields.withColumn("length", X.gram_count(F.col("text")))
+    return _counted_in_text(fields.where(apart), carried).unionByName(_counted(fields.where(~apart), carried))
+
+
+def _counted_in_text(fields: DataFrame, carried: Sequence[str]) -> DataFrame:
+    """The postings of texts of which none shares id and field with another. A gram is taken where it occurs first."""
+    low = fields.select("field", "id", "length", *carried, F.lower(X.only_runs(F.col("text"))).alias("_low"))
+    size, at = F.length("_low"), F.when(F.length("_low") >= S.MIN_GRAM, F.sequence(F.lit(1), F.length("_low") - (S.MIN_GRAM - 1)))
+    # With explode Spark would test what it explodes below, by making the text once more.
+    start = low.select("*", F.explode_outer(at).alias("pos")).where(F.col("pos").isNotNull())
+    end = F.position(F.lit(" "), F.col("_low"), F.col("pos"))
+    room = F.least(F.lit(S.MAX_GRAM), F.when(end == 0, size + 1).otherwise(end) - F.col("pos"))
+    start = start.withColumn("_room", room).where(F.col("_room") >= S.MIN_GRAM)
+    grams = start.withColumn("size", F.explode(F.sequence(F.lit(S.MIN_GRAM), F.col("_room"))))
+    grams = grams.withColumn("gram", F.substring("_low", F.col("pos"), F.col("size")))
+    first = grams.where(F.position(F.col("gram"), F.col("_low")) == F.col("pos"))
+    again = F.position(F.col("gram"), F.col("_low"), F.col("pos") + 1) > 0
+    tf = F.when(again, F.regexp_count("_low", F.concat(F.lit("(?="), F.col("gram"), F.lit(")")))).otherwise(1)
+    return first.select("field", "gram", "id", tf.cast("long").alias("tf"), "length", *carried)
 
 
 def _counted(fields: DataFrame, carried: Sequence[str]) -> DataFrame:

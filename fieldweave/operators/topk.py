@@ -98,21 +98,24 @@ class ImpactIndex:
         alone = Counter(l.field for l in lists)
         created = self.postings.schema["created_at"].dataType
 
+        def of_others(l: PostingList) -> float:
+            return together[l.field] - l.largest + _SLACK if alone[l.field] > 1 else 0.0
+
         def near(l: PostingList) -> Column:
-            others = together[l.field] - l.largest + _SLACK if alone[l.field] > 1 else 0.0
-            bound = F.round(F.lit(l.weight) * F.col("impact") + others, DIGITS)
+            bound = F.round(F.lit(l.weight) * F.col("impact") + of_others(l), DIGITS)
             tie = bound == threshold.score
             if threshold.created_at is not None:
                 tie &= F.coalesce(F.col("created_at") >= F.lit(threshold.created_at).cast(created), F.lit(False))
-            # The first condition is one that files and pages are left out by.
-            least = (threshold.score - others) / l.weight - 1e-6
-            return (F.col("impact") >= least) & ((bound > threshold.score) | tie)
+            return (bound > threshold.score) | tie
 
-        return self._parts(lists, near)
+        return self._parts(lists, lambda l: F.col("impact") >= (threshold.score - of_others(l)) / l.weight - 1e-6, near)
 
-    def _parts(self, lists: Sequence[PostingList], wanted) -> DataFrame:
+    def _parts(self, lists: Sequence[PostingList], read, wanted=None) -> DataFrame:
+        """``read`` is a condition that files and pages are left out by; for that it stands alone, beside ``wanted``."""
         each = [(_of_list(l.field, l.gram), l) for l in lists]
-        found = self.postings.where(reduce(lambda a, b: a | b, [of & wanted(l) for of, l in each], F.lit(False)))
+        found = self.postings
+        for condition in [read, wanted] if wanted else [read]:
+            found = found.where(reduce(lambda a, b: a | b, [of & condition(l) for of, l in each], F.lit(False)))
         weight = F.lit(0.0)
         for of, l in each:
             weight = F.when(of, F.lit(l.weight)).otherwise(weight)
@@ -145,12 +148,14 @@ def write_impacts(docs: DataFrame, columns: Mapping[str, Column], path: str) ->
     about as many postings as a task can sort; a gram that very many documents hold is in all of them."""
     spark = docs.sparkSession
     field_lengths(docs, columns).write.parquet(f"{path}/fields")
-    fields = spark.read.parquet(f"{path}/fields")
-    parts = parts_for(spark, fields.agg(F.sum("length")).first()[0] or 0)
-    shape = F.col("tf") + S.BM25_K1 * (1 - S.BM25_B + S.BM25_B * F.col("length") / F.col("average"))
-    average = fields.select("field", (F.col("length") / F.col("docs")).alias("average"))
+    fields = spark.read.parquet(f"{path}/fields").collect()
+    parts = parts_for(spark, sum(f["length"] for f in fields))
+    average = F.lit(None).cast("double")
+    for f in fields:
+        average = F.when(F.col("field") == f["field"], f["length"] / f["docs"]).otherwise(average)
+    shape = F.col("tf") + S.BM25_K1 * (1 - S.BM25_B + S.BM25_B * F.col("length") / average)
     newest_first = [F.col("created_at").desc_nulls_last(), F.col("id")]
-    postings = ngram_index(docs, columns, carried=["created_at"], parts=parts, order=newest_first).join(average, "field")
+    postings = ngram_index(docs, columns, carried=["created_at"], parts=parts, order=newest_first)
     term = _term(F.col("field"), F.col("gram")).alias("term")
     postings = postings.select(term, "field", "gram", (F.col("tf") / shape).alias("impact"), "created_at", "id")
     # One number, as Spark sorts by one without comparing rows: the list, then its impacts from the largest. They are below 1
