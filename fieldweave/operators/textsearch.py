@@ -162,19 +162,21 @@ def ngram_index(
 ) -> DataFrame:
     """Postings (field, gram, id, tf, length): every gram of every field. ``carried`` columns of the document go along.
 
-    Documents are dealt by id, into ``parts`` if given, and their grams are counted where they are, without an aggregate
-    for a text of usual length. Rows that share an id, long texts, and texts whose lowercase letters are not those of
-    their grams, are counted by an aggregate; they come after the others. Postings of the others are in the ``order`` of
-    documents, by id and carried columns, if one is given.
+    Grams are counted by an aggregate, where the row is before any shuffle. With ``parts`` documents are dealt by id into as
+    many, and an aggregate is needed only for rows that share an id, long texts, and texts whose lowercase letters are not
+    those of their grams; they come after the others, which are in the ``order`` of documents, by id and carried columns,
+    if one is given.
     """
     texts = {f"_text{n}": c.cast("string").alias(f"_text{n}") for n, c in enumerate(columns.values())}
     rows = docs.select(F.col(key).alias("id"), *map(F.col, carried), *texts.values())
-    rows = rows.repartition(parts, "id") if parts else rows
-    rows = rows.withColumn("_alike", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    alike = F.count(F.lit(1)).over(Window.partitionBy("id")) if parts else F.lit(None).cast("long")
+    rows = (rows.repartition(parts, "id") if parts else rows).withColumn("_alike", alike)
     if order:
         rows = rows.sortWithinPartitions(*order)
     cells = [F.struct(F.lit(name).alias("field"), F.col(t).alias("text")) for name, t in zip(columns, texts)]
     fields = rows.select("id", *carried, "_alike", F.inline(F.array(*cells))).where(F.col("text").isNotNull())
+    if not parts:
+        return _counted(fields.withColumn("length", X.gram_count(F.col("text"))), carried)
     apart = (F.col("_alike") == 1) & (F.length("text") <= _SHORT) & X.lowered_alike(F.col("text"))
     fields = fields.withColumn("length", X.gram_count(F.col("text")))
     return _counted_in_text(fields.where(apart), carried).unionByName(_counted(fields.where(~apart), carried))

@@ -70,7 +70,7 @@ def test_no_documents(docs, tmp_path):
 
 
 def test_postings_are_made_where_documents_are(docs):
-    plan = X.ngram_index(docs, columns())._jdf.queryExecution().executedPlan().toString()
+    plan = X.ngram_index(docs, columns(), parts=4)._jdf.queryExecution().executedPlan().toString()
     dealt = [line for line in plan.splitlines() if "Exchange" in line]
     assert dealt and all("hashpartitioning(id#" in line for line in dealt), plan
 
